@@ -80,14 +80,23 @@ def team_vertices(teams: DataFrame, *, order_by: Sequence[str] = ("row_order",),
                      ("arena", "arena"), ("year_founded", year)], as_map=as_map)
 
 
-def dedupe_appearances(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no")) -> DataFrame:
-    """One line per (player, game), first by ``order_by``."""
+def dedupe_appearances(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no"),
+                       keep: Sequence[str] | None = None) -> DataFrame:
+    """One line per (player, game), first by ``order_by``.
+
+    ``keep`` narrows the carried columns before the shuffle, so only what
+    the caller needs travels through the dedupe.
+    """
+    if keep is not None:
+        wanted = ["player_id", "game_id", *order_by, *[c for c in keep if c not in order_by]]
+        details = details.select(*dict.fromkeys(wanted))
     return first_per_key(details, ["player_id", "game_id"], list(order_by))
 
 
 def plays_in_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no")) -> DataFrame:
     """Player -> game edges with the line's position, points and team."""
-    d = dedupe_appearances(details, order_by=order_by)
+    d = dedupe_appearances(details, order_by=order_by,
+                           keep=["start_position", "pts", "team_id", "team_abbreviation"])
     return d.select(
         F.col("player_id").cast("string").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").cast("string").alias("object_identifier"), F.lit("game").alias("object_type"),
@@ -109,7 +118,8 @@ def pair_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "par
     tasks (right rows replicated ``salt`` times) so that no single task
     builds all pairs of a hot game.
     """
-    d = dedupe_appearances(details, order_by=order_by).select(
+    d = dedupe_appearances(details, order_by=order_by,
+                           keep=["player_name", "team_abbreviation", "pts"]).select(
         "game_id", "player_id", "player_name", "team_abbreviation", "pts")
     if salt > 1:
         left = d.withColumn("_s", F.pmod(F.xxhash64("player_id"), F.lit(salt)))
