@@ -493,6 +493,13 @@ def batch_sessions(spark, sf) -> DataFrame:
     return windows.session_counts(raw, "event_timestamp", ["ip", "host"], watermark=None)
 
 
+def q_session_long_gap(spark, sf):
+    """C51 with a one-day gap per address: sessions that merge many events."""
+    raw = windows.parse_event_time(recast.raw_web_events(spark, sf), "event_time", "event_timestamp")
+    s = windows.session_counts(raw, "event_timestamp", ["ip"], gap="1 day", watermark=None)
+    return to_wall_clock(s, "session_start", "session_end")
+
+
 def q_session_avg_like(spark, sf):
     """Average hits per session over hosts matching a pattern."""
     return windows.session_avg_matching(batch_sessions(spark, sf), host_pattern=SESSION_HOST_PATTERN)

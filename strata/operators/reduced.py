@@ -46,24 +46,58 @@ def _append_slot(prev: Column, value: Column, dom: Column) -> Column:
     return F.when(F.size(base) >= dom, base).otherwise(grown)
 
 
+def _append_literal_metric(prev: Column, value: Column) -> Column:
+    """C32 as written: new key → ``[value]`` (no padding, Q8); known key →
+    append (0 when absent), with no re-run guard (Q9)."""
+    v = F.array(F.coalesce(value, F.lit(0)).cast("bigint"))
+    return F.when(prev.isNull(), v).otherwise(F.concat(prev, v))
+
+
+def _append_literal_host(prev: Column, value: Column, present: Column, dom: Column) -> Column:
+    """C34 as written: absent today → unchanged (Q10, positions drift after
+    a gap); covered day → unchanged; new key → ``day - 1`` zeros + value."""
+    v = F.array(F.coalesce(value, F.lit(0)).cast("bigint"))
+    pad = F.array_repeat(F.lit(0).cast("bigint"), F.greatest(dom - 1, F.lit(0)))
+    return (F.when(~present, prev)
+             .when(prev.isNotNull(), F.when(F.size(prev) >= dom, prev).otherwise(F.concat(prev, v)))
+             .otherwise(F.concat(pad, v)))
+
+
 def month_array_step(prev: DataFrame, today: DataFrame, keys: Sequence[str], *, day,
                      metrics: Mapping[str, str], month_col: str = "month_start",
-                     extra_cols: Mapping[str, Column] | None = None) -> DataFrame:
+                     extra_cols: Mapping[str, Column] | None = None, mode: str = "aligned") -> DataFrame:
     """Append ``day``'s metrics to the month arrays.
 
     ``prev``: month rows (keys, ``month_col``, array columns); rows of other
     months are ignored. ``today``: one row per key with the metric values.
     ``metrics`` maps output array column → today's value column.
+
+    ``mode="aligned"`` (default) keeps slot ``i`` = day ``i`` (see module
+    doc). ``"literal_metric"`` and ``"literal_host"`` reproduce the
+    reference's C32 and C34 arithmetic (SURVEY Q8-Q10).
     """
     keys = list(keys)
     d = F.lit(day).cast("date")
     month = F.trunc(d, "month")
     p = prev.where(F.col(month_col) == month).alias("p")
-    j = today.alias("t").join(p, on=keys, how="full_outer")
+    t = today.withColumn("_present", F.lit(True)).alias("t")
+    j = t.join(p, on=keys, how="full_outer")
     dom = F.dayofmonth(d)
+    present = F.coalesce(F.col("t._present"), F.lit(False))
+
+    def grow(arr: str, val: str) -> Column:
+        pv, tv = F.col(f"p.{arr}"), F.col(f"t.{val}")
+        if mode == "aligned":
+            return _append_slot(pv, tv, dom)
+        if mode == "literal_metric":
+            return _append_literal_metric(pv, tv)
+        if mode == "literal_host":
+            return _append_literal_host(pv, tv, present, dom)
+        raise ValueError(f"unknown mode {mode!r}")
+
     cols = [*keys, month.alias(month_col)]
     cols += [(v).alias(k) for k, v in (extra_cols or {}).items()]
-    cols += [_append_slot(F.col(f"p.{arr}"), F.col(f"t.{val}"), dom).alias(arr) for arr, val in metrics.items()]
+    cols += [grow(arr, val).alias(arr) for arr, val in metrics.items()]
     return j.select(*cols)
 
 

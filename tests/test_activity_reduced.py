@@ -125,3 +125,16 @@ def test_elementwise_sum_any_length(spark):
                                 ("m", D(2024, 1, 1), [])], "metric_name string, month_start date, a array<bigint>")
     out = rows(reduced.elementwise_sum(df, ["metric_name"], "a"))
     assert out == [("m", D(2024, 1, 1), 11), ("m", D(2024, 1, 2), 22), ("m", D(2024, 1, 3), 30)]
+
+
+def test_month_array_literal_modes(spark):
+    prev = spark.createDataFrame([("h1", D(2024, 1, 1), [1, 2, 3]), ("h2", D(2024, 1, 1), [5, 5, 5, 5, 5, 5])],
+                                 "host string, month date, hits array<bigint>")
+    today = spark.createDataFrame([("h2", 1), ("new", 4)], "host string, n long")
+    kw = dict(day="2024-01-06", month_col="month", metrics={"hits": "n"})
+    met = {r.host: r.hits for r in reduced.month_array_step(prev, today, ["host"], mode="literal_metric",
+                                                             **kw).collect()}
+    assert met == {"h1": [1, 2, 3, 0], "h2": [5, 5, 5, 5, 5, 5, 1], "new": [4]}   # Q8, Q9
+    host = {r.host: r.hits for r in reduced.month_array_step(prev, today, ["host"], mode="literal_host",
+                                                              **kw).collect()}
+    assert host == {"h1": [1, 2, 3], "h2": [5, 5, 5, 5, 5, 5], "new": [0, 0, 0, 0, 0, 4]}  # Q10

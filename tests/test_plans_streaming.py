@@ -98,3 +98,13 @@ def test_enrichment_address_cases(spark):
 def test_scratch_paths_unique(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert layout is not None
+
+
+def test_location_udf_from_sql(spark):
+    from strata.functions.udfs import register_location_udf
+    table_ = {"10.0.0.1": {"country": "X", "state": "S", "city": "C"}}
+    register_location_udf(spark, table_.get)
+    df = spark.createDataFrame([("10.0.0.1, 1.2.3.4",), ("",), (None,), ("9.9.9.9",)], "ip string")
+    df.createOrReplaceTempView("ips")
+    got = [r[0] for r in spark.sql("SELECT get_location(ip) FROM ips").collect()]
+    assert got == ['{"country": "X", "state": "S", "city": "C"}', "{}", "{}", "{}"]

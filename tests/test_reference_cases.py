@@ -63,3 +63,34 @@ def test_team_vertices_json_keeps_nulls(spark):
     props = graph.team_vertices(teams).select("properties").first()[0]
     assert props == ('{"abbreviation":null,"nickname":"X","city":"C","arena":"A","year_founded":null}')
     assert F is not None
+
+
+def test_sql_forms_agree_with_operators(spark):
+    from strata.operators import sqljobs
+    hits = spark.createDataFrame([("2023-03-01", [0, 1, 3], "2023-03-01"), ("2023-04-01", [], "2023-03-01"),
+                                  ("2023-04-01", [], "")],
+                                 "month_start string, hit_array array<bigint>, date_partition string")
+    a = sqljobs.monthly_site_hits_sql(spark, hits, "2023-03-01")
+    b = reduced.first_days_sum(hits, month_col="month_start", array_col="hit_array",
+                               partition_col="date_partition", ds="2023-03-01")
+    assertDataFrameEqual(a, b)
+    players = spark.createDataFrame([("J", 2001, "Good"), ("J", 2002, None), ("J", 2003, "Good"), ("E", 2003, "Bad")],
+                                    "player_name string, current_season bigint, scoring_class string")
+    c = sqljobs.player_streaks_sql(spark, players)
+    d = scd.scd_backfill(players, ["player_name"], period_col="current_season", state_cols=["scoring_class"],
+                         start_col="start_date", end_col="end_date", current_col=None)
+    assertDataFrameEqual(c, d)
+    teams = spark.createDataFrame([(1, "BOS", "Celtics", "Boston", "TD", 1946, 0),
+                                   (1, "BOS", "Bad", "Boston", "TD", 1946, 1)],
+                                  "team_id bigint, abbreviation string, nickname string, city string, arena string, "
+                                  "yearfounded bigint, row_order int")
+    e = sqljobs.team_vertices_sql(spark, teams).first()
+    assert e.identifier == 1 and e.properties["nickname"] == "Celtics"
+
+
+def test_kafka_value_and_jdbc_writer_shapes(spark):
+    from strata.streaming.runner import jdbc_batch_writer, kafka_value
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    row = kafka_value(df, "id").first()
+    assert row.key == "1" and row.value == '{"id":1,"v":"a"}'
+    assert callable(jdbc_batch_writer("jdbc:postgresql://db/x", "t", {"user": "u"}))
