@@ -97,15 +97,20 @@ def cumulate_backfill(rows: DataFrame, keys: Sequence[str], *, period_col: str,
     first = F.lit(last_period) if only_last else F.col("_hist")[0][period_col]
     spine = per_key.select(*keys, *static_cols, "_hist",
                            F.explode(F.sequence(first, F.lit(last_period))).alias(current_col))
-    hist = F.filter("_hist", lambda s: s[period_col] <= F.col(current_col))
-    last = F.element_at(hist, -1)
-    out = [*[F.col(k) for k in keys], *[F.col(c) for c in static_cols], hist.alias(history_col)]
+    # two projections: the history filter is computed once per row and the
+    # last element read from it (Catalyst keeps a non-cheap expression that
+    # is referenced several times in its own projection)
+    base = [*[F.col(k) for k in keys], *[F.col(c) for c in static_cols]]
+    hist = spine.select(*base, F.filter("_hist", lambda s: s[period_col] <= F.col(current_col)).alias(history_col),
+                        F.col(current_col))
+    last = F.element_at(history_col, -1)
+    out = [*base, F.col(history_col)]
     if classify is not None:
         out.append(classify(last[class_measure]).alias(class_col))
         out.append((F.col(current_col) - last[period_col]).alias(since_col))
     out.append(F.col(current_col))
     out.append((last[period_col] == F.col(current_col)).alias(active_col))
-    return spine.select(*out)
+    return hist.select(*out)
 
 
 def unnest_history(snapshot: DataFrame, keys: Sequence[str], history_col: str = "history") -> DataFrame:
