@@ -108,3 +108,10 @@ def test_location_udf_from_sql(spark):
     df.createOrReplaceTempView("ips")
     got = [r[0] for r in spark.sql("SELECT get_location(ip) FROM ips").collect()]
     assert got == ['{"country": "X", "state": "S", "city": "C"}', "{}", "{}", "{}"]
+
+
+def test_pushdown_survives_spread(spark):
+    ev = recast.web_events(spark, SF001).where(day_range("event_time", "2024-01-05")).select("user_id")
+    text = plan_text(ev, "formatted")
+    assert "GreaterThanOrEqual(ts" in text
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in text
