@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
+from strata.sources.schemas import KEYS, SCHEMAS
 
 
 def write_period(df: DataFrame, path: str, period_col: str, *, compression: str = "zstd") -> None:
@@ -72,3 +73,30 @@ def fold_periods(spark: SparkSession, path: str, period_col: str, periods: Itera
                 state = None
         write_period(step(state, p), path, period_col)
         prev = p
+
+
+def create_table(spark: SparkSession, name: str, location: str, *, kind: str | None = None,
+                 schema: str | None = None, partition_col: str | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` an external Parquet table for a
+    workload's state table (``kind`` picks the schema and period column)."""
+    ddl = schema or SCHEMAS[kind]
+    part = partition_col or (KEYS[kind][1] if kind in KEYS else None)
+    clause = f" PARTITIONED BY ({part})" if part else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{clause} LOCATION '{location}'")
+
+
+def insert_period(df: DataFrame, table_name: str) -> None:
+    """``INSERT OVERWRITE`` only the partitions present in ``df`` (by column
+    position, as the reference's ``insertInto`` / ``INSERT INTO`` do).
+
+    ``insertInto`` takes no writer options, so the dynamic mode is set on
+    the session for the duration of the insert.
+    """
+    conf = df.sparkSession.conf
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(table_name, overwrite=True)
+    finally:
+        conf.set(key, before)

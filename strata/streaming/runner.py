@@ -59,9 +59,11 @@ def start_parquet_sink(stream: DataFrame, sink_path: str, checkpoint_path: str,
                        trigger: str = "10 seconds", output_mode: str = "append",
                        name: str | None = None) -> StreamingQuery:
     """Long-running form: a micro-batch every ``trigger`` (the reference
-    checkpoints every 10 s), state and offsets in ``checkpoint_path``."""
+    checkpoints every 10 s; ``"available_now"`` drains and stops), state
+    and offsets in ``checkpoint_path``."""
     w = (stream.writeStream.format("parquet").outputMode(output_mode)
-         .option("checkpointLocation", checkpoint_path).trigger(processingTime=trigger))
+         .option("checkpointLocation", checkpoint_path))
+    w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger)
     if name:
         w = w.queryName(name)
     return w.start(sink_path)

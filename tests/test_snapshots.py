@@ -53,3 +53,31 @@ def test_month_arrays_fold_rewrites_own_partition(spark):
                                         month_col="month", arrays=arrays)
     assert rows(got) == rows(want.select(*got.columns))
     assert got.where(F.size("hit_array") != 10).count() == 0
+
+
+def test_catalog_table_insert_overwrites_one_partition(spark):
+    from strata.sources.snapshots import create_table, insert_period
+    name = "hosts_cumulated_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    create_table(spark, name, scratch_path(spark, "hosts-table"), kind="hosts_cumulated")
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    mk = lambda rows_: spark.createDataFrame(rows_, "host string, host_activity_datelist array<date>, curr_date date")
+    insert_period(mk([("a", [d1], d1), ("b", [d1], d1)]), name)
+    insert_period(mk([("a", [d2, d1], d2)]), name)
+    insert_period(mk([("a", [d2, d1], d2), ("c", [d2], d2)]), name)   # re-run of d2 replaces it
+    got = rows(spark.table(name).select("host", "curr_date"))
+    assert got == [("a", d1), ("a", d2), ("b", d1), ("c", d2)]
+
+
+def test_two_sinks_from_one_source(spark):
+    from strata import catalog as C
+    from strata.streaming import runner, windows
+    raw = C._raw_stream(spark, SF001)
+    qs = runner.start_many({"by_host": windows.tumbling_counts(raw, "event_timestamp", ["host"]),
+                            "by_host_referrer": windows.tumbling_counts(raw, "event_timestamp",
+                                                                        ["host", "referrer"])},
+                           scratch_path(spark, "sinks"), scratch_path(spark, "sinks-ck"), trigger="available_now")
+    for q in qs.values():
+        q.awaitTermination()
+    a = spark.read.parquet(qs["by_host"].lastProgress["sink"]["description"].split("[", 1)[1].rstrip("]"))
+    b = spark.read.parquet(qs["by_host_referrer"].lastProgress["sink"]["description"].split("[", 1)[1].rstrip("]"))
+    assert a.agg(F.sum("num_hits")).first()[0] == b.agg(F.sum("num_hits")).first()[0] > 0
