@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def file_stream(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
-    """Stream the Parquet file ``folder/file_name`` (schema read once)."""
+def file_stream(spark: SparkSession, folder: str, file_name: str, *,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the Parquet files ``folder/file_name`` (a glob; schema read
+    once). ``max_files_per_trigger`` bounds a micro-batch."""
     schema = spark.read.parquet(f"{folder.rstrip('/')}/{file_name}").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", file_name)
-            .option("maxFilesPerTrigger", 1).parquet(folder))
+    r = spark.readStream.schema(schema).option("pathGlobFilter", file_name)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(folder)
 
 
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint_path: str, *,

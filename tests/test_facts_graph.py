@@ -26,6 +26,7 @@ def test_first_per_key_dedupe(spark):
     ], "k int, k2 string, o int, v string")
     out = rows(first_per_key(df, ["k", "k2"], ["o"]))
     assert out == [(1, "x", 1, "a"), (2, None, 1, "c"), (3, "y", None, "n")]
+    assert rows(first_per_key(df, ["k", "k2"], ["o"], strategy="window")) == out
 
 
 def test_dedupe_fact_flags_and_grain(spark):
