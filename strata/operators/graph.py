@@ -24,6 +24,12 @@ from strata.operators.joins import first_per_key
 VERTEX_TYPES = ("player", "team", "game")
 EDGE_TYPES = ("plays_against", "shares_team", "plays_in", "plays_on")
 
+# Columns the edge builders carry through the (player, game) dedupe. Both
+# edge kinds use the same set so their dedupe subtrees are identical and
+# the shuffle is computed once and reused (plays_in, and both sides of the
+# pair self-join).
+EDGE_PAYLOAD = ("player_name", "start_position", "pts", "team_id", "team_abbreviation")
+
 
 def _props(pairs: Sequence[tuple[str, Column]], as_map: bool) -> Column:
     if as_map:
@@ -95,8 +101,7 @@ def dedupe_appearances(details: DataFrame, *, order_by: Sequence[str] = ("line_n
 
 def plays_in_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no")) -> DataFrame:
     """Player -> game edges with the line's position, points and team."""
-    d = dedupe_appearances(details, order_by=order_by,
-                           keep=["start_position", "pts", "team_id", "team_abbreviation"])
+    d = dedupe_appearances(details, order_by=order_by, keep=EDGE_PAYLOAD)
     return d.select(
         F.col("player_id").cast("string").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").cast("string").alias("object_identifier"), F.lit("game").alias("object_type"),
@@ -118,8 +123,7 @@ def pair_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "par
     tasks (right rows replicated ``salt`` times) so that no single task
     builds all pairs of a hot game.
     """
-    d = dedupe_appearances(details, order_by=order_by,
-                           keep=["player_name", "team_abbreviation", "pts"]).select(
+    d = dedupe_appearances(details, order_by=order_by, keep=EDGE_PAYLOAD).select(
         "game_id", "player_id", "player_name", "team_abbreviation", "pts")
     if salt > 1:
         left = d.withColumn("_s", F.pmod(F.xxhash64("player_id"), F.lit(salt)))
