@@ -11,6 +11,10 @@ operators (INSERT / upsert / truncate-and-rebuild in the reference).
   checkpoint folder, so the overwrite never deletes what it is reading and
   a lost executor recomputes from the checkpoint, not from a half-written
   table.
+* :func:`write_period_bucketed` stores a snapshot table bucketed (and
+  sorted) on the entity key: the next step's full outer join then reads
+  yesterday's snapshot without any shuffle, and only today's (small) rows
+  are hashed into the bucket layout.
 * :func:`fold_periods` runs an incremental step over a period range,
   writing each period before the next reads it: lineage stays one step
   deep however many periods are folded.
@@ -100,3 +104,18 @@ def insert_period(df: DataFrame, table_name: str) -> None:
         df.write.insertInto(table_name, overwrite=True)
     finally:
         conf.set(key, before)
+
+
+def write_period_bucketed(df: DataFrame, table_name: str, path: str, period_col: str,
+                          key_cols, buckets: int) -> None:
+    """Write one period into a table partitioned by period and bucketed +
+    sorted on the entity key (created on first use, then overwritten one
+    partition at a time). Choose ``buckets`` so one bucket of one period is
+    in the hundreds of MB."""
+    spark = df.sparkSession
+    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    if not spark.catalog.tableExists(table_name):
+        (df.write.mode("overwrite").partitionBy(period_col).bucketBy(buckets, *keys).sortBy(*keys)
+           .option("path", path).saveAsTable(table_name))
+    else:
+        insert_period(df.select(*spark.table(table_name).columns), table_name)

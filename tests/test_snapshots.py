@@ -81,3 +81,29 @@ def test_two_sinks_from_one_source(spark):
     a = spark.read.parquet(qs["by_host"].lastProgress["sink"]["description"].split("[", 1)[1].rstrip("]"))
     b = spark.read.parquet(qs["by_host_referrer"].lastProgress["sink"]["description"].split("[", 1)[1].rstrip("]"))
     assert a.agg(F.sum("num_hits")).first()[0] == b.agg(F.sum("num_hits")).first()[0] > 0
+
+
+def test_bucketed_snapshot_step_shuffles_only_today(spark):
+    from strata import catalog as C
+    from strata.operators import cumulate
+    from strata.plans.inspect import plan_text
+    from strata.sources.snapshots import write_period_bucketed
+    name = "players_bucketed_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    path = scratch_path(spark, "players-bucketed")
+    ps = recast.player_seasons(spark, SF001)
+    kw = dict(period_col="season", stats_cols=["gp", "pts"], history_col="season_stats",
+              current_col="current_season", classify=C._player_class, class_measure="pts",
+              class_col="scoring_class", since_col="years_since_last_season")
+    write_period_bucketed(C.players_snapshots(spark, SF001, 1995, only_last=True), name, path,
+                          "current_season", "player_id", 8)
+    for season in range(1996, 2002):
+        y = spark.table(name).where(F.col("current_season") == season - 1)
+        step = cumulate.cumulate_step(y, ps.where(F.col("season") == season), ["player_id"], **kw)
+        if season == 2001:
+            physical = plan_text(step, "simple").split("== Physical Plan ==")[-1]
+            assert "Bucketed: true" in physical
+            assert physical.count("Exchange hashpartitioning(player_id") == 1  # today's rows only
+        write_period_bucketed(step, name, path, "current_season", "player_id", 8)
+    got = spark.table(name).where("current_season = 2001")
+    want = C.players_snapshots(spark, SF001, 2001, only_last=True)
+    assert rows(got.select(*want.columns)) == rows(want)
