@@ -94,7 +94,8 @@ def q_history_unnest(spark, sf):
 def q_first_last_ratio(spark, sf):
     """last/first points of 'star' players."""
     snap = players_snapshots(spark, sf, only_last=True).where(F.col("scoring_class") == "star")
-    return cumulate.first_last_ratio(snap, ["player_id"], "pts", history_col="season_stats")
+    r = cumulate.first_last_ratio(snap, ["player_id"], "pts", history_col="season_stats")
+    return r.orderBy(F.desc_nulls_first("improvement"))
 
 
 def players_scd(spark: SparkSession, sf: str, as_of: int) -> DataFrame:
@@ -227,7 +228,8 @@ def q_edges_pairs(spark, sf):
 
 
 def q_edge_max_points(spark, sf):
-    return graph.max_edge_points(all_vertices(spark, sf), all_edges(spark, sf))
+    return (graph.max_edge_points(all_vertices(spark, sf), all_edges(spark, sf))
+            .orderBy(F.desc_nulls_first("max_points")))
 
 
 def q_edge_games_per_point(spark, sf):
@@ -262,7 +264,7 @@ def q_fact_late_enrich(spark, sf):
 
 
 def q_fact_summary(spark, sf):
-    return facts.fact_summary(fact_table(spark, sf))
+    return facts.fact_summary(fact_table(spark, sf)).orderBy(F.desc_nulls_first("bailed_pct"))
 
 
 def q_event_bounds(spark, sf):
@@ -391,6 +393,26 @@ def q_csv_roundtrip_rows(spark, sf):
     return layout.read_csv(spark, path, ORDERS_SCHEMA)
 
 
+MATCH_SCHEMAS = {
+    "match_details": "match_id bigint, player_gamertag bigint, line_no int, player_total_kills int",
+    "matches": "match_id bigint, mapid bigint, playlist_id string, game_mode string",
+    "medals_matches_players": "match_id bigint, player_gamertag bigint, line_no int, medal_id bigint",
+    "medals": "medal_id bigint, name string, description string, classification string",
+    "maps": "mapid bigint, name string, description string",
+}
+
+
+def match_csv_inputs(spark, sf) -> dict[str, DataFrame]:
+    """The five match inputs written as CSV and loaded back with
+    explicit schemas (no inferSchema pass over the data)."""
+    folder = scratch_path(spark, "match-csv")
+    for name, build in (("match_details", recast.match_details), ("matches", recast.matches),
+                        ("medals_matches_players", recast.medals_matches_players),
+                        ("medals", recast.medals), ("maps", recast.maps)):
+        layout.write_csv(build(spark, sf), f"{folder}/{name}")
+    return layout.read_csv_tables(spark, folder, MATCH_SCHEMAS)
+
+
 def bucketed_match_tables(spark, sf):
     """The three match facts bucketed on match_id."""
     tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
@@ -507,7 +529,8 @@ def q_session_avg_like(spark, sf):
 
 def q_session_by_host(spark, sf):
     """Sessions and average hits for three hosts."""
-    return windows.sessions_by_host(batch_sessions(spark, sf), SESSION_HOSTS)
+    return (windows.sessions_by_host(batch_sessions(spark, sf), SESSION_HOSTS)
+            .orderBy(F.desc_nulls_first("avg_events_per_session")))
 
 
 # -- data quality -------------------------------------------------------------------

@@ -23,6 +23,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", True).csv(path)
 
 
+def read_csv_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructType | str]) -> dict[str, DataFrame]:
+    """Load several CSV inputs (``folder/<name>``) with explicit schemas."""
+    return {name: read_csv(spark, f"{folder.rstrip('/')}/{name}", schema) for name, schema in schemas.items()}
+
+
 def write_bucketed(df: DataFrame, table_name: str, path: str, key: str | Sequence[str],
                    buckets: int = 16, sort: bool = True) -> DataFrame:
     """Write ``df`` as an external table bucketed (and sorted) on

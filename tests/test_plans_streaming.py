@@ -158,3 +158,11 @@ def test_stream_late_rows_and_cross_batch_sessions(spark):
                                                     scratch_path(spark, "late-ses-ck")))
     by_ip = {r.ip: r.num_hits for r in s.where("host = 'h'").collect()}
     assert by_ip == {"1.1.1.1": 3, "2.2.2.2": 2}
+
+
+def test_five_csv_inputs_roundtrip(spark):
+    dfs = C.match_csv_inputs(spark, SF001)
+    assert set(dfs) == set(C.MATCH_SCHEMAS)
+    assert dfs["matches"].count() == recast.matches(spark, SF001).count()
+    assert rows(dfs["maps"]) == rows(recast.maps(spark, SF001))
+    assert dict(dfs["medals_matches_players"].dtypes)["medal_id"] == "bigint"
