@@ -29,15 +29,20 @@ def read_csv_tables(spark: SparkSession, folder: str, schemas: dict[str, T.Struc
 
 
 def write_bucketed(df: DataFrame, table_name: str, path: str, key: str | Sequence[str],
-                   buckets: int = 16, sort: bool = True) -> DataFrame:
+                   buckets: int = 16, sort: bool = True, cluster: bool = True) -> DataFrame:
     """Write ``df`` as an external table bucketed (and sorted) on
     ``key`` and read it back through the catalog.
 
     Two tables bucketed on the join key with the same bucket count join
     without an ``Exchange``; sorting each bucket lets the sort-merge join
-    skip its sort too.
+    skip its sort too. ``cluster`` first hash-partitions the rows on the
+    bucket key into ``buckets`` partitions (Spark's bucket hash), so each
+    bucket is written by one task as one file instead of one file per
+    writing task and bucket.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if cluster:
+        df = df.repartition(buckets, *keys)
     w = df.write.mode("overwrite").bucketBy(buckets, *keys)
     if sort:
         w = w.sortBy(*keys)

@@ -24,6 +24,26 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB inputs), to be merged into the
+# cluster's own spark-defaults. The initial shuffle partition count is high
+# and AQE coalesces it down to ~256 MB partitions from runtime sizes, so
+# every shuffle partition fits an executor's memory without spilling much;
+# a skewed partition over 5x the median and 256 MB is split by AQE.
+CLUSTER_CONF = {
+    **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # large session / window state off-heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     """Local session for tests and benchmarks (never for a cluster)."""
