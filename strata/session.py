@@ -13,7 +13,6 @@ from pyspark.sql import SparkSession
 # keys in sort-merge joins.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # merge session windows inside each partition before the shuffle, so a
@@ -31,6 +30,7 @@ DEFAULT_CONF = {
 # a skewed partition over 5x the median and 256 MB is split by AQE.
 CLUSTER_CONF = {
     **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
@@ -49,6 +49,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Local session for tests and benchmarks (never for a cluster)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         # with a handful of shuffle partitions, coalescing only removes
+         # parallelism from CPU-heavy stages; on a cluster it stays on
+         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
          .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g")))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
