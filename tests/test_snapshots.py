@@ -107,3 +107,25 @@ def test_bucketed_snapshot_step_shuffles_only_today(spark):
     got = spark.table(name).where("current_season = 2001")
     want = C.players_snapshots(spark, SF001, 2001, only_last=True)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_cumulative_rerun_of_a_period_is_idempotent(spark):
+    from strata import catalog as C
+    from strata.operators import cumulate
+    from strata.sources.snapshots import write_period
+    path = scratch_path(spark, "players")
+    ps = recast.player_seasons(spark, SF001)
+    kw = dict(period_col="season", stats_cols=["gp", "pts"], history_col="season_stats",
+              current_col="current_season", classify=C._player_class, class_measure="pts",
+              class_col="scoring_class", since_col="years_since_last_season")
+    write_period(C.players_snapshots(spark, SF001, 2000, only_last=True), path, "current_season")
+
+    def run_2001():
+        y = read_period(spark, path, "current_season", 2000)
+        write_period(cumulate.cumulate_step(y, ps.where(F.col("season") == 2001), ["player_id"], **kw),
+                     path, "current_season")
+        return rows(read_period(spark, path, "current_season", 2001).drop("current_season"))
+
+    first, second = run_2001(), run_2001()
+    assert first == second
+    assert spark.read.parquet(path).where("current_season = 2001").count() == len(first)
