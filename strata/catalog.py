@@ -8,6 +8,7 @@ orders span 1995-2001, events span 2024-01-01 .. 2024-01-30.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -415,7 +416,7 @@ def match_csv_inputs(spark, sf) -> dict[str, DataFrame]:
 
 def bucketed_match_tables(spark, sf):
     """The three match facts bucketed on match_id."""
-    tag = scratch_path(spark, "bucketed").rsplit("-", 1)[-1]
+    tag = uuid.uuid4().hex[:12]
     out = {}
     for name, df in (("match_details", recast.match_details(spark, sf)),
                      ("matches", recast.matches(spark, sf)),

@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import json_props
 from strata.operators.joins import first_per_key
 
-VERTEX_TYPES = ("player", "team", "game")
-EDGE_TYPES = ("plays_against", "shares_team", "plays_in", "plays_on")
+from strata.sources.schemas import EDGE_TYPES, VERTEX_TYPES  # noqa: F401,E402  (enum domains)
 
 # Columns the edge builders carry through the (player, game) dedupe. Both
 # edge kinds use the same set so their dedupe subtrees are identical and
