@@ -475,7 +475,9 @@ def _raw_stream(spark, sf) -> DataFrame:
 
 def _run(spark, stream: DataFrame, name: str) -> DataFrame:
     sink = scratch_path(spark, f"{name}-sink")
-    runner.run_available_now(stream, sink, scratch_path(spark, f"{name}-ckpt"))
+    # state partitions sized to the cores at hand for this bounded replay
+    parts = 2 * spark.sparkContext.defaultParallelism
+    runner.run_available_now(stream, sink, scratch_path(spark, f"{name}-ckpt"), state_partitions=parts)
     return spark.read.parquet(sink)
 
 

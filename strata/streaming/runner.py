@@ -27,11 +27,24 @@ def file_stream(spark: SparkSession, folder: str, file_name: str, *,
 
 
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint_path: str, *,
-                      output_mode: str = "append") -> str:
-    """Process everything available, write Parquet to ``sink_path``, stop."""
-    q = (stream.writeStream.format("parquet").outputMode(output_mode)
-         .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start(sink_path))
-    q.awaitTermination()
+                      output_mode: str = "append", state_partitions: int | None = None) -> str:
+    """Process everything available, write Parquet to ``sink_path``, stop.
+
+    ``state_partitions`` fixes the number of state-store partitions of a
+    new query (Spark takes it from ``spark.sql.shuffle.partitions`` when the
+    query first starts and keeps it in the checkpoint); the session value is
+    restored afterwards.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = (stream.writeStream.format("parquet").outputMode(output_mode)
+             .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start(sink_path))
+        q.awaitTermination()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return sink_path
