@@ -536,6 +536,34 @@ def q_session_by_host(spark, sf):
             .orderBy(F.desc_nulls_first("avg_events_per_session")))
 
 
+# -- the SQL-text jobs (temp view + spark.sql with bound parameters) -------------------
+
+def q_sql_monthly_first_days(spark, sf):
+    """C44 in SQL form over the users' month arrays."""
+    from strata.operators import sqljobs
+    arr = user_month_arrays(spark, sf).select(
+        "month_start", F.col("metric_array").alias("hit_array"), F.lit(SNAPSHOT_DAY).alias("date_partition"))
+    return sqljobs.monthly_site_hits_sql(spark, arr, SNAPSHOT_DAY)
+
+
+def q_sql_player_streaks(spark, sf):
+    """C45 in SQL form over every player snapshot."""
+    from strata.operators import sqljobs
+    snaps = players_snapshots(spark, sf).select(F.col("player_id").alias("player_name"), "current_season",
+                                                "scoring_class")
+    return sqljobs.player_streaks_sql(spark, snaps)
+
+
+def q_sql_team_vertices(spark, sf):
+    """C46 in SQL form (MAP properties, values exposed by key)."""
+    from strata.operators import sqljobs
+    v = sqljobs.team_vertices_sql(spark, recast.teams(spark, sf))
+    keys = ["abbreviation", "nickname", "city", "arena", "year_founded"]
+    return v.select(F.col("identifier").cast("string").alias("identifier"), "type",
+                    *[F.col("properties")[k].alias(k) for k in keys],
+                    F.array_join(F.map_keys("properties"), ",").alias("property_keys"))
+
+
 # -- data quality -------------------------------------------------------------------
 
 def q_quality_violations(spark, sf):
