@@ -157,8 +157,17 @@ def vertex_counts(vertices_df: DataFrame) -> DataFrame:
     return vertices_df.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _join_subject(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
-    v, e = vertices_df.alias("v"), edges_df.alias("e")
+def _join_subject(vertices_df: DataFrame, edges_df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Vertices joined to the edges they are the subject of.
+
+    The vertex JSON fields are extracted on the vertex side *before* the
+    join (one parse per vertex instead of one per edge row; Catalyst does
+    not push expressions below a join by itself). Extracted fields are
+    named ``v_<field>``.
+    """
+    v = vertices_df.select("identifier", "type", *[
+        F.get_json_object("properties", f"$.{f}").alias(f"v_{f}") for f in fields]).alias("v")
+    e = edges_df.alias("e")
     return v.join(e, (F.col("v.identifier") == F.col("e.subject_identifier"))
                   & (F.col("v.type") == F.col("e.subject_type")))
 
@@ -169,18 +178,19 @@ def max_edge_points(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     Every edge whose subject is the vertex takes part; edges without a
     ``pts`` property contribute NULL (reference semantics).
     """
-    j = _join_subject(vertices_df, edges_df)
-    return j.groupBy(F.get_json_object("v.properties", "$.player_name").alias("player_name")).agg(
+    j = _join_subject(vertices_df, edges_df, ["player_name"])
+    return j.groupBy(F.col("v_player_name").alias("player_name")).agg(
         F.max(F.get_json_object("e.properties", "$.pts").try_cast("int")).alias("max_points"))
 
 
 def games_per_point(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     """The draft ratio games / points (0 points read as 1), kept as is."""
-    j = _join_subject(vertices_df, edges_df).where(F.col("e.object_type") == "player")
-    games = F.coalesce(F.get_json_object("v.properties", "$.number_of_games").try_cast("double"), F.lit(0.0))
-    tp = F.get_json_object("v.properties", "$.total_points").try_cast("double")
+    j = _join_subject(vertices_df, edges_df.where(F.col("object_type") == "player"),
+                      ["player_name", "number_of_games", "total_points"])
+    games = F.coalesce(F.col("v_number_of_games").try_cast("double"), F.lit(0.0))
+    tp = F.col("v_total_points").try_cast("double")
     return j.select(
-        F.get_json_object("v.properties", "$.player_name").alias("player_name"),
+        F.col("v_player_name").alias("player_name"),
         F.col("e.object_identifier").alias("object_identifier"),
         (games / F.when(tp == 0, F.lit(1.0)).otherwise(tp)).alias("games_per_point"),
         F.get_json_object("e.properties", "$.subject_points").alias("subject_points"),
@@ -189,15 +199,16 @@ def games_per_point(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
 
 def points_per_game(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     """C20: points per game from typed properties; NULL-safe, zero-safe."""
-    j = _join_subject(vertices_df, edges_df).where(F.col("e.object_type") == "player")
+    j = _join_subject(vertices_df, edges_df.where(F.col("object_type") == "player"),
+                      ["player_name", "number_of_games", "total_points"])
 
-    def num(c: str, f: str) -> Column:
-        return F.nullif(F.get_json_object(c, f"$.{f}"), F.lit("")).try_cast("double")
+    def num(c: Column) -> Column:
+        return F.nullif(c, F.lit("")).try_cast("double")
 
-    total, games = num("v.properties", "total_points"), num("v.properties", "number_of_games")
+    total, games = num(F.col("v_total_points")), num(F.col("v_number_of_games"))
     return j.select(
-        F.get_json_object("v.properties", "$.player_name").alias("player_name"),
+        F.col("v_player_name").alias("player_name"),
         F.col("e.object_identifier").alias("object_identifier"),
         F.coalesce(F.try_divide(F.nullif(total, F.lit(0.0)), games), F.lit(0.0)).alias("points_per_game"),
-        num("e.properties", "subject_points").alias("subject_points"),
-        num("e.properties", "num_games").alias("num_games"))
+        num(F.get_json_object("e.properties", "$.subject_points")).alias("subject_points"),
+        num(F.get_json_object("e.properties", "$.num_games")).alias("num_games"))

@@ -40,6 +40,11 @@ PLAYER_CLASS_CUTS = [(410000.0, "star"), (330000.0, "good"), (250000.0, "average
 ACTOR_CLASS_CUTS = [(8.0, "star"), (7.0, "good"), (6.0, "average")]
 RATING_SCALE = 50000.0
 
+# near-unique columns the fact scans are spread on (see tables.spread_scan)
+ORDERS_KEY = ("o_orderkey",)
+LINEITEM_KEY = ("l_orderkey", "l_linenumber")
+EVENTS_KEY = ("event_id",)
+
 
 def money_mean(price_col: str) -> F.Column:
     """Mean of a two-decimal money column, summed exactly as DECIMAL.
@@ -53,7 +58,7 @@ def money_mean(price_col: str) -> F.Column:
 
 def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(player_id, season, gp, pts): one row per customer and order year."""
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders", spread=ORDERS_KEY)
     return (o.groupBy(F.col("o_custkey").alias("player_id"),
                       F.year("o_orderdate").alias("season"))
              .agg(F.count(F.lit(1)).alias("gp"), money_mean("o_totalprice").alias("pts")))
@@ -61,7 +66,7 @@ def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(actorid, actor, film, votes, rating, filmid, year) from orders."""
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders", spread=ORDERS_KEY)
     return o.select(
         F.col("o_custkey").alias("actorid"),
         F.concat(F.lit("actor_"), F.col("o_custkey").cast("string")).alias("actor"),
@@ -75,7 +80,7 @@ def actor_films(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One game per order, with home / visitor teams and points."""
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders", spread=ORDERS_KEY)
     pts_home = (F.lit(80) + (F.col("o_orderkey") * 7) % 41).cast("int")
     pts_away = (F.lit(80) + (F.col("o_custkey") * 11) % 41).cast("int")
     return o.select(
@@ -95,7 +100,7 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``line_no`` / ``part_no`` make a total order inside a grain group.
     """
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem", spread=LINEITEM_KEY)
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (li.join(s, li.l_suppkey == s.s_suppkey)
@@ -146,7 +151,7 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web-traffic events: user, device, host, event time (wall clock)."""
-    e = table(spark, sf_dir, "events", spread=True)
+    e = table(spark, sf_dir, "events", spread=EVENTS_KEY)
     k = F.get_json_object("props", "$.k").cast("long")
     return e.select(
         "event_id",
@@ -166,7 +171,7 @@ def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw web events of the batch ``events`` table (see :func:`raw_from_events`)."""
-    return raw_from_events(table(spark, sf_dir, "events", spread=True))
+    return raw_from_events(table(spark, sf_dir, "events", spread=EVENTS_KEY))
 
 
 def raw_from_events(e: DataFrame) -> DataFrame:
@@ -211,7 +216,7 @@ def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One match per order; map = nation of the ordering customer."""
-    o = table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    o = table(spark, sf_dir, "orders", spread=ORDERS_KEY).select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (o.join(c, o.o_custkey == c.c_custkey)
              .select(F.col("o_orderkey").alias("match_id"),
@@ -222,7 +227,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (match, player) line: kills = quantity."""
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem", spread=LINEITEM_KEY)
     return li.select(F.col("l_orderkey").alias("match_id"),
                      F.col("l_suppkey").alias("player_gamertag"),
                      F.col("l_linenumber").alias("line_no"),
@@ -231,7 +236,7 @@ def match_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def medals_matches_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Medals earned: one per lineitem, medal = part."""
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem", spread=LINEITEM_KEY)
     return li.select(F.col("l_orderkey").alias("match_id"),
                      F.col("l_suppkey").alias("player_gamertag"),
                      F.col("l_linenumber").alias("line_no"),

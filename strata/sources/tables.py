@@ -15,26 +15,33 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool = False) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool | tuple = False) -> DataFrame:
     """One input table as a lazily scanned DataFrame.
 
-    ``spread=True`` (used for the fact tables) applies :func:`spread_scan`.
+    ``spread`` (used for the fact tables) applies :func:`spread_scan`; a
+    tuple names near-unique key columns to hash on.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_scan(df) if spread else df
+    if not spread:
+        return df
+    return spread_scan(df, spread if isinstance(spread, tuple) else ())
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has
-    cores (a small file written as one row group reads as ONE task, and all
-    map-side work before the first shuffle would run in it).
+def spread_scan(df: DataFrame, keys: tuple = ()) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores (a
+    small file written as one row group reads as ONE task, and all map-side
+    work before the first shuffle would run in it).
 
-    At scale a fact table has far more splits than cores and this is a
-    no-op. Filters and column pruning still reach the scan below the
-    repartition.
+    With ``keys`` (near-unique columns) rows are hash-partitioned on them:
+    deterministic, so a retried task needs no pre-sort (round-robin
+    repartitioning sorts every row first to stay retry-safe). At scale a
+    fact table has far more splits than cores and this is a no-op. Filters
+    and column pruning still reach the scan below the repartition.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

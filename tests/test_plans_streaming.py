@@ -113,7 +113,8 @@ def test_pushdown_survives_spread(spark):
     ev = recast.web_events(spark, SF001).where(day_range("event_time", "2024-01-05")).select("user_id")
     text = plan_text(ev, "formatted")
     assert "GreaterThanOrEqual(ts" in text
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in text
+    # pruned to the used columns plus the spread's hash key
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in text
 
 
 def _write_batches(spark, folder, batches):
