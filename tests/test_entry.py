@@ -24,3 +24,20 @@ def test_every_query_runs_on_smallest_data(spark):
             continue  # exercised in test_plans_streaming
         df = fn(spark, "/root/testdata/sf0.001")
         assert df.limit(1).count() >= 0, name
+
+
+def test_every_oracle_statement_runs_on_duckdb():
+    import os
+
+    import duckdb
+
+    from strata.sources.tables import TABLES
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    assert os.path.exists("/root/testdata/sf0.001/orders.parquet")
+    for name, sql in E.oracle_sql().items():
+        res = con.execute(sql)
+        cols = [d[0] for d in res.description]
+        assert len(cols) == len(set(cols)), name
+        res.fetchall()
