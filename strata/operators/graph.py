@@ -111,7 +111,7 @@ def plays_in_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no",
 
 
 def pair_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no"),
-               salt: int = 1) -> DataFrame:
+               salt: int = 1, hot_rows: int | None = None) -> DataFrame:
     """Player <-> player edges for players who met in a game.
 
     A self equi-join on game (the residual ``id1 > id2`` and name test is a
@@ -120,11 +120,22 @@ def pair_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "par
     hot join key: AQE's skew-join split handles it at runtime, and
     ``salt > 1`` additionally spreads every game's left rows over ``salt``
     tasks (right rows replicated ``salt`` times) so that no single task
-    builds all pairs of a hot game.
+    builds all pairs of a hot game. ``hot_rows`` salts adaptively instead:
+    a game with ``n`` rows gets ``ceil(n / hot_rows)`` salts, so ordinary
+    games are not replicated at all and a hot game's pairs are cut into
+    tasks of at most ``hot_rows`` left rows (the per-game counts are one
+    extra aggregate joined back on the game key).
     """
     d = dedupe_appearances(details, order_by=order_by, keep=EDGE_PAYLOAD).select(
         "game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    if salt > 1:
+    if hot_rows:
+        sizes = d.groupBy("game_id").agg(F.count(F.lit(1)).alias("_n"))
+        sized = d.join(sizes, "game_id").withColumn(
+            "_k", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(hot_rows))).cast("long")).drop("_n")
+        left = sized.withColumn("_s", F.pmod(F.xxhash64("player_id"), F.col("_k"))).drop("_k")
+        right = sized.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))).drop("_k")
+        keys = ["game_id", "_s"]
+    elif salt > 1:
         left = d.withColumn("_s", F.pmod(F.xxhash64("player_id"), F.lit(salt)))
         right = d.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
         keys = ["game_id", "_s"]

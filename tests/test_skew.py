@@ -39,6 +39,8 @@ def test_pair_edges_salted_on_hot_game(spark):
     plain = graph.pair_edges(d, order_by=order)
     salted = graph.pair_edges(d, order_by=order, salt=8)
     assert rows(salted) == rows(plain)
+    adaptive = graph.pair_edges(d, order_by=order, hot_rows=50)   # only game 0 is split
+    assert rows(adaptive) == rows(plain)
 
 
 def test_distinct_count_is_two_level(spark):
