@@ -74,16 +74,24 @@ def kafka_source_options(bootstrap: str, topic: str, *, starting: str = "latest"
 
 def start_parquet_sink(stream: DataFrame, sink_path: str, checkpoint_path: str, *,
                        trigger: str = "10 seconds", output_mode: str = "append",
-                       name: str | None = None) -> StreamingQuery:
+                       name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Long-running form: a micro-batch every ``trigger`` (the reference
     checkpoints every 10 s; ``"available_now"`` drains and stops), state
-    and offsets in ``checkpoint_path``."""
+    and offsets in ``checkpoint_path``. ``state_partitions`` fixes the
+    state-store partition count of a new query (kept in its checkpoint)."""
     w = (stream.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", checkpoint_path))
     w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger)
     if name:
         w = w.queryName(name)
-    return w.start(sink_path)
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return w.start(sink_path)
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def start_many(streams: Mapping[str, DataFrame], sink_root: str, checkpoint_root: str, *,
