@@ -201,3 +201,22 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", keep: tupl
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(keep))], pa.array(lang, pa.string()), pa.array(sure), pa.array(close)], names=names)
 
     return src.mapInArrow(run, schema)
+
+
+def identified(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows, columns unchanged, whose language is known: neither ``und``
+    nor ambiguous."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for batch in batches:
+            for part in C.slices(batch, text):
+                vectors = [_counts(t or "", m.bits) if m else None for t in part.column(part.schema.get_field_index(text)).to_pylist()]
+                keep = np.zeros(len(part), bool)
+                at = [i for i, v in enumerate(vectors) if v is not None]
+                if at:
+                    keep[at] = ~decode(m, np.array([vectors[i] @ m.weights[:-1] for i in at]) + 0.3 * m.weights[-1])[2]
+                yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
