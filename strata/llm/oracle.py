@@ -79,7 +79,7 @@ WITH t AS (
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS ls FROM documents),
 g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM t)),
 twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
-rep AS (SELECT doc_id, count(DISTINCT at) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS at FROM twice) GROUP BY doc_id),
+rep AS (SELECT doc_id, count(DISTINCT pos) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM twice) GROUP BY doc_id),
 m AS (SELECT t.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
     len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
     len(regexp_extract_all(t, '[A-Z]')) AS n_upper, len(regexp_extract_all(t, '!')) AS n_bangs
