@@ -16,11 +16,13 @@ neighbourhoods are signatures too); all others get 0. The sum of
 
 Equal signatures form buckets. A bucket is linked as a star, first within
 the rows of a task (so a hot bucket reaches the shuffle as a few rows), then
-overall; stars are verified exactly on the sets. Links are only missing
-where a bucket still holds several components: those are tried again with
-other hubs, and what is left is compared pair by pair, but only across
-components. So every link between different sets is found or implied by
-transitivity, and a group of copies is never expanded into all pairs.
+overall; stars are verified exactly on the sets. Links can only be missing
+where a bucket still holds several components. There the sets are described
+by their differences from a pivot near the middle of the bucket: similar
+sets that are not both similar to the pivot share a difference, and many if
+they are far from it, so an index of the rarest differences finds them. Every
+link between different sets is found or implied by transitivity, and neither
+copies nor crowds of unlinked near copies are expanded into all pairs.
 
 Sets are known by a 64-bit key (a sum of scrambled element hashes); equal
 sets are one node.
@@ -40,7 +42,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
@@ -56,8 +58,6 @@ class Join:
     num: int = 90
     den: int = 100
     width: int = 3
-    #: Rounds of stars before the rest is compared pair by pair.
-    stars: int = 3
     #: Size of the broadcast filter of sets to verify (2**26 bits: 8 MB).
     filter_bits: int = 26
 
@@ -264,34 +264,18 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", params: Join
     links = _similar(tried, found, j)
     root = components(links)
 
-    open_stars = stars
-    for k in range(1, j.stars + 1):
-        rest = _split(open_stars, root)
-        if k == 1 and rest is not None:
-            # all members of the buckets that hold several components
-            sigs = rest.select("sig").distinct()
-            open_stars = stars.join(sigs, "sig", "left_semi")
-            members = open_stars.select("sig", F.col("hub").alias("node")).union(open_stars.select("sig", "node")).distinct()
-            members = staged(members, "members")
-        if rest is None:
-            break
-        rooted = _rooted(members, root, "node")
-        if k < j.stars:
-            # another hub in each bucket, the same one for all its members
-            order = F.struct(F.xxhash64("node", F.lit(k)), "node", "root")
-            hubs = rooted.groupBy("sig").agg(F.min(order).alias("h")).select("sig", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
-            new = rooted.join(hubs, "sig").where(F.col("root") != F.col("hub_root"))
-        else:
-            other = rooted.select("sig", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-            new = rooted.join(other, "sig").where(F.col("root") < F.col("hub_root"))
-        new = staged(_pairs(new).join(tried, ["a", "b"], "left_anti"), "pairs")
+    sigs = _open_buckets(stars, root)
+    if sigs is not None:
+        members = stars.join(sigs, "sig", "left_semi")
+        members = staged(members.select("sig", F.col("hub").alias("node")).union(members.select("sig", "node")).distinct(), "members")
+        around = _around_pivots(members, found)
+        # every set of a group against its pivot: most of what is linked at all
+        links = links.union(around.where(_close(j, F.col("pn"), F.col("n"), F.size("diff"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")))
+        root = components(links)
+        new = staged(_overlapping(around, root, j), "pairs")
         if not new.isEmpty():
-            tried = tried.union(new)
-            more = _similar(new, found, j)
-            if not more.isEmpty():
-                links = links.union(more)
-                root = components(links)
-        open_stars = _stars_of(members)
+            links = links.union(_similar(new, found, j))
+            root = components(links)
     return _named(signed, key, root)
 
 
@@ -300,16 +284,69 @@ def _rooted(rows: DataFrame, root: DataFrame, node: str) -> DataFrame:
     return rows.join(names, rows[node] == names["__n"], "left").withColumn("root", F.coalesce("root", node)).drop("__n")
 
 
-def _stars_of(members: DataFrame) -> DataFrame:
-    return members.withColumn("hub", F.min("node").over(Window.partitionBy("sig"))).where(F.col("hub") != F.col("node"))
-
-
-def _split(stars: DataFrame, root: DataFrame) -> DataFrame | None:
-    """Stars whose ends lie in different components, or None."""
+def _open_buckets(stars: DataFrame, root: DataFrame) -> DataFrame | None:
+    """Signatures whose sets lie in different components, or None."""
     ends = _rooted(stars, root, "node").withColumnRenamed("root", "own")
-    ends = _rooted(ends, root, "hub").where(F.col("own") != F.col("root")).select("sig", "hub", "node")
-    ends = staged(ends, "split")
-    return None if ends.isEmpty() else ends
+    sigs = staged(_rooted(ends, root, "hub").where(F.col("own") != F.col("root")).select("sig").distinct(), "open")
+    return None if sigs.isEmpty() else sigs
+
+
+def _close(j: Join, a: Column, b: Column, apart: Column) -> Column:
+    """Are sets of sizes ``a`` and ``b`` with so many differences similar?"""
+    return apart * (j.den + j.num) <= (a + b) * (j.den - j.num)
+
+
+def _differences(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """``pairs`` (pivot, node) with sizes ``pn``, ``n`` and the symmetric
+    difference ``diff``."""
+    one = found.select(F.col("node").alias("pivot"), F.col("elements").alias("ep"))
+    two = found.select("node", F.col("elements").alias("en"))
+    met = pairs.join(one, "pivot").join(two, "node")
+    diff = F.concat(F.array_except("ep", "en"), F.array_except("en", "ep"))
+    return met.select(*pairs.columns, F.size("ep").alias("pn"), F.size("en").alias("n"), diff.alias("diff"))
+
+
+def _around_pivots(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Buckets drawn together into groups, and each group's sets by their
+    difference from a pivot: the set that is nearest to the group's majority.
+
+    Two sets of a bucket are in one group. If they are similar and share no
+    difference from the pivot, both are similar to the pivot itself; so all
+    links not given by the pivot are between sets that share a difference.
+    """
+    hubs = members.groupBy("sig").agg(F.min("node").alias("hub"))
+    # a hub's bucket joins the group of the least hub that it meets elsewhere
+    under = members.join(hubs, "sig")
+    first = under.groupBy("node").agg(F.min("hub").alias("group")).withColumnRenamed("node", "of")
+    groups = under.join(first, under["hub"] == first["of"]).select("group", "node").distinct()
+    groups = staged(groups, "groups")
+    rough = staged(_differences(groups.withColumnRenamed("group", "pivot"), found), "rough")
+    size = groups.groupBy("group").agg(F.count(F.lit(1)).alias("held"))
+    each = rough.select(F.col("pivot").alias("group"), "node", F.explode("diff").alias("x"))
+    common = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c")).join(size, "group").where(2 * F.col("c") > F.col("held")).select("group", "x")
+    held = each.join(common, ["group", "x"]).groupBy("group", "node").agg(F.count(F.lit(1)).alias("in_common"))
+    far = F.size("diff") - 2 * F.coalesce("in_common", F.lit(0))
+    score = rough.withColumnRenamed("pivot", "group").join(held, ["group", "node"], "left")
+    pivot = score.groupBy("group").agg(F.min(F.struct(far.alias("far"), F.col("node"))).alias("p")).select("group", F.col("p.node").alias("pivot"))
+    return staged(_differences(groups.join(pivot, "group"), found), "around")
+
+
+def _overlapping(around: DataFrame, root: DataFrame, j: Join) -> DataFrame:
+    """Pairs of sets of one group, in different components, that may be
+    similar: they need ``(|dx| + |dy| - H) / 2`` common differences, so with
+    the rarest differences first their first common one comes early."""
+    most = F.floor((F.col("n") + F.floor(F.col("n") * j.den / j.num)) * (j.den - j.num) / (j.den + j.num))
+    each = _rooted(around.select("group", "node", "n", F.size("diff").alias("d"), most.alias("most"), F.explode("diff").alias("x")), root, "node")
+    often = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c"), F.count_distinct("root").alias("roots"))
+    # a difference that one component has alone pairs nothing up
+    ranked = each.join(often, ["group", "x"]).withColumn("left", F.col("d") - F.row_number().over(Window.partitionBy("group", "node").orderBy("c", "x")) + 1)
+    ranked = ranked.where((F.col("roots") > 1) & (F.col("d") - F.col("left") <= F.col("most")))
+    one = ranked.select("group", "x", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("left").alias("la"))
+    two = ranked.select("group", "x", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("left").alias("lb"))
+    # with ``o`` common differences the two sets are da + db - 2 o apart
+    enough = _close(j, F.col("na"), F.col("nb"), F.col("da") + F.col("db") - 2 * F.least("la", "lb"))
+    met = one.join(two, ["group", "x"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & enough)
+    return met.select("a", "b").distinct()
 
 
 def _named(signed: DataFrame, key: str, root: DataFrame) -> DataFrame:
