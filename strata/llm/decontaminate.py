@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
+from strata.llm.common import staged
 
 HIT_TYPE = "array<struct<item_id:bigint,distance:int>>"
 _HIT = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32())]))
@@ -59,6 +60,8 @@ class Search:
     #: Tables that sample the same embedding.
     tables_a_walk: int = 16
     block_words: int = 1_000_000
+    #: Blocks worked off in one job; each needs a Python worker in every task.
+    passes: int = 4
     seed: int = 11
 
 
@@ -268,14 +271,18 @@ def indexes(benchmark: DataFrame, item_key: str, item_text: str, search: Search)
 def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", keep: tuple[str, ...] = ("doc_id",), search: Search | None = None) -> DataFrame:
     """``keep`` columns and ``hits`` of every row, block by block."""
     src = docs.select(*keep, F.col(text).alias("__text"), F.array().cast(HIT_TYPE).alias("hits"))
-    for index in indexes(benchmark, item_key, item_text, search or Search()):
+    s = search or Search()
+    for k, index in enumerate(indexes(benchmark, item_key, item_text, s)):
+        src = staged(src, "items") if k and k % s.passes == 0 else src
         src = src.mapInArrow(_pass(index), src.schema)
     return src.drop("__text")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", search: Search | None = None) -> DataFrame:
     """The rows, columns unchanged, in which no item is found."""
-    for index in indexes(benchmark, item_key, item_text, search or Search()):
+    s = search or Search()
+    for k, index in enumerate(indexes(benchmark, item_key, item_text, s)):
+        docs = staged(docs, "items") if k and k % s.passes == 0 else docs
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
