@@ -44,7 +44,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores every document; learns from labelled rows outside the fold."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity_ftrl.fit(docs.join(labels, "doc_id").where(~held_out()))
+    model = toxicity_ftrl.fit(docs, labels.where(~held_out()))
     score = toxicity_ftrl.score(docs, model)
     return score.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 

@@ -106,19 +106,27 @@ def _train(rows: list[np.ndarray], labels: np.ndarray, order: list[np.ndarray],
     return all_w[:size], float(all_w[size])
 
 
-def fit(labelled: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id", params: Ftrl | None = None) -> Model:
-    """``labelled``: texts with 0/1 labels. The bounded sample is featurised
-    by Spark and learnt by one task; only non-zero weights come back."""
+def fit(docs: DataFrame, labels: DataFrame | None = None, label: str = "toxic", text: str = "text", key: str = "doc_id", params: Ftrl | None = None) -> Model:
+    """Learns from ``docs`` with the 0/1 labels of ``labels`` (None: ``docs``
+    has them). The sample is drawn from the labels alone; at most about
+    ``2 * max_train_rows`` keys are sent to the documents, which stay where
+    they are. Spark featurises the sample and one task learns it; only
+    non-zero weights come back."""
     p = params or Ftrl()
-    src = labelled.where(F.col(label).isin(0, 1)).select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y"))
-    src = src.withColumn("o", F.xxhash64(F.lit("ftrl"), "k"))
-    counts = {r.y: r["count"] for r in src.groupBy("y").count().collect()}
+    marks = (docs if labels is None else labels).where(F.col(label).isin(0, 1))
+    marks = marks.withColumns({"y": F.col(label).cast("int"), "k": F.col(key).cast("string")}).withColumn("o", F.xxhash64(F.lit("ftrl"), "k"))
+    counts = {r.y: r["count"] for r in marks.groupBy("y").count().collect()}
     # the smallest hashes of each class: a threshold, not a sort of all rows
     share = {y: min(1.0, p.max_train_rows / n) for y, n in counts.items()}
     chosen = F.lit(False)
     for y, s in share.items():
         chosen = chosen | ((F.col("y") == y) & C.in_share("o", s))
-    sample = featurise(src.where(chosen), "t", ("k", "y", "o"), p.bits)
+    if labels is None:
+        drawn = marks.where(chosen).select("k", "y", "o", F.col(text).alias("t"))
+    else:  # bounded: max_train_rows a class
+        few = F.broadcast(marks.where(chosen).select(F.col(key).alias("__key"), "k", "y", "o"))
+        drawn = docs.join(few, docs[key] == few["__key"]).select("k", "y", "o", F.col(text).alias("t"))
+    sample = featurise(drawn, "t", ("k", "y", "o"), p.bits)
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["o", "k", "y"], kind="stable").reset_index(drop=True)
