@@ -7,22 +7,28 @@ band's scheme the hashed universe is cut into ``H + 1`` segments; two
 partners must then agree on the whole of at least one segment, so the hash
 of each segment's subset is a signature, and partners share one.
 
-Segments that hold few elements are poor signatures (all sets with an empty
-segment agree there). The allocation gives every segment a threshold by its
-cost: -1 (skipped) to a set's lightest ones, made up for by +1 on reserve
-segments, which are matched within one deletion (their one-deletion
-neighbourhoods are signatures too); all others get 0. The sum of
-``threshold + 1`` stays ``H + 1``, so nothing is lost.
-
-Equal signatures form buckets. A bucket is linked as a star, first within
-the rows of a task (so a hot bucket reaches the shuffle as a few rows), then
-overall; stars are verified exactly on the sets. Links can only be missing
-where a bucket still holds several components. There the sets are described
-by their differences from a pivot near the middle of the bucket: similar
-sets that are not both similar to the pivot share a difference, and many if
-they are far from it, so an index of the rarest differences finds them. Every
-link between different sets is found or implied by transitivity, and neither
-copies nor crowds of unlinked near copies are expanded into all pairs.
+The allocation gives every segment a threshold by its cost: empty segments,
+which would agree in all small sets, get -1 (skipped); in large schemes one
+reserve segment gets +1 and is matched within one deletion (its one-deletion
+neighbourhoods are signatures too); all others get 0. Schemes have a few
+segments more than ``H + 1`` to pay for the skipped ones; a set that has too
+many empty segments skips none. The sum of ``threshold + 1`` never falls
+below ``H + 1``, so nothing is lost.
+
+Equal signatures form buckets. In buckets of up to ``crowd`` sets all pairs
+are counted; a set with ``e`` segments in use shares at least ``e - H`` with
+a partner, so pairs with fewer common signatures are left out before any set
+is moved. What is left is verified exactly on the sets.
+
+Larger buckets hold crowds of near copies, or passages that very many texts
+share. A set with few signatures in such buckets is found without them: the
+``e - H`` leaves room. Only crowded sets, with more of them, are searched for
+there: they are described by their differences from a pivot near the middle
+of their crowd; similar sets that are not both similar to the pivot share a
+difference, and many if they are far from it, so an index of the rarest
+differences finds them. Every link between different sets is found or
+implied by transitivity, and neither copies nor crowds of unlinked near
+copies are expanded into all pairs.
 
 Sets are known by a 64-bit key (a sum of scrambled element hashes); equal
 sets are one node.
@@ -50,7 +56,7 @@ from strata.llm.common import staged
 from strata.llm.components import components
 
 #: Signatures held back in a task to link equal ones at once.
-PENDING = 2_000_000
+PENDING = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -58,6 +64,8 @@ class Join:
     num: int = 90
     den: int = 100
     width: int = 3
+    #: Sets of a bucket up to which all its pairs are counted.
+    crowd: int = 16
     #: Size of the broadcast filter of sets to verify (2**26 bits: 8 MB).
     filter_bits: int = 26
 
@@ -75,15 +83,29 @@ def bands(num: int, den: int, size: int) -> np.ndarray:
     return _band_ends(num, den, 1 << max(10, int(size).bit_length()))
 
 
+@cache
+def scheme(num: int, den: int, high: int, low: int) -> tuple[int, int]:
+    """(segments, most differences) of the scheme of a band of sizes ``low``
+    to ``high``: enough segments that sets of size ``low`` can mostly skip
+    their empty ones."""
+    partner = high * den // num
+    most = (high + partner) * (den - num) // (den + num)
+    for m in range(most + 1, max(most + 2, low)):
+        empty = m * np.exp(-low / m)
+        if m - empty >= most + 1 + 2 * np.sqrt(empty):
+            return m, most
+    return most + 1, most
+
+
 def reserve(m: int) -> int:
-    """Segments matched within one deletion. An average segment has about 8
-    elements, so ``m * exp(-8)`` of them are expected to be empty; below 48
-    segments the neighbourhoods would cost more than they save."""
-    return 0 if m < 48 else 1 + int(3 * m * np.exp(-8))
+    """Segments matched within one deletion: only where their neighbourhoods
+    are few next to the signatures."""
+    return int(m >= 48)
 
 
-def segment_signatures(u: np.ndarray, band: int, m: int) -> np.ndarray:
-    """Signatures of one set in a band's scheme with ``m`` segments."""
+def segment_signatures(u: np.ndarray, band: int, m: int, most: int) -> tuple[np.ndarray, int]:
+    """Signatures of one set in a band's scheme with ``m`` segments, and how
+    many segments the allocation uses (0: all, as too many are empty)."""
     salt = C.mix(np.array([band + 1], np.uint64))
     with np.errstate(over="ignore"):
         e = C.mix(u ^ salt)
@@ -95,33 +117,37 @@ def segment_signatures(u: np.ndarray, band: int, m: int) -> np.ndarray:
         name = C.mix(salt + np.arange(m, dtype=np.uint64))
         out = C.mix(sums ^ name)
         r = reserve(m)
+        keep = np.diff(edge) > 0
+        keep[:r] = True
+        used = int(keep.sum())
+        if used + r <= most:
+            keep[:], used = True, 0
         if not r:
-            return out
-        held = np.diff(edge)
-        lightest = r + np.argsort(held[r:], kind="stable")[:r]
-        keep = np.ones(m, bool)
-        keep[lightest[held[lightest] <= 1]] = False
+            return out[keep], used
         inside = order[: edge[r]]
         deletions = C.mix((sums[seg[inside]] - C.mix(e[inside] + C.U(1))) ^ name[seg[inside]])
-        return np.concatenate([out[keep], deletions])
+        return np.concatenate([out[keep], deletions]), used
 
 
-def signatures(u: np.ndarray, j: Join) -> np.ndarray:
-    """All signatures of a set: in its own band's scheme and in the one
-    below, where it can be the larger partner."""
+def schemes(u: np.ndarray, j: Join) -> Iterator[tuple[bool, np.ndarray, int, int]]:
+    """(own band?, signatures, segments in use, most differences) of a set in
+    its own band's scheme and in the one below, where it can be the larger
+    partner."""
     n = len(u)
     ends = bands(j.num, j.den, n)
     own = int(np.searchsorted(ends, n))
-    out = []
     for band in (own, own - 1):
         if band < 0:
             continue
-        high = int(ends[band])
-        partner = high * j.den // j.num
-        most = (high + partner) * (j.den - j.num) // (j.den + j.num)
-        if most and n <= partner:  # else partners are equal sets
-            out.append(segment_signatures(u, band, most + 1))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        high, low = int(ends[band]), int(ends[band - 1]) + 1 if band else 1
+        m, most = scheme(j.num, j.den, high, low)
+        if most and n <= high * j.den // j.num:  # else partners are equal sets
+            yield band == own, *segment_signatures(u, band, m, most), most
+
+
+def signatures(u: np.ndarray, j: Join) -> np.ndarray:
+    """All signatures of a set."""
+    return np.concatenate([np.zeros(0, np.uint64), *[sig for _, sig, _, _ in schemes(u, j)]])
 
 
 def sets(text: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -139,7 +165,7 @@ def node_of(u: np.ndarray) -> int:
 
 
 class _Pending:
-    """Sets of a task whose signatures wait to be linked to one another."""
+    """Sets of a task whose signatures wait to be sent together."""
 
     def __init__(self) -> None:
         self.sigs: dict[int, np.ndarray] = {}
@@ -148,22 +174,22 @@ class _Pending:
     def add(self, u: np.ndarray, j: Join) -> None:
         node = node_of(u)
         if len(u) and node not in self.sigs:  # a copy adds nothing
-            self.sigs[node] = signatures(u, j)
+            self.sigs[node] = np.unique(signatures(u, j))
             self.held += len(self.sigs[node]) + 8
 
-    def flush(self) -> pa.RecordBatch:
-        """(sig, node, hub): every signature once, with a null hub, and the
-        links of the other sets that have it."""
+    def flush(self, crowd: int) -> pa.RecordBatch:
+        """(sig, part, node). A bucket that is a crowd already in this task
+        sends only so many sets to its own place; the others are dealt out
+        to many places (part > 0), as nothing needs to be counted there."""
         node = np.fromiter(self.sigs, np.int64, len(self.sigs))
         sig = np.concatenate([*self.sigs.values(), np.zeros(0, np.uint64)])
-        of = np.repeat(np.arange(len(node)), [len(x) for x in self.sigs.values()])
-        _, at, back = np.unique(sig, return_index=True, return_inverse=True)
-        opens = np.zeros(len(sig), bool)
-        opens[at] = True
-        hub = of[at][back]
-        out = opens | (hub != of)  # a set may meet a signature of its own
-        hubs = pa.array(node[hub[out]], pa.int64(), mask=opens[out])
-        return pa.RecordBatch.from_arrays([C.as_long(sig[out]), C.as_long(node[of[out]]), hubs], names=["sig", "node", "hub"])
+        of = np.repeat(node, [len(x) for x in self.sigs.values()])
+        order = np.argsort(sig, kind="stable")
+        fresh = np.append(True, np.diff(sig[order]) != 0)[: len(sig)]
+        rank = np.arange(len(sig)) - np.maximum.accumulate(np.where(fresh, np.arange(len(sig)), 0))
+        part = np.zeros(len(sig), np.int32)
+        part[order] = np.where(rank > crowd, 1 + (of[order] & 63), 0)
+        return pa.RecordBatch.from_arrays([C.as_long(sig), pa.array(part, pa.int32()), C.as_long(of)], names=["sig", "part", "node"])
 
 
 def _signature_rows(docs: DataFrame, text: str, j: Join) -> DataFrame:
@@ -174,26 +200,36 @@ def _signature_rows(docs: DataFrame, text: str, j: Join) -> DataFrame:
                 for u in sets(part.column(0), j.width):
                     wait.add(u, j)
                 if wait.held >= PENDING:
-                    yield wait.flush()
+                    yield wait.flush(j.crowd)
                     wait = _Pending()
         if wait.sigs:
-            yield wait.flush()
+            yield wait.flush(j.crowd)
+
+    return docs.select(F.col(text).alias("__text")).mapInArrow(run, "sig long, part int, node long")
+
 
-    return docs.select(F.col(text).alias("__text")).mapInArrow(run, "sig long, node long, hub long")
+def _buckets(docs: DataFrame, text: str, j: Join) -> DataFrame:
+    """(sig, part, node, held) of buckets with several sets; ``held`` is
+    their number, or more than ``crowd``."""
+    bucket = Window.partitionBy("sig", "part")
+    order = bucket.orderBy("node")
+    rows = _signature_rows(docs, text, j).withColumns({"at": F.dense_rank().over(order), "again": F.lag("node").over(order)})
+    rows = rows.withColumn("held", F.when(F.col("part") > 0, F.lit(j.crowd + 1)).otherwise(F.max("at").over(bucket)))
+    rows = rows.where((F.col("held") > 1) & (F.col("again").isNull() | (F.col("again") != F.col("node"))))
+    return staged(rows.select("sig", "part", "node", "held"), "buckets")
 
 
-def _stars(docs: DataFrame, text: str, j: Join) -> DataFrame:
-    """(sig, hub, node): the links of every bucket with several sets."""
-    bucket = Window.partitionBy("sig")
-    least = F.min(F.when(F.col("hub").isNull(), F.col("node"))).over(bucket)
-    linked = _signature_rows(docs, text, j).withColumn("hub", F.coalesce("hub", least))
-    return staged(linked.where(F.col("hub") != F.col("node")).select("sig", "hub", "node"), "stars")
+def _counted_pairs(buckets: DataFrame, j: Join) -> DataFrame:
+    """(a, b, c): pairs of sets with ``c`` signatures in common, counted in
+    the buckets that are no crowds. Each has at most ``crowd`` sets."""
+    small = buckets.where(F.col("held") <= j.crowd).groupBy("sig", "part").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    pairs = F.flatten(F.transform("nodes", lambda a, i: F.transform(F.slice("nodes", i + 2, F.size("nodes")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return small.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("c"))
 
 
-def _maybe(pairs: DataFrame, bits: int) -> np.ndarray:
-    """Bloom filter of the nodes in ``pairs``, ``2**bits`` bits whatever
-    their number: only its non-zero words come to the driver."""
-    node = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+def _maybe(node: DataFrame, bits: int) -> np.ndarray:
+    """Bloom filter of the nodes, ``2**bits`` bits whatever their number:
+    only its non-zero words come to the driver."""
     low = F.lit((1 << bits) - 1)
     place = F.explode(F.array(F.col("node").bitwiseAND(low), F.shiftrightunsigned("node", 64 - bits)))
     words = node.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("x"))
@@ -203,12 +239,37 @@ def _maybe(pairs: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _described(docs: DataFrame, text: str, keys: list[str], j: Join, pairs: DataFrame) -> DataFrame:
-    """``keys``, set size and node of each row; ``elements`` where the node
-    may be in ``pairs``, the first time a task meets it."""
+def _described(docs: DataFrame, text: str, keys: list[str], j: Join) -> DataFrame:
+    """``keys``, set size and node of each row; the first time a task meets a
+    node, also its segments in use and most differences in both schemes."""
     src = docs.select(*keys, F.col(text).alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]] + ["n long, node long, elements array<long>"])
-    wanted = docs.sparkSession.sparkContext.broadcast(_maybe(pairs, j.filter_bits))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]] + ["n long, node long, own int, own_most int, low int, low_most int"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
+        for batch in batches:
+            for part in C.slices(batch, "__text"):
+                n, nodes, use = [], [], []
+                for u in sets(part.column(len(keys)), j.width):
+                    node = node_of(u)
+                    n.append(len(u))
+                    nodes.append(node)
+                    both = {} if node in given else {own: (used, most) for own, _, used, most in schemes(u, j)}
+                    use.append((*both.get(True, (None, None)), *both.get(False, (None, None))))
+                    given.add(node)
+                if len(given) > PENDING:
+                    given.clear()
+                cols = [part.column(i) for i in range(len(keys))] + [pa.array(n, pa.int64()), pa.array(nodes, pa.int64())]
+                cols += [pa.array([x[k] for x in use], pa.int32()) for k in range(4)]
+                yield pa.RecordBatch.from_arrays(cols, names=[*keys, "n", "node", "own", "own_most", "low", "low_most"])
+
+    return src.mapInArrow(run, schema)
+
+
+def _sets_of(docs: DataFrame, text: str, j: Join, nodes: DataFrame) -> DataFrame:
+    """(node, elements) of the ``nodes``, and of a few others that pass for
+    them: the texts are read again, and stay where they are."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_maybe(nodes, j.filter_bits))
     bits = j.filter_bits
 
     def maybe(node: int) -> bool:
@@ -220,22 +281,27 @@ def _described(docs: DataFrame, text: str, keys: list[str], j: Join, pairs: Data
         given: set[int] = set()
         for batch in batches:
             for part in C.slices(batch, "__text"):
-                n, nodes, elements = [], [], []
-                for u in sets(part.column(len(keys)), j.width):
-                    node = node_of(u)
-                    n.append(len(u))
-                    nodes.append(node)
-                    fresh = len(u) > 0 and node not in given and maybe(node)
-                    elements.append(u.view(np.int64) if fresh else None)
-                    if fresh:
-                        given.add(node)
+                found = {node: u.view(np.int64) for u in sets(part.column(0), j.width) if len(u) and (node := node_of(u)) not in given and maybe(node)}
+                given.update(found)
                 if len(given) > PENDING:
                     given.clear()
-                cols = [part.column(i) for i in range(len(keys))]
-                cols += [pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(elements, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cols, names=[*keys, "n", "node", "elements"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))], names=["node", "elements"])
 
-    return src.mapInArrow(run, schema)
+    rows = docs.select(F.col(text).alias("__text")).mapInArrow(run, "node long, elements array<long>")
+    return staged(rows.dropDuplicates(["node"]), "sets")
+
+
+def _promising(counted: DataFrame, info: DataFrame, j: Join) -> DataFrame:
+    """Pairs with as many common signatures as similar sets must have."""
+    side = lambda x: info.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", "own", "own_most", "low", "crowds")])
+    met = counted.join(side("a"), "a").join(side("b"), "b")
+    most = F.floor((F.col("a_n") + F.col("b_n")) * (j.den - j.num) / (j.den + j.num))
+    # sets of one band share its scheme; else the smaller one's band is used.
+    # A set of the larger band has a greater bound, and equal bounds mean one
+    # band or two that are as good as one (the smaller use counts).
+    use = lambda x, y: F.when(F.col(f"{x}_own_most") == F.col(f"{y}_own_most"), F.least(F.col(f"{x}_own"), F.col(f"{x}_low"))).when(F.col(f"{x}_own_most") < F.col(f"{y}_own_most"), F.col(f"{x}_own")).otherwise(F.col(f"{x}_low"))
+    need = F.greatest(F.coalesce(use("a", "b"), F.lit(0)), F.coalesce(use("b", "a"), F.lit(0))) - most
+    return met.where(F.col("c") >= F.greatest(F.lit(1), need - F.least("a_crowds", "b_crowds"))).select("a", "b")
 
 
 def _similar(pairs: DataFrame, found: DataFrame, j: Join) -> DataFrame:
@@ -246,28 +312,31 @@ def _similar(pairs: DataFrame, found: DataFrame, j: Join) -> DataFrame:
     return staged(met.where(j.den * F.col("i") >= j.num * (F.size("ea") + F.size("eb") - F.col("i"))).select("a", "b"), "similar")
 
 
-def _pairs(stars: DataFrame) -> DataFrame:
-    return stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).where(F.col("a") != F.col("b")).distinct()
-
-
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id", params: Join | None = None) -> DataFrame:
     """One row a document: ``key``, ``rid`` (the key, or a hash of the text
     where it is null), ``n`` (set size), ``node`` (set) and ``component``
     (least key of the component)."""
     j = params or Join()
     docs = docs.select(F.col(key), F.col(text), F.coalesce(F.col(key).cast("long"), F.xxhash64(text)).alias("rid"))
-    stars = _stars(docs, text, j)
-    tried = staged(_pairs(stars), "pairs")
-    signed = staged(_described(docs, text, [key, "rid"], j, tried), "described")
-    # every set of a bucket with several sets is in a star, so these serve all rounds
-    found = staged(signed.where(F.col("elements").isNotNull()).select("node", "elements").dropDuplicates(["node"]), "sets")
-    links = _similar(tried, found, j)
+    buckets = _buckets(docs, text, j)
+    counted = staged(_counted_pairs(buckets, j), "counted")
+    signed = staged(_described(docs, text, [key, "rid"], j), "described")
+    crowds = buckets.where(F.col("held") > j.crowd).select("sig", "node")
+    seen = crowds.groupBy("node").agg(F.count(F.lit(1)).alias("crowds"))
+    info = signed.where(F.col("own").isNotNull()).drop(key, "rid").dropDuplicates(["node"])
+    info = staged(info.join(seen, "node", "left").fillna(0, ["crowds"]), "info")
+    close = staged(_promising(counted, info, j), "promising")
+    links = _similar(close, _sets_of(docs, text, j, close.select(F.explode(F.array("a", "b")).alias("node"))), j)
     root = components(links)
 
-    sigs = _open_buckets(stars, root)
+    # sets that may have partners in crowds alone
+    room = F.least(*[F.greatest(F.coalesce(F.col(c), F.lit(1 << 30)) - F.coalesce(F.col(f"{c}_most"), F.lit(0)), F.lit(1)) for c in ("own", "low")])
+    crowded = info.where((F.col("crowds") > 0) & (F.col("crowds") >= room)).select("node")
+    members = staged(crowds.join(crowded, "node", "left_semi"), "members")
+    sigs = _open_buckets(members, root)
     if sigs is not None:
-        members = stars.join(sigs, "sig", "left_semi")
-        members = staged(members.select("sig", F.col("hub").alias("node")).union(members.select("sig", "node")).distinct(), "members")
+        members = staged(members.join(sigs, "sig", "left_semi"), "members")
+        found = _sets_of(docs, text, j, members.select("node"))
         around = _around_pivots(members, found)
         # every set of a group against its pivot: most of what is linked at all
         links = links.union(around.where(_close(j, F.col("pn"), F.col("n"), F.size("diff"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")))
@@ -284,10 +353,10 @@ def _rooted(rows: DataFrame, root: DataFrame, node: str) -> DataFrame:
     return rows.join(names, rows[node] == names["__n"], "left").withColumn("root", F.coalesce("root", node)).drop("__n")
 
 
-def _open_buckets(stars: DataFrame, root: DataFrame) -> DataFrame | None:
+def _open_buckets(members: DataFrame, root: DataFrame) -> DataFrame | None:
     """Signatures whose sets lie in different components, or None."""
-    ends = _rooted(stars, root, "node").withColumnRenamed("root", "own")
-    sigs = staged(_rooted(ends, root, "hub").where(F.col("own") != F.col("root")).select("sig").distinct(), "open")
+    ends = _rooted(members, root, "node").groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    sigs = staged(ends.where(F.col("lo") != F.col("hi")).select("sig"), "open")
     return None if sigs.isEmpty() else sigs
 
 
@@ -316,7 +385,7 @@ def _around_pivots(members: DataFrame, found: DataFrame) -> DataFrame:
     """
     hubs = members.groupBy("sig").agg(F.min("node").alias("hub"))
     # a hub's bucket joins the group of the least hub that it meets elsewhere
-    under = members.join(hubs, "sig")
+    under = members.join(hubs, "sig").select("hub", "node").distinct()
     first = under.groupBy("node").agg(F.min("hub").alias("group")).withColumnRenamed("node", "of")
     groups = under.join(first, under["hub"] == first["of"]).select("group", "node").distinct()
     groups = staged(groups, "groups")
