@@ -8,7 +8,6 @@ orders span 1995-2001, events span 2024-01-01 .. 2024-01-30.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import history_text, tier
-from strata.operators import activity, cumulate, facts, graph, matches, quality, reduced, scd
+from strata.operators import activity, cumulate, facts, graph, matches, quality, reduced, scd, sqltext
 from strata.operators.joins import first_per_key
 from strata.plans import layout
 from strata.session import scratch_path
@@ -35,7 +34,8 @@ HOST_STEP_DAY, HOST_PREV_DAY = "2024-01-15", "2024-01-14"
 MEDAL_CLASS = "SMALL"
 SESSION_HOST_PATTERN = "%i%"
 SESSION_HOSTS = ("view", "click", "error")
-BUCKETS = 16
+BUCKET_BYTES = 256 << 20
+BUCKETED = ("match_details", "matches", "medals_matches_players")
 
 
 def _player_class(c):
@@ -229,8 +229,9 @@ def q_edges_pairs(spark, sf):
 
 
 def q_edge_max_points(spark, sf):
-    return (graph.max_edge_points(all_vertices(spark, sf), all_edges(spark, sf))
-            .orderBy(F.desc_nulls_first("max_points")))
+    # only plays_in edges carry points, and every player of a pair has one
+    edges = graph.plays_in_edges(recast.game_details(spark, sf))
+    return graph.max_edge_points(all_vertices(spark, sf), edges).orderBy(F.desc_nulls_first("max_points"))
 
 
 def q_edge_games_per_point(spark, sf):
@@ -414,15 +415,26 @@ def match_csv_inputs(spark, sf) -> dict[str, DataFrame]:
     return layout.read_csv_tables(spark, folder, MATCH_SCHEMAS)
 
 
+def q_match_csv_rows(spark, sf):
+    """What each of the five CSV inputs holds when read back."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(*df.columns).alias("n_distinct"))
+             .select(F.lit(name).alias("input"), "n_rows", "n_distinct")
+             for name, df in match_csv_inputs(spark, sf).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def bucketed_match_tables(spark, sf):
-    """The three match facts bucketed on match_id."""
-    tag = uuid.uuid4().hex[:12]
+    """The three match facts bucketed on match_id; the bucket count
+    follows from the bytes of the largest input. Table names are fixed, so
+    a second run replaces the tables of the first."""
+    size = layout.stored_bytes(spark, f"{sf.rstrip('/')}/lineitem.parquet").first()["total_bytes"]
+    buckets = layout.bucket_count(size, BUCKET_BYTES)
     out = {}
-    for name, df in (("match_details", recast.match_details(spark, sf)),
-                     ("matches", recast.matches(spark, sf)),
-                     ("medals_matches_players", recast.medals_matches_players(spark, sf))):
-        tname = f"bucketed_{name}_{tag}"
-        out[name] = layout.write_bucketed(df, tname, scratch_path(spark, tname), "match_id", BUCKETS)
+    for name in BUCKETED:
+        tname = f"bucketed_{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {tname}")
+        df = getattr(recast, name)(spark, sf)
+        out[name] = layout.write_bucketed(df, tname, scratch_path(spark, tname), "match_id", buckets)
     return out
 
 
@@ -431,32 +443,43 @@ def q_bucket_join(spark, sf):
 
     The second fact join is on ``match_id`` plus line keys; letting the
     ``match_id`` buckets satisfy it (co-partitioning on a subset of the
-    join keys) keeps the whole fact join free of ``Exchange``.
+    join keys) keeps the whole fact join free of ``Exchange``. The setting
+    that allows it holds in a session of the query's own.
     """
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    b = bucketed_match_tables(spark, sf)
+    bucketed_match_tables(spark, sf)
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    b = {name: own.table(f"bucketed_{name}") for name in BUCKETED}
     return matches.join_match_facts(b["match_details"], b["matches"], b["medals_matches_players"],
-                                    recast.medals(spark, sf), recast.maps(spark, sf))
+                                    recast.medals(own, sf), recast.maps(own, sf))
 
 
 def q_avg_per_player(spark, sf):
+    return matches.ranking(matches.avg_kills_per_player(recast.match_details(spark, sf)), "avg_kills",
+                           ["player_gamertag"])
+
+
+def q_top_ten_players(spark, sf):
+    """O3: the ten best of C38."""
     return matches.top(matches.avg_kills_per_player(recast.match_details(spark, sf)), "avg_kills",
-                       ["player_gamertag"])
+                       ["player_gamertag"], 10)
 
 
 def q_top_playlist(spark, sf):
-    return matches.top(matches.plays_per_playlist(recast.matches(spark, sf)), "num_played", ["playlist_id"])
+    return matches.ranking(matches.plays_per_playlist(recast.matches(spark, sf)), "num_played", ["playlist_id"])
 
 
 def q_top_map(spark, sf):
-    return matches.top(matches.plays_per_map(recast.matches(spark, sf), recast.maps(spark, sf)),
-                       "num_played", ["map_name"])
+    return matches.ranking(matches.plays_per_map(recast.matches(spark, sf), recast.maps(spark, sf)),
+                           "num_played", ["map_name"])
 
 
 def q_medal_per_map(spark, sf):
     m = matches.medals_per_map(recast.medals_matches_players(spark, sf), recast.medals(spark, sf),
                                recast.matches(spark, sf), recast.maps(spark, sf), value=MEDAL_CLASS)
-    return matches.top(m, "num_medals", ["map_name"])
+    return matches.ranking(m, "num_medals", ["map_name"])
 
 
 def q_layout_sizes(spark, sf):
@@ -466,6 +489,17 @@ def q_layout_sizes(spark, sf):
     return layout.layout_bytes(spark, paths)
 
 
+def q_layout_contents(spark, sf):
+    """Both experiments (by playlist and by map) read back: rows and
+    distinct values of each layout."""
+    out = []
+    for low, high in (("playlist_id", "mapid"), ("mapid", "playlist_id")):
+        paths = layout.partition_experiment(recast.matches(spark, sf), low, high, scratch_path(spark, "layout"))
+        got = layout.layout_contents(spark, paths, ["match_id", "playlist_id", "mapid"])
+        out.append(got.withColumn("layout", F.concat(F.lit(f"{low}:"), F.col("layout"))))
+    return reduce(DataFrame.unionByName, out)
+
+
 # -- streaming ---------------------------------------------------------------------
 
 def _raw_stream(spark, sf) -> DataFrame:
@@ -540,24 +574,23 @@ def q_session_by_host(spark, sf):
 
 def q_sql_monthly_first_days(spark, sf):
     """C44 in SQL form over the users' month arrays."""
-    from strata.operators import sqljobs
-    arr = user_month_arrays(spark, sf).select(
-        "month_start", F.col("metric_array").alias("hit_array"), F.lit(SNAPSHOT_DAY).alias("date_partition"))
-    return sqljobs.monthly_site_hits_sql(spark, arr, SNAPSHOT_DAY)
+    arr = user_month_arrays(spark, sf).withColumn("date_partition", F.lit(SNAPSHOT_DAY))
+    return sqltext.first_days_sum(arr, month_col="month_start", array_col="metric_array",
+                                  partition_col="date_partition", ds=SNAPSHOT_DAY)
 
 
 def q_sql_player_streaks(spark, sf):
     """C45 in SQL form over every player snapshot."""
-    from strata.operators import sqljobs
-    snaps = players_snapshots(spark, sf).select(F.col("player_id").alias("player_name"), "current_season",
-                                                "scoring_class")
-    return sqljobs.player_streaks_sql(spark, snaps)
+    out = sqltext.streaks(players_snapshots(spark, sf), key="player_id", period_col="current_season",
+                          state_col="scoring_class", start_col="start_date", end_col="end_date")
+    return out.withColumnRenamed("player_id", "player_name")
 
 
 def q_sql_team_vertices(spark, sf):
     """C46 in SQL form (MAP properties, values exposed by key)."""
-    from strata.operators import sqljobs
-    v = sqljobs.team_vertices_sql(spark, recast.teams(spark, sf))
+    v = sqltext.map_vertices(recast.teams(spark, sf), key="team_id", kind="team", order_col="row_order",
+                             properties={"abbreviation": "abbreviation", "nickname": "nickname", "city": "city",
+                                         "arena": "arena", "year_founded": "yearfounded"})
     keys = ["abbreviation", "nickname", "city", "arena", "year_founded"]
     return v.select(F.col("identifier").cast("string").alias("identifier"), "type",
                     *[F.col("properties")[k].alias(k) for k in keys],

@@ -6,7 +6,6 @@ from strata.functions.columns import (  # noqa: F401
     history_text,
     ipv4_to_long,
     json_props,
-    not_distinct,
     tier,
 )
 from strata.functions.bitmaps import (  # noqa: F401

@@ -22,11 +22,6 @@ def tier(measure: Column | str, cuts: Sequence[tuple[float, str]], default: str)
     return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
 
 
-def not_distinct(a: Column, b: Column) -> Column:
-    """``a IS NOT DISTINCT FROM b``."""
-    return a.eqNullSafe(b)
-
-
 def clock_minutes(text: Column | str) -> Column:
     """``"MM:SS"`` played time as decimal minutes.
 
@@ -47,10 +42,13 @@ def first_address(text: Column | str) -> Column:
 
 
 def ipv4_to_long(text: Column | str) -> Column:
-    """Dotted IPv4 text to its 32-bit number; NULL when it does not parse."""
+    """Dotted IPv4 text to its 32-bit number; NULL when it does not parse
+    (four parts of one to three digits, each at most 255)."""
     t = F.col(text) if isinstance(text, str) else text
-    ok = t.rlike(r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$")
     parts = [F.split_part(t, F.lit("."), F.lit(i)).try_cast("long") for i in (1, 2, 3, 4)]
+    ok = t.rlike(r"\A[0-9]{1,3}(\.[0-9]{1,3}){3}\z")
+    for p in parts:
+        ok = ok & (p <= 255)
     num = parts[0] * 16777216 + parts[1] * 65536 + parts[2] * 256 + parts[3]
     return F.when(ok, num)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import clock_minutes
-from strata.operators.joins import first_per_key, sized_broadcast
+from strata.operators.joins import first_per_key
 
 GRAIN = ("game_id", "team_id", "player_id")
 
@@ -62,14 +62,10 @@ def dedupe_fact(details: DataFrame, games: DataFrame, *, day=None,
         *[F.col(m).alias(f"m_{m}") for m in measures])
 
 
-def late_enrich(fact: DataFrame, dim: DataFrame, *, fact_key: str, dim_key: str,
-                max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Join dimension attributes to the fact at query time.
-
-    The dimension is broadcast only if its row count is within the bound.
-    """
-    d = sized_broadcast(dim, max_broadcast_rows)
-    return fact.join(d, fact[fact_key] == d[dim_key])
+def late_enrich(fact: DataFrame, dim: DataFrame, *, fact_key: str, dim_key: str) -> DataFrame:
+    """Join dimension attributes to the fact at query time (no hint:
+    Spark broadcasts the dimension if its bytes allow it)."""
+    return fact.join(dim, fact[fact_key] == dim[dim_key])
 
 
 def fact_summary(fact: DataFrame) -> DataFrame:

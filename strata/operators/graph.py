@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from strata.functions.columns import json_props
 from strata.operators.joins import first_per_key
 
-from strata.sources.schemas import EDGE_TYPES, VERTEX_TYPES  # noqa: F401,E402  (enum domains)
 
 # Columns the edge builders carry through the (player, game) dedupe. Both
 # edge kinds use the same set so their dedupe subtrees are identical and
@@ -111,7 +110,7 @@ def plays_in_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no",
 
 
 def pair_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no"),
-               salt: int = 1, hot_rows: int | None = None) -> DataFrame:
+               salt: int = 1, hot_rows: int | None = 256) -> DataFrame:
     """Player <-> player edges for players who met in a game.
 
     A self equi-join on game (the residual ``id1 > id2`` and name test is a
@@ -186,32 +185,37 @@ def _join_subject(vertices_df: DataFrame, edges_df: DataFrame, fields: Sequence[
 def max_edge_points(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     """Best single-game points per player name, from edge properties.
 
-    Every edge whose subject is the vertex takes part; edges without a
-    ``pts`` property contribute NULL (reference semantics).
+    Every edge whose subject is the vertex takes part. The points are read
+    and the maximum taken per subject before the join, so the join sees one
+    row a subject; edges without a ``pts`` property contribute NULL.
     """
-    j = _join_subject(vertices_df, edges_df, ["player_name"])
-    return j.groupBy(F.col("v_player_name").alias("player_name")).agg(
-        F.max(F.get_json_object("e.properties", "$.pts").try_cast("int")).alias("max_points"))
+    best = edges_df.groupBy("subject_identifier", "subject_type").agg(
+        F.max(F.get_json_object("properties", "$.pts").try_cast("int")).alias("pts"))
+    j = _join_subject(vertices_df, best, ["player_name"])
+    return j.groupBy(F.col("v_player_name").alias("player_name")).agg(F.max("pts").alias("max_points"))
+
+
+def _pair_properties(edges_df: DataFrame) -> DataFrame:
+    """Player-to-player edges with their properties parsed once a row."""
+    p = F.from_json("properties", "subject_points string, num_games string")
+    return edges_df.where(F.col("object_type") == "player").withColumn("p", p)
 
 
 def games_per_point(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     """The draft ratio games / points (0 points read as 1), kept as is."""
-    j = _join_subject(vertices_df, edges_df.where(F.col("object_type") == "player"),
-                      ["player_name", "number_of_games", "total_points"])
+    j = _join_subject(vertices_df, _pair_properties(edges_df), ["player_name", "number_of_games", "total_points"])
     games = F.coalesce(F.col("v_number_of_games").try_cast("double"), F.lit(0.0))
     tp = F.col("v_total_points").try_cast("double")
     return j.select(
         F.col("v_player_name").alias("player_name"),
         F.col("e.object_identifier").alias("object_identifier"),
         (games / F.when(tp == 0, F.lit(1.0)).otherwise(tp)).alias("games_per_point"),
-        F.get_json_object("e.properties", "$.subject_points").alias("subject_points"),
-        F.get_json_object("e.properties", "$.num_games").alias("num_games"))
+        F.col("e.p.subject_points").alias("subject_points"), F.col("e.p.num_games").alias("num_games"))
 
 
 def points_per_game(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     """C20: points per game from typed properties; NULL-safe, zero-safe."""
-    j = _join_subject(vertices_df, edges_df.where(F.col("object_type") == "player"),
-                      ["player_name", "number_of_games", "total_points"])
+    j = _join_subject(vertices_df, _pair_properties(edges_df), ["player_name", "number_of_games", "total_points"])
 
     def num(c: Column) -> Column:
         return F.nullif(c, F.lit("")).try_cast("double")
@@ -221,5 +225,4 @@ def points_per_game(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
         F.col("v_player_name").alias("player_name"),
         F.col("e.object_identifier").alias("object_identifier"),
         F.coalesce(F.try_divide(F.nullif(total, F.lit(0.0)), games), F.lit(0.0)).alias("points_per_game"),
-        num(F.get_json_object("e.properties", "$.subject_points")).alias("subject_points"),
-        num(F.get_json_object("e.properties", "$.num_games")).alias("num_games"))
+        num(F.col("e.p.subject_points")).alias("subject_points"), num(F.col("e.p.num_games")).alias("num_games"))

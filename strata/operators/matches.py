@@ -7,28 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import sized_broadcast
-
 
 def join_match_facts(details: DataFrame, matches: DataFrame, medals_players: DataFrame,
                      medals: DataFrame, maps: DataFrame, *,
-                     medal_keys: Sequence[str] = ("match_id", "player_gamertag", "line_no"),
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                     medal_keys: Sequence[str] = ("match_id", "player_gamertag", "line_no")) -> DataFrame:
     """The wide match table.
 
-    Facts are joined on ``match_id`` (shuffle-free when all three are
-    bucketed on it with the same bucket count); dimensions are pruned,
-    renamed and broadcast behind a row-count check. Medals are joined to
-    the detail line they belong to (``medal_keys``), not to every line of
-    the match, so no per-match product is formed.
+    Facts are merged on ``match_id`` (shuffle-free when all three are
+    bucketed on it with the same bucket count); dimensions are pruned and
+    renamed, and Spark broadcasts them by their size in bytes. Medals are
+    joined to the detail lines with the same ``medal_keys`` instead of to
+    every line of the match; where these keys repeat, so do the rows.
     """
-    md = sized_broadcast(medals.select("medal_id", F.col("name").alias("medal_name"),
-                                       F.col("description").alias("medal_description"),
-                                       "classification"), max_broadcast_rows)
-    mp = sized_broadcast(maps.select("mapid", F.col("name").alias("map_name"),
-                                     F.col("description").alias("map_description")), max_broadcast_rows)
-    return (details.join(matches, "match_id")
-                   .join(medals_players, list(medal_keys))
+    md = medals.select("medal_id", F.col("name").alias("medal_name"),
+                       F.col("description").alias("medal_description"), "classification")
+    mp = maps.select("mapid", F.col("name").alias("map_name"), F.col("description").alias("map_description"))
+    return (details.join(matches.hint("merge"), "match_id")
+                   .join(medals_players.hint("merge"), list(medal_keys))
                    .join(md, "medal_id")
                    .join(mp, "mapid"))
 
@@ -43,29 +38,35 @@ def plays_per_playlist(matches: DataFrame) -> DataFrame:
     return matches.groupBy("playlist_id").agg(F.count("match_id").alias("num_played"))
 
 
-def plays_per_map(matches: DataFrame, maps: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Matches per map name (maps broadcast behind a size check)."""
-    mp = sized_broadcast(maps.select("mapid", F.col("name").alias("map_name")), max_broadcast_rows)
-    return matches.join(mp, "mapid").groupBy("map_name").agg(F.count("match_id").alias("num_played"))
+def plays_per_map(matches: DataFrame, maps: DataFrame) -> DataFrame:
+    """Matches per map name. Matches are counted per map id before the
+    join, so the join sees one row a map."""
+    counted = matches.groupBy("mapid").agg(F.count("match_id").alias("n"))
+    named = counted.join(maps.select("mapid", F.col("name").alias("map_name")), "mapid")
+    return named.groupBy("map_name").agg(F.sum("n").alias("num_played"))
 
 
 def medals_per_map(medals_players: DataFrame, medals: DataFrame, matches: DataFrame, maps: DataFrame, *,
-                   column: str = "classification", value: str = "KillingSpree",
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   column: str = "classification", value: str = "KillingSpree") -> DataFrame:
     """Medals of one class per map.
 
     The medal filter is applied to the small side before the large join,
     and the per-player detail table stays out (it would multiply rows).
     """
     md = medals.where(F.col(column) == value).select("medal_id")
-    mp = sized_broadcast(maps.select("mapid", F.col("name").alias("map_name")), max_broadcast_rows)
-    return (medals_players.join(sized_broadcast(md, max_broadcast_rows), "medal_id")
-            .join(matches.select("match_id", "mapid"), "match_id")
-            .join(mp, "mapid")
-            .groupBy("map_name").agg(F.count("medal_id").alias("num_medals")))
+    per_map = (medals_players.join(md, "medal_id")
+               .join(matches.select("match_id", "mapid"), "match_id")
+               .groupBy("mapid").agg(F.count("medal_id").alias("n")))
+    named = per_map.join(maps.select("mapid", F.col("name").alias("map_name")), "mapid")
+    return named.groupBy("map_name").agg(F.sum("n").alias("num_medals"))
+
+
+def ranking(df: DataFrame, order_col: str, tie_cols: Sequence[str]) -> DataFrame:
+    """All rows by ``order_col`` desc, ties broken by ``tie_cols``."""
+    return df.orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tie_cols])
 
 
-def top(df: DataFrame, order_col: str, tie_cols: Sequence[str], n: int = 10) -> DataFrame:
-    """Top-``n`` rows by ``order_col`` desc, ties broken by ``tie_cols``
-    (a ``TakeOrderedAndProject``: per-partition top-n, then a merge)."""
-    return df.orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tie_cols]).limit(n)
+def top(df: DataFrame, order_col: str, tie_cols: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of the ranking (a ``TakeOrderedAndProject``:
+    per-partition top-n, then a merge)."""
+    return ranking(df, order_col, tie_cols).limit(n)

@@ -81,20 +81,27 @@ def scd_incremental(previous: DataFrame, snapshot: DataFrame, keys: Sequence[str
                     retain_missing: bool = True, null_safe: bool = True) -> DataFrame:
     """SCD version for ``period`` from version ``period - 1``.
 
-    ``previous``: SCD rows of the previous version; ``snapshot``: the
-    entity snapshot (one row per key) of ``period``. Records closed before
-    ``period - 1`` pass through untouched; the open ones are joined once to
-    the snapshot. ``retain_missing`` keeps open records of keys absent from
+    ``previous``: SCD rows of the previous version (of a table with several
+    versions, those labelled ``period - 1`` are read; a record that ends
+    later fails the run); ``snapshot``: the entity snapshot (one row per key)
+    of ``period``. One full outer join reads ``previous`` once: records
+    closed before ``period - 1`` pass through it untouched. ``retain_missing`` keeps open records of keys absent from
     the snapshot (C11; C9 drops them). ``null_safe=False`` reproduces the
     ``=`` / ``<>`` comparisons of C9 under which a NULL state on either side
     matches neither the unchanged nor the changed branch.
     """
     keys = list(keys)
     prev_p = period - 1
-    closed = previous.where(F.col(end_col) < prev_p)
-    open_ = previous.where(F.col(end_col) == prev_p).alias("l")
+    if current_col is not None and current_col in previous.columns:
+        previous = previous.where(F.col(current_col) == prev_p)
+    # one join passes every record: closed ones find no partner (the join
+    # needs an open end) and go through as they are
+    late = F.raise_error(F.lit(f"previous version holds a record that ends in period {period} or later"))
+    end = F.when(F.col(end_col) <= prev_p, F.col(end_col)).otherwise(late.cast("int"))
+    left = previous.select(*keys, *carry_cols, *state_cols, start_col, end.alias(end_col)).alias("l")
     cur = snapshot.where(F.col(period_col) == period).alias("t")
-    j = open_.join(cur, on=keys, how="full_outer")
+    cond = _all([F.col(f"l.{k}") == F.col(f"t.{k}") for k in keys] + [F.col(f"l.{end_col}") == F.lit(prev_p)])
+    j = left.join(cur, cond, "full_outer")
 
     def rec(prefix: str, start: Column, end: Column) -> Column:
         return F.struct(*[F.col(f"{prefix}.{c}").alias(c) for c in [*carry_cols, *state_cols]],
@@ -102,6 +109,7 @@ def scd_incremental(previous: DataFrame, snapshot: DataFrame, keys: Sequence[str
 
     l_present = F.col(f"l.{start_col}").isNotNull()
     t_present = F.col(f"t.{period_col}").isNotNull()
+    closed = l_present & (F.col(f"l.{end_col}") < prev_p)
     if null_safe:
         same = _all([F.col(f"t.{c}").eqNullSafe(F.col(f"l.{c}")) for c in state_cols])
         differs = ~same
@@ -112,13 +120,13 @@ def scd_incremental(previous: DataFrame, snapshot: DataFrame, keys: Sequence[str
     new = rec("t", F.lit(period), F.lit(period))
     extended = rec("t", F.col(f"l.{start_col}"), F.lit(period))
     empty = F.filter(F.array(old), lambda _: F.lit(False))  # typed empty array
-    recs = (F.when(~l_present, F.array(new))
+    recs = (F.when(closed, F.array(old))
+             .when(~l_present, F.array(new))
              .when(~t_present, F.array(old) if retain_missing else empty)
              .when(same, F.array(extended))
              .when(differs, F.array(old, new))
              .otherwise(empty))
-    opened = j.select(*keys, F.inline(recs))
-    out = closed.select(*keys, *carry_cols, *state_cols, start_col, end_col).unionByName(opened)
+    out = j.select(*[F.coalesce(F.col(f"l.{k}"), F.col(f"t.{k}")).alias(k) for k in keys], F.inline(recs))
     if current_col is not None:
         out = out.withColumn(current_col, F.lit(period))
     return out

@@ -4,22 +4,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """Write ``df`` as CSV with a header row."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+# Options that bring every value back: quotes double, blanks and line breaks
+# stay, and NULL has a marker of its own next to the empty string.
+CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True, "nullValue": "\x01NULL",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def write_csv(df: DataFrame, path: str, *, rows_per_file: int = 1_000_000) -> str:
+    """Write ``df`` as CSV with a header row. A file with line breaks in its
+    values is read by one task, so files are kept to ``rows_per_file``."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", rows_per_file).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with header. An explicit schema avoids the extra pass that
     ``inferSchema`` makes over the whole input."""
-    r = spark.read.option("header", True)
+    r = spark.read.options(**CSV_OPTIONS)
     return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", True).csv(path)
 
 
@@ -28,8 +36,23 @@ def read_csv_tables(spark: SparkSession, folder: str, schemas: dict[str, T.Struc
     return {name: read_csv(spark, f"{folder.rstrip('/')}/{name}", schema) for name, schema in schemas.items()}
 
 
+def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """Files and bytes below a path from the file listing alone (no data is
+    read), whatever storage the path is on."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.parquet").load(path).select("length"))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"), F.count(F.lit(1)).alias("num_files"))
+
+
+def bucket_count(total_bytes: int, bucket_bytes: int = 256 << 20, least: int = 4) -> int:
+    """Buckets of about ``bucket_bytes`` each, as a power of two (tables of
+    different size then still join without a full shuffle)."""
+    need = max(least, -(-total_bytes // bucket_bytes))
+    return 1 << (need - 1).bit_length()
+
+
 def write_bucketed(df: DataFrame, table_name: str, path: str, key: str | Sequence[str],
-                   buckets: int = 16, sort: bool = True, cluster: bool = True) -> DataFrame:
+                   buckets: int, sort: bool = True, cluster: bool = True) -> DataFrame:
     """Write ``df`` as an external table bucketed (and sorted) on
     ``key`` and read it back through the catalog.
 
@@ -68,20 +91,24 @@ def partition_experiment(df: DataFrame, low_card_col: str, high_card_col: str, b
     df.write.mode("overwrite").partitionBy(low_card_col).parquet(paths["low_cardinality"])
     (df.repartitionByRange(parts, low_card_col, high_card_col).sortWithinPartitions(low_card_col, high_card_col)
        .write.mode("overwrite").partitionBy(low_card_col).parquet(paths["low_cardinality_sorted"]))
-    (df.repartition(parts, high_card_col)
+    (df.repartitionByRange(parts, high_card_col, low_card_col)
        .write.mode("overwrite").partitionBy(high_card_col).parquet(paths["high_cardinality"]))
     return paths
 
 
 def layout_bytes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Total file bytes per layout, computed by Spark from the
-    ``_metadata`` file columns (no driver-side directory walk)."""
+    """Total file bytes per layout, from the file listing."""
+    parts = [stored_bytes(spark, p).select(F.lit(name).alias("layout"), "total_bytes", "num_files")
+             for name, p in paths.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def layout_contents(spark: SparkSession, paths: dict[str, str], columns: Sequence[str]) -> DataFrame:
+    """What each layout holds when read back: its rows and the distinct
+    values of ``columns``, the same for every layout of the same rows."""
     parts = []
     for name, p in paths.items():
-        files = spark.read.parquet(p).select("_metadata.file_path", "_metadata.file_size").distinct()
-        parts.append(files.agg(F.sum("file_size").alias("total_bytes"), F.count(F.lit(1)).alias("num_files"))
-                     .select(F.lit(name).alias("layout"), "total_bytes", "num_files"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        counts = [F.count_distinct(c).alias(f"n_{c}") for c in columns]
+        parts.append(spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n_rows"), *counts)
+                     .select(F.lit(name).alias("layout"), "n_rows", *[f"n_{c}" for c in columns]))
+    return reduce(DataFrame.unionByName, parts)

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,33 +51,51 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class MissingPeriod(RuntimeError):
+    """The stored period that a step needs is not there."""
+
+
+def has_period(spark: SparkSession, path: str, period_col: str, period) -> bool:
+    """Whether the table holds rows of the period (a pruned read)."""
+    try:
+        return not read_period(spark, path, period_col, period).isEmpty()
+    except AnalysisException as ex:  # no table yet, or one without files
+        if ex.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
 def fold_periods(spark: SparkSession, path: str, period_col: str, periods: Iterable,
                  step: Callable[[DataFrame | None, object], DataFrame], *,
-                 state_of: Callable[[object, object], object] | None = None,
-                 rewrites_state: bool = False) -> None:
+                 previous: Callable[[object], object], first=None, rewrites_state: bool = False) -> None:
     """Run ``step(state, period)`` for each period and write its output.
 
-    ``state`` is the stored partition ``state_of(period, previous_period)``
-    (default: the previous period's partition; ``None`` on the first run).
-    Month tables read and rewrite the same partition (``state_of`` maps a
+    ``state`` is the stored partition ``previous(period)``, whichever run
+    wrote it; ``None`` where ``previous`` says that the period starts
+    without one, or where it is absent and the period is ``first``, the
+    table's first. An absent partition before any other period raises
+    :class:`MissingPeriod`: nothing is written from a state with a gap.
+
+    Month tables read and rewrite the same partition (``previous`` maps a
     day to its month, ``rewrites_state=True``): the state is then
     checkpointed before the overwrite.
     """
-    prev = None
     for p in periods:
-        src = state_of(p, prev) if state_of is not None else prev
+        src = previous(p)
         state = None
-        if src is not None:
-            try:
-                state = read_period(spark, path, period_col, src)
-                if rewrites_state:
-                    state = cut_lineage(state)
-            except Exception as ex:  # noqa: BLE001 - first run: no table yet
-                if "PATH_NOT_FOUND" not in str(ex) and "does not exist" not in str(ex):
-                    raise
-                state = None
+        if src is not None and has_period(spark, path, period_col, src):
+            state = read_period(spark, path, period_col, src)
+            if rewrites_state:
+                state = cut_lineage(state)
+        elif src is not None and p != first:
+            raise MissingPeriod(f"{path}: {period_col} = {src} is not stored, which {p} continues")
         write_period(step(state, p), path, period_col)
-        prev = p
+
+
+def append_period(df: DataFrame, path: str, period_col: str) -> None:
+    """Add rows to their period partitions and leave all others (the
+    reference's plain ``INSERT ... SELECT``; not idempotent)."""
+    df.write.mode("append").partitionBy(period_col).parquet(path)
 
 
 def create_table(spark: SparkSession, name: str, location: str, *, kind: str | None = None,

@@ -9,67 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *, spread: bool | tuple = False) -> DataFrame:
-    """One input table as a lazily scanned DataFrame.
-
-    ``spread`` (used for the fact tables) applies :func:`spread_scan`; a
-    tuple names near-unique key columns to hash on.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if not spread:
-        return df
-    return spread_scan(df, spread if isinstance(spread, tuple) else ())
-
-
-def spread_scan(df: DataFrame, keys: tuple = ()) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores (a
-    small file written as one row group reads as ONE task, and all map-side
-    work before the first shuffle would run in it).
-
-    With ``keys`` (near-unique columns) rows are hash-partitioned on them:
-    deterministic, so a retried task needs no pre-sort (round-robin
-    repartitioning sorts every row first to stay retry-safe). At scale a
-    fact table has far more splits than cores and this is a no-op. Filters
-    and column pruning still reach the scan below the repartition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every input table as a temp view (for ``spark.sql``)."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
-def to_event_time(df: DataFrame, *cols: str) -> DataFrame:
-    """Cast wall-clock ``timestamp_ntz`` columns to ``timestamp``.
-
-    Watermarks and event-time windows need ``TimestampType``; the Parquet
-    inputs carry ``timestamp_ntz``.
-    """
-    out = df
-    for c in cols:
-        if isinstance(df.schema[c].dataType, T.TimestampNTZType):
-            out = out.withColumn(c, F.col(c).cast(T.TimestampType()))
-    return out
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table as a lazily scanned DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def to_wall_clock(df: DataFrame, *cols: str) -> DataFrame:
-    """Inverse of :func:`to_event_time`: results leave as ``timestamp_ntz``
-    so they read the same whatever the session time zone is."""
-    out = df
-    for c in cols:
-        out = out.withColumn(c, F.col(c).cast(T.TimestampNTZType()))
-    return out
+    """Instants as UTC wall-clock ``timestamp_ntz`` columns, so results read
+    the same whatever the session time zone is."""
+    zone = F.current_timezone()
+    return df.withColumns({c: F.convert_timezone(zone, F.lit("UTC"), F.to_timestamp_ntz(F.col(c))) for c in cols})
 
 
 def day_range(ts_col: str, day) -> F.Column:

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from strata.functions.columns import first_address, ipv4_to_long
 from strata.operators.joins import range_lookup
 
-ISO_MILLIS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+#: ISO-8601 with milliseconds; ``X`` reads and writes the zone itself, so
+#: text ending in ``Z`` is UTC whatever the session time zone is.
+ISO_MILLIS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
 
 
 def parse_event_time(df: DataFrame, text_col: str, out_col: str, pattern: str = ISO_MILLIS_Z) -> DataFrame:
@@ -44,9 +46,13 @@ def enrich_geo(df: DataFrame, geo_ranges: DataFrame, *, ip_col: str = "ip",
 
 
 def iso_text(col: str) -> F.Column:
-    """Timestamp as ISO-8601 text with milliseconds and ``Z``, the format the
-    downstream jobs parse back (the reference writes a format they cannot)."""
-    return F.date_format(F.col(col), ISO_MILLIS_Z)
+    """Timestamp as ISO-8601 UTC text with milliseconds and ``Z``, the format
+    the downstream jobs parse back (the reference writes a format they
+    cannot)."""
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp_ntz(F.col(col)))
+    # as text by a cast: date_format would read the wall clock in the session zone
+    millis = F.lpad(F.pmod(F.unix_millis(F.col(col)), F.lit(1000)).cast("string"), 3, "0")
+    return F.concat(F.replace(F.substring(utc.cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("."), millis, F.lit("Z"))
 
 
 def tumbling_counts(df: DataFrame, ts_col: str, keys: Sequence[str], *, size: str = "5 minutes",

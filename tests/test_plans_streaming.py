@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, rows
 from strata import catalog as C
-from strata.operators.joins import sized_broadcast
 from strata.plans.inspect import count_nodes, plan_text
 from strata.session import scratch_path
 from strata.sources import recast
@@ -14,29 +13,51 @@ from strata.sources.tables import day_range, table
 from strata.streaming import windows
 
 
-def test_bucketed_join_has_no_exchange(spark):
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    try:
-        b = C.bucketed_match_tables(spark, SF001)
-        j = b["match_details"].join(b["matches"], "match_id").join(b["medals_matches_players"],
-                                                                    ["match_id", "player_gamertag", "line_no"])
-        assert count_nodes(j, "Exchange") == 0
-        assert count_nodes(j, "SortMergeJoin") == 2
-        # the same join on unbucketed inputs shuffles
-        u = recast.match_details(spark, SF001).join(recast.matches(spark, SF001), "match_id")
-        assert count_nodes(u, "Exchange") >= 2
+def test_registered_bucket_join_uses_the_buckets(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.shuffle.partitions")}
+    j = C.q_bucket_join(spark, SF001)
+    text = plan_text(j, "formatted")
+    assert text.count("Bucketed: true") == 3
+    facts = plan_text(j, "simple").split("== Initial Plan ==")[0]
+    assert facts.count("SortMergeJoin") == 2
+    assert "hashpartitioning(match_id" not in facts
+    assert before == {k: spark.conf.get(k) for k in before}
+    # a second run replaces the tables of the first
+    n = len(spark.catalog.listTables())
+    C.q_bucket_join(spark, SF001)
+    assert len(spark.catalog.listTables()) == n
+    # the same join on unbucketed inputs shuffles
+    u = recast.match_details(spark, SF001).join(recast.matches(spark, SF001).hint("merge"), "match_id")
+    assert count_nodes(u, "Exchange") >= 2
+
+
+def test_bucket_count_follows_the_bytes():
+    from strata.plans.layout import bucket_count
+    assert [bucket_count(b, 100) for b in (0, 100, 401, 100_000)] == [4, 4, 8, 1024]
+
+
+def test_csv_brings_every_value_back(spark):
+    from strata.plans import layout
+    odd = [(1, "a\nb"), (2, ""), (3, None), (4, 'say "x", y'), (5, " blank "), (6, "back\\"), (7, "\r\n")]
+    df = spark.createDataFrame(odd, "k int, v string")
+    path = layout.write_csv(df, scratch_path(spark, "odd-csv"))
+    assert rows(layout.read_csv(spark, path, df.schema)) == odd
+
+
+def test_addresses_and_utc_text(spark):
+    from strata.functions.columns import ipv4_to_long
+    df = spark.createDataFrame([("10.0.3.255",), ("10.0.3.256",), ("10.0.2.999",), ("1.2.3",), ("1.2.3.4\n",)], "a string")
+    assert [r[0] for r in df.select(ipv4_to_long("a")).collect()] == [167773183, None, None, None, None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # 02:30 does not exist there on that day
+        df = spark.createDataFrame([("2024-03-10T02:30:00.000Z",), ("2024-03-10T03:30:00.000Z",)], "t string")
+        df = windows.parse_event_time(df, "t", "at")
+        got = df.select("t", windows.iso_text("at").alias("back"), F.unix_seconds("at").alias("s")).collect()
+        assert [r.back for r in got] == [r.t for r in got]
+        assert got[1].s - got[0].s == 3600
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-
-
-def test_sized_broadcast(spark):
-    small = table(spark, SF001, "nation")
-    assert "BroadcastHashJoin" in plan_text(table(spark, SF001, "customer").join(
-        sized_broadcast(small, 100), F.col("c_nationkey") == F.col("n_nationkey")), "simple")
-    big = sized_broadcast(table(spark, SF001, "lineitem"), 100)
-    assert "ResolvedHint" not in plan_text(big, "extended")
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_day_filter_pushed_to_scan(spark):
@@ -109,12 +130,11 @@ def test_location_udf_from_sql(spark):
     assert got == ['{"country": "X", "state": "S", "city": "C"}', "{}", "{}", "{}"]
 
 
-def test_pushdown_survives_spread(spark):
+def test_scan_is_pruned_and_filtered(spark):
     ev = recast.web_events(spark, SF001).where(day_range("event_time", "2024-01-05")).select("user_id")
     text = plan_text(ev, "formatted")
     assert "GreaterThanOrEqual(ts" in text
-    # pruned to the used columns plus the spread's hash key
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in text
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in text
 
 
 def _write_batches(spark, folder, batches):

@@ -1,89 +1,52 @@
-"""The reference's own three job tests, re-expressed on the operators."""
+"""Small hand-made cases of the three SQL jobs, in both forms."""
 
-from collections import namedtuple
+from strata.operators import graph, reduced, scd, sqltext
 
-from pyspark.testing import assertDataFrameEqual
 
-from strata.operators import graph, reduced, scd
+def _arrays(spark):
+    return spark.createDataFrame(
+        [("m1", [5, None, 2, 9], "d1"), ("m1", [1], "d1"), ("m2", [], "d1"), ("m2", [7, 7, 7], "d2"), ("m3", None, "d1")],
+        "month string, hits array<bigint>, day string")
 
 
-def test_monthly_first_days(spark):
-    Row = namedtuple("Row", "month_start hit_array date_partition")
-    df = spark.createDataFrame([
-        Row("2023-03-01", [0, 1, 3], "2023-03-01"),
-        Row("2023-03-01", [1, 2, 3], "2023-03-01"),
-        Row("2023-04-01", [], "2023-03-01"),
-        Row("2023-04-01", [], ""),
-    ], "month_start string, hit_array array<bigint>, date_partition string")
-    out = reduced.first_days_sum(df, month_col="month_start", array_col="hit_array",
-                                 partition_col="date_partition", ds="2023-03-01")
-    expected = spark.createDataFrame(
-        [("2023-03-01", 1, 3, 6), ("2023-04-01", 0, 0, 0)],
-        "month_start string, num_hits_first_day bigint, num_hits_second_day bigint, num_hits_third_day bigint")
-    assertDataFrameEqual(out, expected)
+def test_first_days(spark):
+    kw = dict(month_col="month", array_col="hits", partition_col="day", ds="d1")
+    for form in (reduced.first_days_sum, sqltext.first_days_sum):
+        got = sorted(tuple(r) for r in form(_arrays(spark), **kw).collect())
+        assert got == [("m1", 6, 0, 2), ("m2", 0, 0, 0), ("m3", 0, 0, 0)]
 
 
-def test_player_scd_streaks(spark):
-    df = spark.createDataFrame([
-        ("Michael Jordan", 2001, "Good"), ("Michael Jordan", 2002, "Good"),
-        ("Michael Jordan", 2003, "Bad"), ("Someone Else", 2003, "Bad"),
-    ], "player_name string, current_season bigint, scoring_class string")
-    out = scd.scd_backfill(df, ["player_name"], period_col="current_season", state_cols=["scoring_class"],
-                           start_col="start_date", end_col="end_date", current_col=None)
-    expected = spark.createDataFrame([
-        ("Michael Jordan", "Good", 2001, 2002), ("Michael Jordan", "Bad", 2003, 2003),
-        ("Someone Else", "Bad", 2003, 2003),
-    ], "player_name string, scoring_class string, start_date bigint, end_date bigint")
-    assertDataFrameEqual(out, expected)
+def test_streaks(spark):
+    rows = [("x", 3, "u"), ("x", 4, "u"), ("x", 5, None), ("x", 6, None), ("x", 7, "u"), ("y", 9, "v"), ("z", 1, None)]
+    df = spark.createDataFrame(rows, "who string, p int, s string")
+    want = [("x", "u", 3, 4), ("x", None, 5, 6), ("x", "u", 7, 7), ("y", "v", 9, 9), ("z", None, 1, 1)]
+    a = scd.scd_backfill(df, ["who"], period_col="p", state_cols=["s"], start_col="a", end_col="b", current_col=None)
+    b = sqltext.streaks(df, key="who", period_col="p", state_col="s", start_col="a", end_col="b")
+    for form in (a, b):
+        assert sorted((tuple(r) for r in form.select("who", "s", "a", "b").collect()), key=str) == sorted(want, key=str)
 
 
-def test_team_vertices_map(spark):
-    teams = spark.createDataFrame([
-        (1, "BOS", "Celtics", "Boston", "TD Garden", 1946, 0),
-        (1, "BOS", "Bad Celtics", "Boston", "TD Garden", 1946, 1),
-        (2, "GSW", "Warriors", "San Francisco", "Chase Center", 1900, 2),
-        (3, "LAL", "Lakers", "Los Angeles", "Staples Center", 1900, 3),
-    ], "team_id bigint, abbreviation string, nickname string, city string, arena string, "
-       "yearfounded bigint, row_order int")
-    out = graph.team_vertices(teams, as_map=True)
-    got = {r.identifier: (r.type, dict(r.properties)) for r in out.collect()}
-    assert got["1"] == ("team", {"abbreviation": "BOS", "nickname": "Celtics", "city": "Boston",
-                                 "arena": "TD Garden", "year_founded": "1946"})
-    assert set(got) == {"1", "2", "3"}
-    assert got["2"][1]["year_founded"] == "1900"
-    assert dict(out.schema["properties"].dataType.jsonValue()) == {
-        "type": "map", "keyType": "string", "valueType": "string", "valueContainsNull": True}
+def _teams(spark):
+    rows = [(5, "AAA", "Owls", "Here", "Hall", 1990, 2), (5, "AAA", "Later", "Here", "Hall", 1990, 8), (6, None, "Rays", "There", "Dome", None, 1)]
+    return spark.createDataFrame(rows, "team_id bigint, abbreviation string, nickname string, city string, arena string, yearfounded int, row_order int")
 
 
-def test_team_vertices_json_keeps_nulls(spark):
-    teams = spark.createDataFrame([(7, None, "X", "C", "A", None, 0)],
-                                  "team_id bigint, abbreviation string, nickname string, city string, "
-                                  "arena string, yearfounded int, row_order int")
-    props = graph.team_vertices(teams).select("properties").first()[0]
-    assert props == ('{"abbreviation":null,"nickname":"X","city":"C","arena":"A","year_founded":null}')
+def test_team_vertices(spark):
+    names = {"abbreviation": "abbreviation", "nickname": "nickname", "city": "city", "arena": "arena", "year_founded": "yearfounded"}
+    a = {r.identifier: dict(r.properties) for r in graph.team_vertices(_teams(spark), as_map=True).collect()}
+    b = {str(r.identifier): dict(r.properties) for r in sqltext.map_vertices(_teams(spark), key="team_id", kind="team", order_col="row_order", properties=names).collect()}
+    assert a == b == {
+        "5": {"abbreviation": "AAA", "nickname": "Owls", "city": "Here", "arena": "Hall", "year_founded": "1990"},
+        "6": {"abbreviation": None, "nickname": "Rays", "city": "There", "arena": "Dome", "year_founded": None}}
+    text = {r.identifier: r.properties for r in graph.team_vertices(_teams(spark)).collect()}
+    assert text["6"] == '{"abbreviation":null,"nickname":"Rays","city":"There","arena":"Dome","year_founded":null}'
 
 
-def test_sql_forms_agree_with_operators(spark):
-    from strata.operators import sqljobs
-    hits = spark.createDataFrame([("2023-03-01", [0, 1, 3], "2023-03-01"), ("2023-04-01", [], "2023-03-01"),
-                                  ("2023-04-01", [], "")],
-                                 "month_start string, hit_array array<bigint>, date_partition string")
-    a = sqljobs.monthly_site_hits_sql(spark, hits, "2023-03-01")
-    b = reduced.first_days_sum(hits, month_col="month_start", array_col="hit_array",
-                               partition_col="date_partition", ds="2023-03-01")
-    assertDataFrameEqual(a, b)
-    players = spark.createDataFrame([("J", 2001, "Good"), ("J", 2002, None), ("J", 2003, "Good"), ("E", 2003, "Bad")],
-                                    "player_name string, current_season bigint, scoring_class string")
-    c = sqljobs.player_streaks_sql(spark, players)
-    d = scd.scd_backfill(players, ["player_name"], period_col="current_season", state_cols=["scoring_class"],
-                         start_col="start_date", end_col="end_date", current_col=None)
-    assertDataFrameEqual(c, d)
-    teams = spark.createDataFrame([(1, "BOS", "Celtics", "Boston", "TD", 1946, 0),
-                                   (1, "BOS", "Bad", "Boston", "TD", 1946, 1)],
-                                  "team_id bigint, abbreviation string, nickname string, city string, arena string, "
-                                  "yearfounded bigint, row_order int")
-    e = sqljobs.team_vertices_sql(spark, teams).first()
-    assert e.identifier == 1 and e.properties["nickname"] == "Celtics"
+def test_scd_step_reads_one_version(spark):
+    prev = spark.createDataFrame([("k", "a", 1, 2, 2), ("k", "y", 1, 3, 3), ("q", "b", 1, 1, 2)], "k string, s string, st int, en int, cur int")
+    snap = spark.createDataFrame([("k", 3, "a"), ("n", 3, "c")], "k string, p int, s string")
+    out = scd.scd_incremental(prev, snap, ["k"], period=3, period_col="p", state_cols=["s"], start_col="st", end_col="en", current_col="cur")
+    assert sorted(map(tuple, out.collect())) == [("k", "a", 1, 3, 3), ("n", "c", 3, 3, 3), ("q", "b", 1, 1, 3)]
 
 
 def test_kafka_value_and_jdbc_writer_shapes(spark):

@@ -2,13 +2,14 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, rows
 from strata.operators import activity, reduced
 from strata.session import scratch_path
 from strata.sources import recast
-from strata.sources.snapshots import fold_periods, read_period
+from strata.sources.snapshots import MissingPeriod, fold_periods, read_period
 
 
 def test_datelist_fold_through_storage(spark):
@@ -23,9 +24,15 @@ def test_datelist_fold_through_storage(spark):
                                                (day - dt.timedelta(days=1)).isoformat())
         return activity.datelist_step(state.select("user_id", "dates_active", "curr_date"), today, ["user_id"])
 
-    fold_periods(spark, path, "curr_date", days, step)
-    # re-running the last day replaces its partition (idempotent upsert)
-    fold_periods(spark, path, "curr_date", days[-1:], step, state_of=lambda p, prev: p - dt.timedelta(days=1))
+    before = lambda p: p - dt.timedelta(days=1)
+    fold_periods(spark, path, "curr_date", days[:-1], step, previous=before, first=days[0])
+    # the next day in a run of its own continues the stored history, and
+    # re-running it replaces its partition (idempotent upsert)
+    for _ in range(2):
+        fold_periods(spark, path, "curr_date", days[-1:], step, previous=before)
+    # a day over a gap fails and writes nothing
+    with pytest.raises(MissingPeriod):
+        fold_periods(spark, path, "curr_date", [dt.date(2024, 2, 3)], step, previous=before)
     got = read_period(spark, path, "curr_date", days[-1]).select("user_id", "dates_active", "curr_date")
     want = activity.datelist_snapshot(ev, ["user_id"], "event_time", days[-1].isoformat())
     assert rows(got) == rows(want.select(*got.columns))
@@ -46,8 +53,8 @@ def test_month_arrays_fold_rewrites_own_partition(spark):
         return reduced.month_array_step(state.select("host", "month", *arrays), today, ["host"],
                                         day=day.isoformat(), month_col="month", metrics=arrays)
 
-    fold_periods(spark, path, "month", days, step, state_of=lambda p, prev: p.replace(day=1),
-                 rewrites_state=True)
+    fold_periods(spark, path, "month", days, step, first=days[0], rewrites_state=True,
+                 previous=lambda p: None if p.day == 1 else p.replace(day=1))
     got = read_period(spark, path, "month", dt.date(2024, 1, 1)).select("host", "month", *arrays)
     want = reduced.month_array_snapshot(ev, ["host"], "event_time", "2024-01-10", distinct_of="user_id",
                                         month_col="month", arrays=arrays)
