@@ -330,7 +330,12 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", params: Join
     root = components(links)
 
     # sets that may have partners in crowds alone
-    room = F.least(*[F.greatest(F.coalesce(F.col(c), F.lit(1 << 30)) - F.coalesce(F.col(f"{c}_most"), F.lit(0)), F.lit(1)) for c in ("own", "low")])
+    # partners in the own scheme have up to n * den / num elements, those in
+    # the scheme below fewer than n
+    bound = lambda n: F.floor(n * (j.den - j.num) / (j.den + j.num))
+    own_most = F.least("own_most", bound(F.col("n") + F.floor(F.col("n") * j.den / j.num)))
+    low_most = F.least("low_most", bound(2 * F.col("n") - 1))
+    room = F.least(F.greatest(F.col("own") - own_most, F.lit(1)), F.greatest(F.coalesce("low", F.lit(1 << 30)) - F.coalesce(low_most, F.lit(0)), F.lit(1)))
     crowded = info.where((F.col("crowds") > 0) & (F.col("crowds") >= room)).select("node")
     members = staged(crowds.join(crowded, "node", "left_semi"), "members")
     sigs = _open_buckets(members, root)
