@@ -103,37 +103,52 @@ def reserve(m: int) -> int:
     return int(m >= 48)
 
 
-def segment_signatures(u: np.ndarray, band: int, m: int, most: int) -> tuple[np.ndarray, int]:
-    """Signatures of one set in a band's scheme with ``m`` segments, and how
-    many segments the allocation uses (0: all, as too many are empty)."""
+def _segments(u: np.ndarray, band: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Salt of a band's scheme, and a set's elements scrambled by it with the
+    segment each falls in."""
     salt = C.mix(np.array([band + 1], np.uint64))
+    e = C.mix(u ^ salt)
+    return salt, e, C.scaled(e, m)
+
+
+def _allocation(seg: np.ndarray, m: int, most: int) -> tuple[np.ndarray, int]:
+    """Which segments are in use, and how many (0: all, as too many are
+    empty)."""
+    r = reserve(m)
+    keep = np.zeros(m, bool)
+    keep[seg] = True
+    keep[:r] = True
+    used = int(keep.sum())
+    return (keep, used) if used + r > most else (np.ones(m, bool), 0)
+
+
+def segments_in_use(u: np.ndarray, band: int, m: int, most: int) -> int:
+    return _allocation(_segments(u, band, m)[2], m, most)[1]
+
+
+def segment_signatures(u: np.ndarray, band: int, m: int, most: int) -> np.ndarray:
+    """Signatures of one set in a band's scheme with ``m`` segments."""
     with np.errstate(over="ignore"):
-        e = C.mix(u ^ salt)
-        seg = C.scaled(e, m)
+        salt, e, seg = _segments(u, band, m)
         order = np.argsort(seg, kind="stable")
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(C.mix(e[order] + C.U(1)))])
         edge = np.searchsorted(seg[order], np.arange(m + 1))
         sums = total[edge[1:]] - total[edge[:-1]]
         name = C.mix(salt + np.arange(m, dtype=np.uint64))
         out = C.mix(sums ^ name)
+        keep, _ = _allocation(seg, m, most)
         r = reserve(m)
-        keep = np.diff(edge) > 0
-        keep[:r] = True
-        used = int(keep.sum())
-        if used + r <= most:
-            keep[:], used = True, 0
         if not r:
-            return out[keep], used
+            return out[keep]
         inside = order[: edge[r]]
         deletions = C.mix((sums[seg[inside]] - C.mix(e[inside] + C.U(1))) ^ name[seg[inside]])
-        return np.concatenate([out[keep], deletions]), used
+        return np.concatenate([out[keep], deletions])
 
 
-def schemes(u: np.ndarray, j: Join) -> Iterator[tuple[bool, np.ndarray, int, int]]:
-    """(own band?, signatures, segments in use, most differences) of a set in
-    its own band's scheme and in the one below, where it can be the larger
-    partner."""
-    n = len(u)
+def schemes(n: int, j: Join) -> Iterator[tuple[bool, int, int, int]]:
+    """(own band?, band, segments, most differences) of the schemes of a set
+    of size ``n``: its own band's, and the one below, where it can be the
+    larger partner."""
     ends = bands(j.num, j.den, n)
     own = int(np.searchsorted(ends, n))
     for band in (own, own - 1):
@@ -142,12 +157,12 @@ def schemes(u: np.ndarray, j: Join) -> Iterator[tuple[bool, np.ndarray, int, int
         high, low = int(ends[band]), int(ends[band - 1]) + 1 if band else 1
         m, most = scheme(j.num, j.den, high, low)
         if most and n <= high * j.den // j.num:  # else partners are equal sets
-            yield band == own, *segment_signatures(u, band, m, most), most
+            yield band == own, band, m, most
 
 
 def signatures(u: np.ndarray, j: Join) -> np.ndarray:
     """All signatures of a set."""
-    return np.concatenate([np.zeros(0, np.uint64), *[sig for _, sig, _, _ in schemes(u, j)]])
+    return np.concatenate([np.zeros(0, np.uint64), *[segment_signatures(u, band, m, most) for _, band, m, most in schemes(len(u), j)]])
 
 
 def sets(text: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -254,7 +269,7 @@ def _described(docs: DataFrame, text: str, keys: list[str], j: Join) -> DataFram
                     node = node_of(u)
                     n.append(len(u))
                     nodes.append(node)
-                    both = {} if node in given else {own: (used, most) for own, _, used, most in schemes(u, j)}
+                    both = {} if node in given else {own: (segments_in_use(u, band, m, most), most) for own, band, m, most in schemes(len(u), j)}
                     use.append((*both.get(True, (None, None)), *both.get(False, (None, None))))
                     given.add(node)
                 if len(given) > PENDING:
