@@ -8,6 +8,7 @@ orders span 1995-2001, events span 2024-01-01 .. 2024-01-30.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -20,7 +21,7 @@ from strata.operators import activity, cumulate, facts, graph, matches, quality,
 from strata.operators.joins import first_per_key
 from strata.plans import layout
 from strata.session import scratch_path
-from strata.sources import recast
+from strata.sources import recast, snapshots
 from strata.sources.tables import table, to_wall_clock
 from strata.streaming import runner, windows
 
@@ -57,8 +58,7 @@ def players_snapshots(spark: SparkSession, sf: str, last: int = LAST_SEASON, onl
         since_col="years_since_last_season", only_last=only_last)
 
 
-def _players_step(spark: SparkSession, sf: str, season: int) -> DataFrame:
-    y = players_snapshots(spark, sf, season - 1, only_last=True)
+def _players_step(spark: SparkSession, sf: str, season: int, y: DataFrame) -> DataFrame:
     t = recast.player_seasons(spark, sf).where(F.col("season") == season)
     return cumulate.cumulate_step(
         y, t, ["player_id"], period_col="season", stats_cols=["gp", "pts"], history_col="season_stats",
@@ -78,7 +78,8 @@ def _player_view(snap: DataFrame) -> DataFrame:
 
 def q_cumulative_step(spark, sf):
     """Snapshot LAST_SEASON from LAST_SEASON-1 + that season's rows."""
-    return _player_view(_players_step(spark, sf, LAST_SEASON))
+    y = players_snapshots(spark, sf, LAST_SEASON - 1, only_last=True)
+    return _player_view(_players_step(spark, sf, LAST_SEASON, y))
 
 
 def q_cumulative_backfill(spark, sf):
@@ -112,8 +113,11 @@ def q_scd_backfill(spark, sf):
 
 def q_scd_incremental(spark, sf):
     """SCD version LAST_SEASON from version LAST_SEASON-1 and the snapshot."""
-    prev = players_scd(spark, sf, LAST_SEASON - 1)
-    snap = players_snapshots(spark, sf, LAST_SEASON, only_last=True)
+    return _players_scd_step(players_scd(spark, sf, LAST_SEASON - 1),
+                             players_snapshots(spark, sf, LAST_SEASON, only_last=True))
+
+
+def _players_scd_step(prev: DataFrame, snap: DataFrame) -> DataFrame:
     return scd.scd_incremental(prev, snap, ["player_id"], period=LAST_SEASON, period_col="current_season",
                                state_cols=["scoring_class", "is_active"], start_col="start_season",
                                end_col="end_season", current_col="current_season", retain_missing=False)
@@ -149,11 +153,14 @@ def _actor_view(snap: DataFrame) -> DataFrame:
 def q_cumulative_multi_step(spark, sf):
     """Actors LAST_SEASON from actors LAST_SEASON-1 and that year's films."""
     last = actors_snapshots(spark, sf, LAST_SEASON - 1, carry_state=True, only_last=True)
-    step = cumulate.cumulate_items_step(
+    return _actor_view(_actors_step(spark, sf, last))
+
+
+def _actors_step(spark: SparkSession, sf: str, last: DataFrame) -> DataFrame:
+    return cumulate.cumulate_items_step(
         last, recast.actor_films(spark, sf), ["actorid"], period=LAST_SEASON, period_col="year",
         item_cols=_FILM_COLS, order_col="filmid", measure="rating", classify=_actor_class,
         carry_cols=["actor"], items_col="films", class_col="quality_class", as_of_col="as_of_year")
-    return _actor_view(step)
 
 
 def q_cumulative_multi_backfill(spark, sf):
@@ -174,8 +181,11 @@ def q_scd_backfill_nullsafe(spark, sf):
 
 def q_scd_incremental_retained(spark, sf):
     """C11: null-safe incremental SCD keeping records of missing actors."""
-    prev = actors_scd(spark, sf, LAST_SEASON - 1)
-    snap = actors_snapshots(spark, sf, LAST_SEASON, only_last=True)
+    return _actors_scd_step(actors_scd(spark, sf, LAST_SEASON - 1),
+                            actors_snapshots(spark, sf, LAST_SEASON, only_last=True))
+
+
+def _actors_scd_step(prev: DataFrame, snap: DataFrame) -> DataFrame:
     return scd.scd_incremental(prev, snap, ["actorid"], period=LAST_SEASON, period_col="as_of_year",
                                state_cols=["quality_class", "is_active"], carry_cols=["actor"],
                                start_col="start_year", end_col="end_year", current_col="current_year",
@@ -342,8 +352,11 @@ def _array_text(df: DataFrame, cols) -> DataFrame:
 
 def user_month_arrays(spark, sf) -> DataFrame:
     ev = recast.web_events(spark, sf)
-    prev = reduced.month_array_snapshot(ev, ["user_id"], "event_time", PREV_DAY,
-                                        arrays={"metric_array": "num_hits"})
+    return _user_month_step(ev, reduced.month_array_snapshot(ev, ["user_id"], "event_time", PREV_DAY,
+                                                             arrays={"metric_array": "num_hits"}))
+
+
+def _user_month_step(ev: DataFrame, prev: DataFrame) -> DataFrame:
     today = reduced.daily_metrics(ev, ["user_id"], "event_time", SNAPSHOT_DAY)
     return reduced.month_array_step(prev, today, ["user_id"], day=SNAPSHOT_DAY,
                                     metrics={"metric_array": "num_hits"},
@@ -362,11 +375,16 @@ def q_reduced_sum_unnest(spark, sf):
 
 def host_month_arrays(spark, sf) -> DataFrame:
     ev = recast.web_events(spark, sf)
-    arrays = {"hit_array": "num_hits", "unique_visitors": "unique_visitors"}
-    prev = reduced.month_array_snapshot(ev, ["host"], "event_time", PREV_DAY, distinct_of="user_id",
-                                        month_col="month", arrays=arrays)
+    return _host_month_step(ev, reduced.month_array_snapshot(
+        ev, ["host"], "event_time", PREV_DAY, distinct_of="user_id", month_col="month", arrays=HOST_ARRAYS))
+
+
+HOST_ARRAYS = {"hit_array": "num_hits", "unique_visitors": "unique_visitors"}
+
+
+def _host_month_step(ev: DataFrame, prev: DataFrame) -> DataFrame:
     today = reduced.daily_metrics(ev, ["host"], "event_time", SNAPSHOT_DAY, distinct_of="user_id")
-    return reduced.month_array_step(prev, today, ["host"], day=SNAPSHOT_DAY, month_col="month", metrics=arrays)
+    return reduced.month_array_step(prev, today, ["host"], day=SNAPSHOT_DAY, month_col="month", metrics=HOST_ARRAYS)
 
 
 def q_reduced_host_month_step(spark, sf):
@@ -381,6 +399,106 @@ def q_monthly_first_days(spark, sf):
                                   partition_col="date_partition", ds=SNAPSHOT_DAY)
 
 
+# -- the incremental steps from stored snapshots --------------------------------------
+
+def _advanced(spark: SparkSession, table_name: str, period_col: str, seed: DataFrame, step: Callable[[DataFrame], DataFrame],
+              *, before, period) -> DataFrame:
+    """The stored partition ``period`` of a snapshot table: the snapshot of
+    ``before`` is inserted, a run of its own continues from that partition,
+    and a re-run replaces what it wrote. Where both are one partition (month
+    arrays), the state is checkpointed before it is overwritten."""
+    path = scratch_path(spark, table_name)
+    snapshots.append_period(seed, path, period_col)
+    for _ in range(2):
+        snapshots.fold_periods(spark, path, period_col, [period], lambda state, _: step(state),
+                               previous=lambda _: before, rewrites_state=before == period)
+    return snapshots.read_period(spark, path, period_col, period)
+
+
+def _stored_players(spark: SparkSession, sf: str) -> DataFrame:
+    return _advanced(spark, "players", "current_season",
+                     players_snapshots(spark, sf, LAST_SEASON - 1, only_last=True),
+                     lambda y: _players_step(spark, sf, LAST_SEASON, y), before=LAST_SEASON - 1, period=LAST_SEASON)
+
+
+def _stored_actors(spark: SparkSession, sf: str, carry_state: bool) -> DataFrame:
+    seed = actors_snapshots(spark, sf, LAST_SEASON - 1, carry_state=carry_state, only_last=True)
+    return _advanced(spark, "actors", "as_of_year", seed, lambda y: _actors_step(spark, sf, y),
+                     before=LAST_SEASON - 1, period=LAST_SEASON)
+
+
+def q_stored_cumulative_step(spark, sf):
+    """C1, C2 from the stored partition of LAST_SEASON-1."""
+    return _player_view(_stored_players(spark, sf))
+
+
+def q_stored_cumulative_multi_step(spark, sf):
+    """C6 from the stored partition of LAST_SEASON-1."""
+    return _actor_view(_stored_actors(spark, sf, True))
+
+
+def q_stored_scd_incremental(spark, sf):
+    """C9 from the stored version LAST_SEASON-1 and the stored snapshot."""
+    snap = _stored_players(spark, sf)
+    out = _advanced(spark, "players-scd", "current_season", players_scd(spark, sf, LAST_SEASON - 1),
+                    lambda prev: _players_scd_step(prev, snap), before=LAST_SEASON - 1, period=LAST_SEASON)
+    return out.select("player_id", "scoring_class", "is_active", "start_season", "end_season", "current_season")
+
+
+def q_stored_scd_incremental_retained(spark, sf):
+    """C11 from the stored version LAST_SEASON-1."""
+    snap = actors_snapshots(spark, sf, LAST_SEASON, only_last=True)
+    out = _advanced(spark, "actors-scd", "current_year", actors_scd(spark, sf, LAST_SEASON - 1),
+                    lambda prev: _actors_scd_step(prev, snap), before=LAST_SEASON - 1, period=LAST_SEASON)
+    return out.select("actorid", "actor", "quality_class", "is_active", "start_year", "end_year", "current_year")
+
+
+def _stored_datelist(spark: SparkSession, events: DataFrame, keys, day: str, prev_day: str, list_col: str) -> DataFrame:
+    def step(y: DataFrame) -> DataFrame:
+        return activity.datelist_step(y, activity.daily_active(events, keys, "event_time", day), keys, list_col=list_col)
+
+    seed = activity.datelist_snapshot(events, keys, "event_time", prev_day, list_col=list_col)
+    out = _advanced(spark, "datelist", "curr_date", seed, step, before=dt.date.fromisoformat(prev_day),
+                    period=dt.date.fromisoformat(day))
+    return _dates_view(out, keys, list_col)
+
+
+def q_stored_datelist_user_step(spark, sf):
+    """C27 from the stored partition of PREV_DAY."""
+    return _stored_datelist(spark, recast.web_events(spark, sf), ["user_id"], SNAPSHOT_DAY, PREV_DAY, "dates_active")
+
+
+def q_stored_datelist_device_step(spark, sf):
+    """C29 from the stored partition of PREV_DAY."""
+    return _stored_datelist(spark, _events_with_browser(spark, sf), ["user_id", "browser_type"], SNAPSHOT_DAY, PREV_DAY,
+                            "device_activity_datelist")
+
+
+def q_stored_datelist_host_step(spark, sf):
+    """C31 from the stored partition of HOST_PREV_DAY."""
+    return _stored_datelist(spark, recast.web_events(spark, sf), ["host"], HOST_STEP_DAY, HOST_PREV_DAY,
+                            "host_activity_datelist")
+
+
+def q_stored_reduced_user_month_step(spark, sf):
+    """C32 from the stored month, whose partition it rewrites."""
+    ev, month = recast.web_events(spark, sf), dt.date.fromisoformat(EVENT_MONTH)
+    seed = reduced.month_array_snapshot(ev, ["user_id"], "event_time", PREV_DAY, arrays={"metric_array": "num_hits"})
+    out = _advanced(spark, "array-metrics", "month_start", seed, lambda prev: _user_month_step(ev, prev),
+                    before=month, period=month)
+    return _array_text(out.select("user_id", "month_start", "metric_name", "metric_array"), ["metric_array"])
+
+
+def q_stored_reduced_host_month_step(spark, sf):
+    """C34 from the stored month, whose partition it rewrites."""
+    ev, month = recast.web_events(spark, sf), dt.date.fromisoformat(EVENT_MONTH)
+    seed = reduced.month_array_snapshot(ev, ["host"], "event_time", PREV_DAY, distinct_of="user_id",
+                                        month_col="month", arrays=HOST_ARRAYS)
+    out = _advanced(spark, "host-activity", "month", seed, lambda prev: _host_month_step(ev, prev),
+                    before=month, period=month)
+    return _array_text(out.select("host", "month", *HOST_ARRAYS), list(HOST_ARRAYS))
+
+
 # -- Spark jobs: CSV, bucketing, broadcast, layout ----------------------------------
 
 ORDERS_SCHEMA = T.StructType([
