@@ -667,13 +667,13 @@ def q_stream_sessions(spark, sf):
 def batch_sessions(spark, sf) -> DataFrame:
     """Batch twin of C51 over the whole table (no watermark: every session)."""
     raw = windows.parse_event_time(recast.raw_web_events(spark, sf), "event_time", "event_timestamp")
-    return windows.session_counts(raw, "event_timestamp", ["ip", "host"], watermark=None)
+    return windows.session_counts_batch(raw, "event_timestamp", ["ip", "host"])
 
 
 def q_session_long_gap(spark, sf):
     """C51 with a one-day gap per address: sessions that merge many events."""
     raw = windows.parse_event_time(recast.raw_web_events(spark, sf), "event_time", "event_timestamp")
-    s = windows.session_counts(raw, "event_timestamp", ["ip"], gap="1 day", watermark=None)
+    s = windows.session_counts_batch(raw, "event_timestamp", ["ip"], gap_seconds=86_400)
     return to_wall_clock(s, "session_start", "session_end")
 
 

@@ -8,6 +8,7 @@ from strata.operators import graph, reduced
 from strata.operators.joins import first_per_key
 from strata.plans.inspect import plan_text
 from strata.sources import recast
+from strata.streaming import windows
 
 
 def _hot_details(spark):
@@ -50,3 +51,20 @@ def test_distinct_count_is_two_level(spark):
     # an aggregation level is keyed on (host, user_id): a hot host is spread by user
     import re
     assert re.search(r"keys=\[host#\d+, user_id#\d+L?\]", text), text
+
+
+def test_batch_sessions_equal_session_windows_with_a_hot_address(spark):
+    # one address holds a third of all events; some are exactly a gap apart
+    # or one microsecond more, some repeat, some lack a time or an address
+    base = (spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('a', id % 40) END AS ip", "id % 2 AS host",
+        "CASE WHEN id % 97 = 5 THEN NULL ELSE timestamp_micros(1704067200000000 + 1000000 * (id * 37 % 40000)) END AS ts"))
+    edges = spark.createDataFrame([("e", 0, s) for s in (-700_000_000, -200_000_000, -1, 0, 0, 300_000_000, 600_000_001, 900_000_001, 1_300_000_000)],
+                                  "ip string, host bigint, us bigint").selectExpr("ip", "host", "timestamp_micros(us) AS ts")
+    df = base.union(edges)
+    got = windows.session_counts_batch(df, "ts", ["ip", "host"])
+    want = windows.session_counts(df, "ts", ["ip", "host"], watermark=None)
+    assert rows(got) == rows(want.select(*got.columns))
+    physical = plan_text(got, "simple").split("== Physical Plan ==")[-1]
+    assert "partial_count" in physical and "MergingSessions" not in physical
+    assert windows.session_counts_batch(df.where("false"), "ts", ["ip", "host"]).count() == 0
