@@ -16,9 +16,12 @@ says. The walk turns edit distance into Hamming distance between outputs.
 
 LSH: a table samples ``bits`` output positions; a window is a candidate
 if it agrees with the item on all of one table's positions. The number of
-tables (each with a walk of its own) is measured: edited copies of the
-items, at the full edit budget, must be found at ``recall``. Candidates are
-verified by exact edit distance (bit-parallel, over words).
+tables (``tables_a_walk`` of them share a walk) is measured for each class
+of item lengths: edited copies of its items, at the full edit budget, must
+be found at ``recall``. Candidates are verified by exact edit distance
+(bit-parallel, over words). Classes that ``max_tables`` do not bring to the
+recall, as those of long items, take no tables: all their windows are
+verified, overlapping ones as one region.
 
 The items are a query set worked off in blocks of ``block_words`` words;
 each block's index is broadcast (its size is bounded by the block) and
@@ -48,6 +51,10 @@ _HIT = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32())]))
 _FILTER_BITS = 20
 #: Walk steps a word, up to which places are sampled (a walk takes about two).
 DEPTH = 1.8
+#: Items with more words are not tried with tables: all windows are verified.
+EMBEDDED = 512
+#: Edited copies by which a class of item lengths is measured.
+COPIES = 400
 
 
 @dataclass(frozen=True)
@@ -95,6 +102,9 @@ class Index:
     items: list[np.ndarray] = field(default_factory=list)
     #: by anchor length: sorted hashes, item, offset; and a bitmap of hashes
     anchors: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    #: tables of each item; 0: all its windows are verified
+    tables_of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    #: most tables of an item
     tables: int = 1
 
     @staticmethod
@@ -119,7 +129,11 @@ class Index:
             seen = np.zeros(1 << _FILTER_BITS, bool)
             seen[grams >> C.U(64 - _FILTER_BITS)] = True
             x.anchors[q] = (grams, item, offset, seen)
-        x.tables = x._measure_tables()
+        classes = np.array([int(2 * np.log2(len(w))) for w in x.items], np.int64)
+        x.tables_of = np.zeros(len(x.items), np.int64)
+        for c in np.unique(classes):
+            x.tables_of[classes == c] = x._measure_tables(np.flatnonzero(classes == c))
+        x.tables = int(x.tables_of.max(initial=0))
         return x
 
     def windows(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -169,71 +183,100 @@ class Index:
                 out[z] &= np.where(forward, same[1][np.where(forward, t, 0), everyone], same[-1][np.where(forward, 0, t), everyone])
         return out
 
-    def _measure_tables(self) -> int:
-        """Tables needed so that items edited as much as allowed are found."""
-        if not self.items:
-            return 1
+    def _measure_tables(self, members: np.ndarray) -> int:
+        """Tables needed so that these items, edited as much as allowed, are
+        found; 0 if ``max_tables`` are not enough."""
+        if max(len(self.items[k]) for k in members) > EMBEDDED:
+            return 0
         rng, s = np.random.default_rng(self.search.seed + 1), self.search
         words, lo, hi, item, offset, pos = [], [], [], [], [], []
         total = 0
-        for k in rng.permutation(len(self.items))[:100]:
+        for k in np.resize(rng.permutation(members), COPIES):
             w = self.items[k]
             edits = budget(len(w), s.similarity)
             pieces = edits + 1
-            for _ in range(4):
-                intact = int(rng.integers(pieces))
-                a, b = intact * len(w) // pieces, (intact + 1) * len(w) // pieces
-                text, at = list(w), a
-                for _ in range(edits):
-                    free = [i for i in range(len(text)) if not at <= i < at + b - a]
-                    if not free:
-                        break
-                    i, kind = int(rng.choice(free)), int(rng.integers(3))
-                    new = C.U(rng.integers(1 << 62))
-                    if kind == 0:
-                        text[i] = new
-                    elif kind == 1:
-                        text.insert(i, new)
-                        at += i < at
-                    else:
-                        del text[i]
-                        at -= i < at
-                # words of other passages around it
-                pad = rng.integers(1 << 62, size=edits + 1).astype(np.uint64)
-                words += [pad, np.array(text, np.uint64), pad]
-                size = 2 * len(pad) + len(text)
-                lo.append(total)
-                hi.append(total + size)
-                item.append(k)
-                offset.append(a)
-                pos.append(total + len(pad) + at)
-                total += size
+            intact = int(rng.integers(pieces))
+            a, b = intact * len(w) // pieces, (intact + 1) * len(w) // pieces
+            text, at = list(w), a
+            for _ in range(edits):
+                if len(text) == b - a:
+                    break
+                i, kind = int(rng.integers(len(text) - (b - a))), int(rng.integers(3))
+                i += (b - a) * (i >= at)  # past the intact piece
+                new = C.U(rng.integers(1 << 62))
+                if kind == 0:
+                    text[i] = new
+                elif kind == 1:
+                    text.insert(i, new)
+                    at += i < at
+                else:
+                    del text[i]
+                    at -= i < at
+            # words of other passages around it
+            pad = rng.integers(1 << 62, size=edits + 1).astype(np.uint64)
+            words += [pad, np.array(text, np.uint64), pad]
+            size = 2 * len(pad) + len(text)
+            lo.append(total)
+            hi.append(total + size)
+            item.append(k)
+            offset.append(a)
+            pos.append(total + len(pad) + at)
+            total += size
         found = self.agree(np.concatenate(words), *[np.array(c, np.int64) for c in (lo, hi, item, offset, pos)], s.max_tables)
         share = np.logical_or.accumulate(found, axis=0).mean(1)
-        return int(np.argmax(share >= s.recall)) + 1 if share[-1] >= s.recall else s.max_tables
+        return int(np.argmax(share >= s.recall)) + 1 if share[-1] >= s.recall else 0
 
     def hits(self, text: pa.Array) -> list[list[dict]]:
         h, first = word_hashes(text)
         doc, item, offset, pos = self.windows(h, first)
         best: dict[tuple[int, int], int] = {}
-        # a batch of windows at a time keeps memory flat on dense texts
-        for a in range(0, len(doc), 20_000):
-            d, i, o, p = (c[a : a + 20_000] for c in (doc, item, offset, pos))
-            near = self.agree(h, first[d], first[d + 1], i, o, p, self.tables).any(0)
-            for d1, i1, s1 in {(int(x), int(y), int(z)) for x, y, z in zip(d[near], i[near], (p - o)[near], strict=True)}:
-                w = self.items[i1]
-                k = budget(len(w), self.search.similarity)
-                if best.get((d1, i1)) == 0:
-                    continue
-                region = h[max(first[d1], s1 - k) : min(first[d1 + 1], s1 + len(w) + k)]
-                e = edit_distance(w, region)
-                if e <= k:
-                    best[d1, i1] = min(e, best.get((d1, i1), e))
+
+        def verify(d1: int, i1: int, start: int, end: int) -> None:
+            w = self.items[i1]
+            e = edit_distance(w, h[start:end])
+            if e <= budget(len(w), self.search.similarity):
+                best[d1, i1] = min(e, best.get((d1, i1), e))
+
+        need = self.tables_of[item]
+        for tables in np.unique(need):
+            at = np.flatnonzero(need == tables)
+            if not tables:
+                for d1, i1, start, end in self._regions(h, first, doc[at], item[at], (pos - offset)[at]):
+                    verify(d1, i1, start, end)
+                continue
+            # a batch of windows at a time keeps memory flat on dense texts
+            for a in range(0, len(at), 20_000):
+                d, i, o, p = (c[at[a : a + 20_000]] for c in (doc, item, offset, pos))
+                near = self.agree(h, first[d], first[d + 1], i, o, p, int(tables)).any(0)
+                for d1, i1, s1 in {(int(x), int(y), int(z)) for x, y, z in zip(d[near], i[near], (p - o)[near], strict=True)}:
+                    if best.get((d1, i1)) == 0:
+                        continue
+                    k = budget(len(self.items[i1]), self.search.similarity)
+                    verify(d1, i1, max(first[d1], s1 - k), min(first[d1 + 1], s1 + len(self.items[i1]) + k))
         out: list[list[dict]] = [[] for _ in range(len(text))]
         for (d1, i1), e in best.items():
             out[d1].append({"item_id": self.ids[i1], "distance": e})
         return [sorted(x, key=lambda y: (y["item_id"] is None, y["item_id"], y["distance"])) for x in out]
 
+    def _regions(self, h: np.ndarray, first: np.ndarray, doc: np.ndarray, item: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, from, to) of all these windows, with the edit budget
+        around them and overlapping ones as one; without those that hold too
+        few of the item's words at any place to be within its budget."""
+        order = np.lexsort((start, item, doc))
+        doc, item, start = doc[order], item[order], start[order]
+        sizes = np.array([len(w) for w in self.items], np.int64)
+        slack = np.array([budget(len(w), self.search.similarity) for w in self.items], np.int64)
+        apart = np.append(True, (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(start) > (sizes + 2 * slack)[item[1:]]))
+        begin = np.flatnonzero(apart)
+        for a, b in zip(begin, np.append(begin[1:], len(doc)), strict=True):
+            d1, i1 = int(doc[a]), int(item[a])
+            size, k = int(sizes[i1]), int(slack[i1])
+            lo, hi = max(int(first[d1]), int(start[a]) - k), min(int(first[d1 + 1]), int(start[b - 1]) + size + k)
+            held = np.concatenate([[0], np.cumsum(np.isin(h[lo:hi], self.items[i1]))])
+            wide = min(size + k, hi - lo)
+            if (held[wide:] - held[: len(held) - wide]).max() >= size - k:
+                yield d1, i1, lo, hi
+
 
 def edit_distance(item: np.ndarray, region: np.ndarray) -> int:
     """Least edit distance of the item to any passage of the region (the

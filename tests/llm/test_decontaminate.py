@@ -83,6 +83,34 @@ def test_tables_reach_the_recall():
     assert 1 < index.tables < X.Search().max_tables
 
 
+def test_long_items_among_many_short_ones():
+    """Copies of long items are all found with an edit in each piece but one."""
+    rng = random.Random(4)
+    word = lambda: f"v{rng.randrange(3000)}"
+
+    def spread(w):
+        pieces, out = X.budget(len(w), 0.8) + 1, []
+        intact = rng.randrange(pieces)
+        for p in range(pieces):
+            one, kind = list(w[p * len(w) // pieces : (p + 1) * len(w) // pieces]), rng.randrange(3)
+            if p != intact:
+                one[1 : 1 + (kind > 0)] = [f"z{rng.randrange(10**6)}"] * (kind < 2)
+            out += one
+        return out
+
+    sizes = [12] * 300 + [250, 500, 1000]
+    items = [(i, [word() for _ in range(n)]) for i, n in enumerate(sizes)]
+    docs = []
+    for i, w in items[300:]:
+        for _ in range(10):
+            pad = [word() for _ in range(rng.randrange(300))]
+            docs.append((len(docs), " ".join([*pad, *spread(w), *pad])))
+    index = X.Index.build([(i, " ".join(w)) for i, w in items], X.Search())
+    got = {(d, x["item_id"], x["distance"]) for (d, _), found in zip(docs, index.hits(X.pa.array([t for _, t in docs])), strict=True) for x in found}
+    want = {(d, i, e) for d, t in docs for i, w in items[300:] if (e := X.edit_distance(*[X.word_hashes(X.pa.array([" ".join(x)]))[0] for x in (w, t.split())])) <= X.budget(len(w), 0.8)}
+    assert len(want) == len(docs) and got == want
+
+
 def test_odd_rows(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (1, "alpha beta gamma delta epsilon zeta"), (2, None), (3, ""), (4, "too short"), (None, "one two three four five six seven")], "item_id long, text string")
     docs = [(1, None), (2, ""), (3, "ALPHA beta, gamma delta epsilon zeta"), (3, "ALPHA beta, gamma delta epsilon zeta"), (None, "x " * 50_000 + "alpha beta gamma delta epsilon zeta"), (5, "too short"), (6, "one two three four five six seven")]
