@@ -6,8 +6,9 @@ the listed rules give; association rules with enough support and confidence
 are kept, a rule that adds tokens to a kept one without being surer is
 pruned, and the survivors are matched through an inverted index from each
 rule's rarest token. Everything runs on DataFrame functions and the JVM's
-FP-growth; only the model (``max_rules`` rules, ``max_tokens`` tokens) comes
-to the driver, and matching is row by row without a shuffle.
+FP-growth; only the model (the pruned rules and the tokens that reach
+``min_support``) comes to the driver, and matching is row by row without a
+shuffle. Support and confidence alone bound what is mined.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule and gets the default verdict; equally sure rules are
@@ -23,6 +24,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import staged
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -82,16 +85,15 @@ class UrlModel:
 
 @dataclass(frozen=True)
 class UrlRuleMiner:
-    """``max_tokens`` bounds the vocabulary (the tokens found most often),
-    ``max_items`` the tokens of one transaction, ``max_antecedent`` those of
-    a rule, ``max_rules`` the model."""
+    """``max_tokens`` (vocabulary), ``max_items`` (frequent tokens of one
+    transaction) and ``max_rules`` (model) are limits, none by default, beyond
+    which the fit fails: nothing is cut to fit them."""
 
     min_support: float = 0.01
     min_confidence: float = 0.9
-    max_tokens: int = 256
-    max_items: int = 10
-    max_antecedent: int = 2
-    max_rules: int = 500
+    max_tokens: int | None = None
+    max_items: int | None = None
+    max_rules: int | None = None
 
     def fit(self, labelled: DataFrame, items: str = "tokens", label: str = "label") -> UrlModel:
         labelled = labelled.select(F.col(items).alias("items"), F.col(label).alias("label")).where(F.col("label").isNotNull())
@@ -99,22 +101,36 @@ class UrlRuleMiner:
         if not n:
             return UrlModel((), ())
         often = labelled.select(F.explode("items").alias("t")).groupBy("t").count().where(F.col("count") >= self.min_support * n)
-        vocabulary = [r.t for r in often.orderBy(F.desc("count"), "t").limit(self.max_tokens).collect()]
+        vocabulary = [r.t for r in often.orderBy(F.desc("count"), "t").collect()]
+        self._within("max_tokens", len(vocabulary))
         known = F.array(*[F.lit(t) for t in vocabulary]).cast("array<string>")
-        baskets = labelled.select(F.concat(F.slice(F.array_intersect(known, "items"), 1, self.max_items), F.array(F.concat(F.lit("label:"), "label"))).alias("items"))
+        baskets = labelled.select(F.array_intersect(known, "items").alias("known"), "label")
+        if self.max_items is not None:
+            self._within("max_items", baskets.agg(F.max(F.size("known"))).first()[0])
+        baskets = baskets.select(F.concat("known", F.array(F.concat(F.lit("label:"), "label"))).alias("items"))
         model = FPGrowth(itemsCol="items", minSupport=self.min_support, minConfidence=self.min_confidence).fit(baskets)
-        found = (
-            model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit("label:")) & (F.size("antecedent") <= self.max_antecedent) & ~F.exists("antecedent", lambda t: F.startswith(t, F.lit("label:"))))
-            .select(F.array_sort("antecedent").alias("a"), F.substring(F.col("consequent")[0], 7, 1000).alias("v"), F.round("confidence", 9).alias("c"), F.round("support", 9).alias("s"))
-            .orderBy(F.desc("c"), F.desc("s"), F.array_join("a", " "))
-            .limit(self.max_rules)
+        found = model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit("label:")) & ~F.exists("antecedent", lambda t: F.startswith(t, F.lit("label:")))).select(
+            F.array_sort("antecedent").alias("a"), F.substring(F.col("consequent")[0], 7, 1000).alias("v"), F.round("confidence", 9).alias("c"), F.round("support", 9).alias("s")
         )
-        kept: list[tuple[tuple[str, ...], str, float, float]] = []
-        for r in sorted(found.collect(), key=lambda r: (len(r.a), -r.c, -r.s, r.a)):
-            if not any(set(a) <= set(r.a) and v == r.v and c >= r.c for a, v, c, _ in kept):
-                kept.append((tuple(r.a), r.v, r.c, r.s))
+        kept = [(tuple(r.a), r.v, r.c, r.s) for r in sorted(_pruned(staged(found, "rules")).collect(), key=lambda r: (len(r.a), -r.c, -r.s, r.a))]
+        self._within("max_rules", len(kept))
         return UrlModel(tuple(kept), tuple(vocabulary))
 
+    def _within(self, limit: str, n: int) -> None:
+        most = getattr(self, limit)
+        if most is not None and n > most:
+            raise ValueError(f"{n} is beyond {limit}={most}")
+
+
+def _pruned(found: DataFrame) -> DataFrame:
+    """The rules (a, v, c, s) that hold no shorter one that is as sure. A
+    shorter rule is met under its first token."""
+    short = found.select(F.col("a")[0].alias("t"), F.col("a").alias("sa"), F.col("v").alias("sv"), F.col("c").alias("sc"))
+    each = found.withColumn("t1", F.explode("a"))
+    held = (F.size("sa") < F.size("a")) & (F.col("sc") >= F.col("c")) & (F.size(F.array_except("sa", "a")) == 0)
+    redundant = each.join(short, (F.col("t1") == F.col("t")) & (F.col("v") == F.col("sv")) & held, "left_semi").select("a", "v").distinct()
+    return found.join(redundant, ["a", "v"], "left_anti")
+
 
 def mined_rule(model: UrlModel, items: Column) -> Column:
     """The surest mined rule that fits, as struct(name, verdict, confidence,

@@ -1,8 +1,10 @@
 """Toxicity, language ID and URL rules: held-out accuracy and odd rows."""
 
-from itertools import combinations
+import random
+from itertools import combinations, product
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import lang_ecoc, toxicity_ftrl, url_rules
@@ -151,6 +153,24 @@ def test_url_rules_on_empty_and_clashing(spark):
     assert [(r.host, r.verdict) for r in url_rules.judge(one, URL_RULES).collect()] == [("a.org", "allow")]
 
 
+def test_url_rules_are_bounded_by_support_and_confidence_alone(spark):
+    """A sure rule of three tokens, rarer than eight others in its URLs; and
+    one less sure than hundreds of redundant pairs."""
+    common = [f"path:c{i}" for i in range(8)]
+    three = [(common + [t for t, on in zip(("path:x", "path:y", "path:z"), s, strict=True) if on], "block" if all(s) else "allow") for s in product((0, 1), repeat=3) for _ in range(20)]
+    model = url_rules.UrlRuleMiner().fit(spark.createDataFrame(three, "tokens array<string>, label string"))
+    assert model.rules == ((("path:x", "path:y", "path:z"), "block", 1.0, 0.125),)
+    rng = random.Random(5)
+    many = [(["path:u1", "path:u2", "path:u3", *rng.sample([f"path:t{i}" for i in range(200)], 10)], "block") for _ in range(1000)]
+    many += [(["path:r"], "allow" if i < 5 else "block") for i in range(100)]
+    rows = spark.createDataFrame(many, "tokens array<string>, label string")
+    model = url_rules.UrlRuleMiner().fit(rows)
+    assert (("path:r",), "block", 0.95, round(95 / 1100, 9)) in model.rules
+    assert len(model.rules) == 204 and all(len(a) == 1 for a, *_ in model.rules)
+    with pytest.raises(ValueError, match="max_rules"):
+        url_rules.UrlRuleMiner(max_rules=10).fit(rows)
+
+
 def test_queries_cover_their_tables(spark):
     for query, table in ((op3_url_filter, "pages"), (op2_toxicity, "documents")):
         assert query(spark, "/root/testdata/sf0.001").count() == spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").count()
