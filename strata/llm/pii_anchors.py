@@ -15,8 +15,11 @@ validation is dropped and the search goes on behind it):
 * ``phone``  plus sign, 10 to 15 digits with separators
 
 Added kinds: ``url`` (scheme, host with a dot), ``iban`` (country letters,
-check digits, ISO 7064 mod 97) and ``account`` (a number of 6 to 17 digits
-behind a cue word such as *account* or *Konto*).
+check digits, as many characters as the country has, ISO 7064 mod 97; with or
+without a cue word before it, in fours or unbroken, in any case; countries
+without a known length only behind a cue) and ``account`` (a number of 6 to
+17 digits behind a cue word such as *account* or *Konto* and words such as
+*number is*, in any case).
 
 Defined results: null and empty texts have no spans; spans are sorted by
 start, then kind; repeated rows give repeated results; an empty table gives
@@ -48,8 +51,20 @@ _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]{1,5})?(?:[/?#][^\s<>\"']*)?")
-_CUED = re.compile(r"(?: ?(?:number|no\.?|nr\.?))?(?: ?[:#=])? ?([0-9](?:[ -]?[0-9]){5,16})(?![0-9])")
-_IBAN = re.compile(r"(?: ?[:#=])? ?([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+_QUALIFIED = r"\.?(?:[ -]?(?:number|nummer|num\.?|no\.?|nr\.?|numero|número|numéro))?(?: (?:is|ist|est|es))?(?: ?[:#=])? ?"
+_CUED = re.compile(_QUALIFIED + r"([0-9](?:[ -]?[0-9]){5,16})(?![0-9])", re.IGNORECASE)
+_IBAN = re.compile(_QUALIFIED + r"(?=[A-Za-z]{2}[0-9]{2})", re.IGNORECASE)
+_ALNUM = _LETTERS | _DIGITS
+_FOLD = {c: c + 32 for c in range(65, 91)}
+#: Characters of an IBAN by country (ISO 13616).
+IBAN_SIZES = {
+    x[:2]: int(x[2:])
+    for x in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 "
+        "IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 "
+        "SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
 
 
 def luhn(digits: str) -> bool:
@@ -65,6 +80,27 @@ def iban_ok(text: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def iban_end(text: str, start: int, cued: bool) -> int | None:
+    """End of the IBAN that starts here, if one does."""
+    read, i, stops = "", start, {}
+    while i < len(text) and len(read) < 34:
+        if text[i] in _ALNUM:
+            read += text[i]
+            i += 1
+            if i == len(text) or text[i] not in _ALNUM:
+                stops[len(read)] = i
+        elif text[i] in " -\u00a0" and read and len(read) % 4 == 0 and text[i - 1] in _ALNUM:
+            i += 1
+        else:
+            break
+    size = IBAN_SIZES.get(read[:2].upper())
+    if size:
+        sizes = [size, *([max(stops, default=0)] if cued else [])]
+    else:
+        sizes = sorted(stops, reverse=True) if cued else []
+    return next((stops[n] for n in sizes if n in stops and iban_ok(read[:n])), None)
+
+
 class Finder:
     """Built once a task; ``spans(text)`` gives (start, kind number, end)."""
 
@@ -74,8 +110,7 @@ class Finder:
             a.add_word(x, (1, x))
         a.add_word("://", (3, ":"))
         for cue in CUES:
-            for form in (cue, cue.capitalize(), cue.upper()):
-                a.add_word(form, (len(form), "cue"))
+            a.add_word(cue, (len(cue), "cue"))
         a.make_automaton()
         self.anchors = a
 
@@ -83,9 +118,15 @@ class Finder:
         out: list[tuple[int, int, int]] = []
         ends = [0] * len(KINDS)  # where the search of each kind goes on
         size = len(text)
-        for last, (width, what) in self.anchors.iter(text):
+        folded = text.lower()
+        if len(folded) != size:  # a letter became two
+            folded = text.translate(_FOLD)
+        for last, (width, what) in self.anchors.iter(folded):
             p = last - width + 1
             if what in _DIGITS:
+                if p - 2 >= ends[5] and text[p - 1] in _LETTERS and text[p - 2] in _LETTERS and (p == 2 or text[p - 3] not in _ALNUM) and text[last + 1 : last + 2] in _DIGITS and (end := iban_end(text, p - 2, False)):
+                    ends[5] = end
+                    out.append((p - 2, 5, end))
                 if p >= ends[2]:
                     if m := _CARD.match(text, p):
                         ends[2] = m.end()
@@ -116,9 +157,9 @@ class Finder:
                     ends[4] = m.end()
                     out.append((start, 4, m.end()))
             elif last + 1 < size:
-                if last + 1 >= ends[5] and (m := _IBAN.match(text, last + 1)) and iban_ok(m.group(1)):
-                    ends[5] = m.end(1)
-                    out.append((m.start(1), 5, m.end(1)))
+                if last + 1 >= ends[5] and (m := _IBAN.match(text, last + 1)) and (end := iban_end(text, m.end(), True)):
+                    ends[5] = end
+                    out.append((m.end(), 5, end))
                 elif last + 1 >= ends[6] and (m := _CUED.match(text, last + 1)):
                     ends[6] = m.end(1)
                     out.append((m.start(1), 6, m.end(1)))

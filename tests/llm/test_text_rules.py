@@ -122,3 +122,17 @@ def test_added_spans_and_redaction(spark):
         if t:  # spans survive nowhere: each becomes a placeholder
             s = pii_anchors.Finder().spans(t)
             assert pii_anchors.redact_text(t, s).count("[") == sum(all(e2 <= s1 or s2 >= s1 for s2, _, e2 in s[:i]) for i, (s1, _, _) in enumerate(s)) or any(b[0] < a[2] for a, b in zip(s, s[1:], strict=False))
+
+
+def test_accounts_and_ibans_of_any_wording():
+    find = lambda t: [(pii_anchors.KINDS[k], t[s:e]) for s, k, e in pii_anchors.Finder().spans(t) if k > 4]
+    for cue in ("Account Number: ", "Account No. ", "ACCOUNT NUMBER ", "account number is ", "Acct. no.: ", "AcCount #", "Konto-Nr. ", "İ Kontonummer: "):
+        assert find(f"{cue}12345678.") == [("account", "12345678")], cue
+    spain, belgium = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"
+    for before in ("IBAN: ", "iban number is ", "", "pay to ", "("):
+        for after in ("", " BIC CAIXESBB", " EUR", ".", "\nXY", ", 12"):
+            for x in (spain, belgium, spain.replace(" ", ""), belgium.lower()):
+                assert find(before + x + after) == [("iban", x)], before + x + after
+    for none in ("ES92 2100 0418 4502 0005 1332", "xES9121000418450200051332", "ES91210004184502000513321", "no12 this is text", "ab12", "12", "a1", "é12 34", "XX00 1234 5678 9012"):
+        assert find(none) == [], none
+    assert find(f"{spain} {belgium}") == [("iban", spain), ("iban", belgium)]
