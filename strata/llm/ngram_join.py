@@ -331,14 +331,21 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", params: Join
     """One row a document: ``key``, ``rid`` (the key, or a hash of the text
     where it is null), ``n`` (set size), ``node`` (set) and ``component``
     (least key of the component)."""
+    signed, root = _linked(docs, text, [key, "rid"], key, params)
+    return _named(signed, key, root)
+
+
+def _linked(docs: DataFrame, text: str, keys: list[str], key: str, params: Join | None) -> tuple[DataFrame, DataFrame]:
+    """``keys`` (of ``key``, ``rid`` and ``hash``, that of the text), set size
+    and node of each row; and the root of every node with a link."""
     j = params or Join()
-    docs = docs.select(F.col(key), F.col(text), F.coalesce(F.col(key).cast("long"), F.xxhash64(text)).alias("rid"))
+    docs = docs.select(F.col(key), F.col(text), F.coalesce(F.col(key).cast("long"), F.xxhash64(text)).alias("rid"), F.xxhash64(text).alias("hash"))
     buckets = _buckets(docs, text, j)
     counted = staged(_counted_pairs(buckets, j), "counted")
-    signed = staged(_described(docs, text, [key, "rid"], j), "described")
+    signed = staged(_described(docs, text, keys, j), "described")
     crowds = buckets.where(F.col("held") > j.crowd).select("sig", "node")
     seen = crowds.groupBy("node").agg(F.count(F.lit(1)).alias("crowds"))
-    info = signed.where(F.col("own").isNotNull()).drop(key, "rid").dropDuplicates(["node"])
+    info = signed.where(F.col("own").isNotNull()).drop(*keys).dropDuplicates(["node"])
     info = staged(info.join(seen, "node", "left").fillna(0, ["crowds"]), "info")
     close = staged(_promising(counted, info, j), "promising")
     links = _similar(close, _sets_of(docs, text, j, close.select(F.explode(F.array("a", "b")).alias("node"))), j)
@@ -365,7 +372,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", params: Join
         if not new.isEmpty():
             links = links.union(_similar(new, found, j))
             root = components(links)
-    return _named(signed, key, root)
+    return signed, root
 
 
 def _rooted(rows: DataFrame, root: DataFrame, node: str) -> DataFrame:
@@ -451,14 +458,18 @@ def _named(signed: DataFrame, key: str, root: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", params: Join | None = None) -> DataFrame:
     """The rows and columns of ``docs`` with one document left of each
-    component: the one with the least key. Texts without words all stay."""
-    found = staged(join(docs, text, key, params), "components")
-    lead = F.struct(F.col(key).isNull().alias("unkeyed"), F.col("rid"), F.col("node"))
-    leaders = found.where(F.col("n") > 0).groupBy(F.coalesce("component", "node").alias("c"), F.col("component").isNull().alias("z")).agg(F.min(lead).alias("l")).select("l.rid")
-    empty = found.where(F.col("n") == 0).select("rid")
-    kept = leaders.union(empty).distinct().withColumnRenamed("rid", "__rid")
+    component: the one with the least key, and of these the one with the
+    least hash of its text. Components are told apart by their root node and
+    documents by key and text, so keys may repeat or be null. Texts without
+    words all stay."""
+    signed, root = _linked(docs, text, [key, "rid", "hash"], key, params)
+    lead = F.struct(F.col(key).isNull().alias("unkeyed"), F.col("rid"), F.col("hash"))
+    least = signed.where(F.col("n") > 0).groupBy("node").agg(F.min(lead).alias("l"))
+    leaders = _rooted(least, root, "node").groupBy("root").agg(F.min("l").alias("l"))
+    # written, so that the last join reads two plain tables and can be split
+    leaders = staged(leaders.select(F.col("l.rid").alias("__rid"), F.col("l.hash").alias("__hash")), "leaders")
     rid = F.coalesce(F.col(key).cast("long"), F.xxhash64(text))
-    rows = docs.withColumn("__rid", rid).join(kept, "__rid", "left_semi")
     wordless = ~F.rlike(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))
-    full = rows.where(~wordless).dropDuplicates(["__rid"])
-    return full.union(rows.where(wordless)).select(*docs.columns)
+    rows = docs.where(~wordless).withColumns({"__rid": rid, "__hash": F.xxhash64(text)})
+    full = rows.join(leaders, ["__rid", "__hash"], "left_semi").dropDuplicates(["__rid", "__hash"])
+    return full.select(*docs.columns).union(docs.where(wordless))

@@ -138,3 +138,15 @@ def test_one_of_each_keeps_rows_and_columns(spark):
     got = J.one_of_each(df, params=J.Join(80, 100, 5))
     assert got.columns == df.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[1], rows[3], rows[5], rows[6], rows[7]], key=str)
+
+
+def test_one_of_each_with_null_and_repeated_keys(spark):
+    """Near copies without a key; a key of several different texts, one of
+    them a near copy of another document."""
+    text = lambda x: [f"{x}{i}" for i in range(60)]
+    near = lambda x: [*text(x)[:-1], "other"]
+    rows = [(None, text("a"), 0), (None, near("a"), 0), (7, text("b"), 1), (7, text("c"), 2), (8, text("d"), 3), (8, near("e"), 4), (5, text("e"), 4), (None, near("d"), 3), (None, text("f"), 5)]
+    df = spark.createDataFrame([(k, " ".join(w), g) for k, w, g in rows], "doc_id long, text string, g int").repartition(4)
+    got = J.one_of_each(df, params=J.Join(80, 100, 5)).collect()
+    assert sorted((r.g, r.doc_id or 0) for r in got) == [(0, 0), (1, 7), (2, 7), (3, 8), (4, 5), (5, 0)]
+    assert {r.text.split()[-1] for r in got if r.g in (3, 4)} == {"d59", "e59"}
