@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("apache-2.0", "This work is licensed under the Apache License, Version 2.0"),
+    ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License'),
     ("bsd-3-clause", "Released under the BSD 3-Clause License"),
     ("bsd-style", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
     ("cc-by-4.0", "Licensed under CC BY 4.0"),
@@ -44,6 +45,12 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("agpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
+    (
+        "mit",
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, '
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
+        "and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    ),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("public-domain", "This is free and unencumbered software released into the public domain"),
 )

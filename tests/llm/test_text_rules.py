@@ -136,3 +136,12 @@ def test_accounts_and_ibans_of_any_wording():
     for none in ("ES92 2100 0418 4502 0005 1332", "xES9121000418450200051332", "ES91210004184502000513321", "no12 this is text", "ab12", "12", "a1", "é12 34", "XX00 1234 5678 9012"):
         assert find(none) == [], none
     assert find(f"{spain} {belgium}") == [("iban", spain), ("iban", belgium)]
+
+
+def test_licenses_in_their_true_wording(spark):
+    texts = [
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy',
+    ]
+    got = {r.doc_id: [(m.license, m.dice, m.unit) for m in r.matches][0] for r in license_scan.scan(docs(spark, texts)).collect() if r.matches}
+    assert got == {i: (name, 1.0, 0) for i, name in enumerate(("mit", "apache-2.0"))}
