@@ -119,10 +119,27 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM t UNION SELECT r.a, l.b FROM reach r
 SELECT r.a AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id FROM reach r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a"""
 
 
+def _negatives() -> str:
+    return """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+  FROM e a JOIN e r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+pos AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
+
+
 ORACLE = {
     "op1_chat_format": _chat(),
     "op4_mix_sources": _mix(),
     "op5_quality_ledger": _quality(),
     "op6_license_scan": _license(),
     "op7_ngram_jaccard_join": _join(),
+    "op12_hard_negatives": _negatives(),
 }

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: thin callers that run an
+"""Registered queries of the operators: thin callers that run an
 operator over its whole table and derive the contract's columns from its
 real output."""
 
@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_format, decontaminate, lang_ecoc, license_scan, mix_sources, ngram_join, pii_anchors, quality_ledger, toxicity_ftrl, url_rules
+from strata.llm import chat_format, decontaminate, hard_negatives, lang_ecoc, license_scan, main_text, mix_sources, ngram_join, pii_anchors, quality_ledger, toxicity_ftrl, url_rules, whiten
 from strata.llm.common import held_out, load
 
 #: The listed rules of the URL query.
@@ -118,4 +118,27 @@ def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[count(k) for k in pii_anchors.BASE], F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_url_filter, op4_mix_sources, op5_quality_ledger, op6_license_scan, op7_ngram_jaccard_join, op8_language_id, op9_decontaminate, op10_pii_anchors)}
+def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding projected on the leading components, whitened."""
+    rows = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whiten.fit(rows)
+    explained, error = (model.explained(), model.identity_error) if model else ([], None)
+    out = whiten.whiten(rows, model).select("vec_id", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"), F.posexplode("whitened").alias("k", "whitened"))
+    share = F.get(F.array(*[F.lit(e).cast("double") for e in explained]), F.col("k"))
+    return out.select("vec_id", (F.col("k") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", F.col("whitened"), share.cast("double").alias("explained"), F.lit(error).cast("double").alias("identity_error"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row, against all rows."""
+    rows = load(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extract(pages, main_text.fit(pages))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_url_filter, op4_mix_sources, op5_quality_ledger, op6_license_scan, op7_ngram_jaccard_join, op8_language_id, op9_decontaminate, op10_pii_anchors, op11_whiten_embeddings, op12_hard_negatives, op13_main_text)}
