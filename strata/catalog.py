@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import history_text, tier
-from strata.operators import activity, cumulate, facts, graph, matches, quality, reduced, scd, sqltext
+from strata.operators import activity, constraints, cumulate, facts, graph, matches, quality, reduced, scd, sqltext
 from strata.operators.joins import first_per_key
 from strata.plans import layout
 from strata.session import scratch_path
-from strata.sources import recast, snapshots
+from strata.sources import landing, recast, snapshots
 from strata.sources.tables import table, to_wall_clock
-from strata.streaming import runner, windows
+from strata.streaming import late, runner, sinks, sources, windows
 
 # -- fixed parameters --------------------------------------------------------
 FIRST_SEASON, LAST_SEASON = 1995, 2001
@@ -664,6 +664,109 @@ def q_stream_sessions(spark, sf):
     return to_wall_clock(_run(spark, s, "sessions"), "session_start", "session_end")
 
 
+# JSON event files that arrive in chunks; one chunk is one micro-batch
+
+def _events_of(lines: DataFrame) -> DataFrame:
+    good, _ = sources.split_corrupt(sources.parse_json(lines))
+    return windows.parse_event_time(good, "event_time", "event_timestamp")
+
+
+def q_stream_json_source(spark, sf):
+    """JSON lines from many files, some malformed, in bounded
+    micro-batches; good rows counted by host, corrupt lines on their own."""
+    folder, sink = scratch_path(spark, "json-events"), scratch_path(spark, "json-sink")
+    for k in range(landing.CHUNKS):
+        landing.write_event_chunk(spark, sf, folder, k, malformed=True, files=2)
+    parsed = sources.parse_json(sources.json_files(spark, folder, max_files_per_trigger=3))
+    shape = {"good": lambda b: windows.parse_event_time(sources.split_corrupt(b)[0], "event_time", "event_timestamp"),
+             "corrupt": lambda b: sources.split_corrupt(b)[1]}
+    runner.run_foreach_batch(parsed, sinks.fan_out({n: (f"{sink}/{n}", f) for n, f in shape.items()}), scratch_path(spark, "json-ckpt"))
+    good = sinks.read_epochs(spark, f"{sink}/good").groupBy(F.lit("good").alias("status"), "host").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("event_timestamp").alias("n_timed"), F.count_distinct("url").alias("n_urls"))
+    bad = sinks.read_epochs(spark, f"{sink}/corrupt").groupBy(F.lit("corrupt").alias("status"), F.lit(None).cast("string").alias("host")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("long").alias("n_timed"), F.count_distinct(sources.CORRUPT).alias("n_urls"))
+    return good.unionByName(bad)
+
+
+LATE_SIZE, LATE_DELAY = "5 minutes", "15 seconds"
+
+
+def q_stream_late_ledger(spark, sf):
+    """Tumbling counts over micro-batches with late rows: the windows
+    that closed, those still in state, the late rows by epoch, and how many
+    grouped rows the query says it dropped."""
+    folder = scratch_path(spark, "late-events")
+    for k in range(landing.CHUNKS):
+        landing.write_event_chunk(spark, sf, folder, k, delayed=True)
+    sink, side, ckpt = (scratch_path(spark, f"late-{n}") for n in ("windows", "ledger", "ckpt"))
+
+    def events() -> DataFrame:
+        return _events_of(sources.json_files(spark, folder, max_files_per_trigger=1))
+
+    counts = windows.tumbling_counts(events(), "event_timestamp", ["host"], size=LATE_SIZE, watermark=LATE_DELAY)
+    dropped = late.follow(runner.start_parquet_sink(counts, sink, ckpt, trigger="available_now",
+                                                    state_partitions=2 * spark.sparkContext.defaultParallelism))
+    writer = late.ledger_writer("event_timestamp", late.seconds(LATE_SIZE), late.seconds(LATE_DELAY), f"{side}/late", f"{side}/highs")
+    runner.run_foreach_batch(events(), writer, f"{ckpt}-ledger")
+    rows = sinks.read_epochs(spark, f"{side}/late").groupBy("epoch", F.window("event_timestamp", LATE_SIZE).alias("w"), "host").agg(F.count("host").alias("num_hits"))
+    none = F.lit(None)
+    shown = [df.select(F.lit(kind).alias("kind"), epoch.cast("long").alias("epoch"), "event_hour", "host", F.col("num_hits").cast("long").alias("num_hits"))
+             for kind, epoch, df in (("closed", none, spark.read.parquet(sink)), ("open", none, late.open_windows(spark, ckpt, ["host"])),
+                                     ("late", F.col("epoch"), rows.withColumn("event_hour", F.col("w.start"))))]
+    said = spark.createDataFrame([(e, n) for e, n in dropped.items() if n], "epoch long, num_hits long")
+    shown.append(said.select(F.lit("dropped").alias("kind"), "epoch", none.cast("timestamp").alias("event_hour"), none.cast("string").alias("host"), "num_hits"))
+    return to_wall_clock(reduce(DataFrame.unionByName, shown), "event_hour")
+
+
+class Interrupted(RuntimeError):
+    """A sink that fails on purpose."""
+
+
+def q_stream_two_sinks(spark, sf):
+    """Enriched events to a sink of JSON values and to a typed one
+    from one read. The second sink fails once, after the first has written
+    epoch 1; the query starts again and that epoch replaces itself."""
+    folder = scratch_path(spark, "two-events")
+    for k in range(landing.CHUNKS):
+        landing.write_event_chunk(spark, sf, folder, k)
+    to, ckpt = scratch_path(spark, "two-sinks"), scratch_path(spark, "two-ckpt")
+    ranges, tries = recast.geo_ranges(spark, sf), []
+
+    def typed(batch: DataFrame) -> DataFrame:
+        tries.append(1)
+        if len(tries) == 2:
+            raise Interrupted("the typed sink fails in its second epoch")
+        return batch
+
+    def as_values(batch: DataFrame) -> DataFrame:
+        return runner.kafka_value(batch.withColumn("event_timestamp", windows.iso_text("event_timestamp")), key_col="ip")
+
+    writer = sinks.fan_out({"values": (f"{to}/values", as_values), "typed": (f"{to}/typed", typed)})
+    for attempt in range(2):
+        events = windows.enrich_geo(_events_of(sources.json_files(spark, folder, max_files_per_trigger=1)), ranges)
+        try:
+            runner.run_foreach_batch(events, writer, ckpt)
+        except Exception as ex:  # noqa: BLE001 - the first run ends by the failure above
+            if attempt or "second epoch" not in str(ex):
+                raise
+    read = F.from_json("value", "host string, geodata string, url string")
+    values = sinks.read_epochs(spark, f"{to}/values").select("epoch", read.alias("v")).select("epoch", "v.*")
+    out = [df.groupBy(F.lit(n).alias("sink"), "epoch", "host").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("url").alias("n_urls"), F.count_if(F.col("geodata") != "{}").alias("n_located"))
+           for n, df in (("values", values), ("typed", sinks.read_epochs(spark, f"{to}/typed")))]
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_stream_sessions_restart(spark, sf):
+    """The session query is stopped after each chunk of files, with
+    sessions open in its state, and started again from its checkpoint."""
+    folder, sink, ckpt = (scratch_path(spark, f"restart-{n}") for n in ("events", "sink", "ckpt"))
+    for k in range(landing.CHUNKS):
+        landing.write_event_chunk(spark, sf, folder, k)
+        s = windows.session_counts(_events_of(sources.json_files(spark, folder)), "event_timestamp", ["ip", "host"])
+        runner.run_available_now(s, sink, ckpt, state_partitions=2 * spark.sparkContext.defaultParallelism)
+    return to_wall_clock(spark.read.parquet(sink), "session_start", "session_end")
+
+
 def batch_sessions(spark, sf) -> DataFrame:
     """Batch twin of C51 over the whole table (no watermark: every session)."""
     raw = windows.parse_event_time(recast.raw_web_events(spark, sf), "event_time", "event_timestamp")
@@ -731,6 +834,15 @@ def q_quality_violations(spark, sf):
                              "host_activity_reduced_checks"))
 
 
+AUDITED = ("vertices", "edges", "players_scd", "host_activity_reduced")
+
+
+def q_constraint_audit(spark, sf):
+    """All declared constraints of the graph, SCD and month tables
+    as they land: keys, not-null, domains, checks and references."""
+    return constraints.audit({t: getattr(landing, t)(spark, sf) for t in AUDITED})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -169,8 +169,9 @@ def raw_web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_from_events(table(spark, sf_dir, "events"))
 
 
-def raw_from_events(e: DataFrame) -> DataFrame:
-    """Events as the stream carries them: text fields + ISO event time text.
+def raw_from_events(e: DataFrame, *keep: str) -> DataFrame:
+    """Events as the stream carries them: text fields + ISO event time text
+    (and the columns ``keep`` of the input).
 
     Row-wise only, so it applies to a batch or a streaming DataFrame. Every
     seventh event has a forwarded-for address list and every 97th a blank
@@ -190,6 +191,7 @@ def raw_from_events(e: DataFrame) -> DataFrame:
         ip.alias("ip"),
         json_props(("k", k)).alias("headers"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"),
+        *keep,
     )
 
 

@@ -1,9 +1,10 @@
 """State and output table schemas of the modelling workloads (DDL strings;
 ``StructType.fromDDL`` / ``spark.createDataFrame(..., schema)`` accept them).
 
-Keys the reference declares as PRIMARY KEY / CHECK / ENUM are listed in
-``KEYS`` / ``DOMAINS`` and enforced as data-quality checks
-(``strata.operators.quality``), since Parquet enforces no constraints.
+What the reference declares as PRIMARY KEY / NOT NULL / ENUM / CHECK stands
+in ``KEYS``, ``NOT_NULL``, ``DOMAINS`` and ``CHECKS``; ``REFERENCES`` names
+the keys that edges point to. Parquet enforces none of them:
+``strata.operators.constraints`` compiles them into an audit of the tables.
 """
 
 # The reference's enum domains.
@@ -60,4 +61,34 @@ DOMAINS = {
     ("actors", "quality_class"): SCORING_CLASSES,
     ("vertices", "type"): VERTEX_TYPES,
     ("edges", "edge_type"): EDGE_TYPES,
+    ("edges", "subject_type"): VERTEX_TYPES,
+    ("edges", "object_type"): VERTEX_TYPES,
+    ("players_scd", "scoring_class"): SCORING_CLASSES,
+    ("actors_history_scd", "quality_class"): SCORING_CLASSES,
+}
+
+#: Columns outside the key that must not be null.
+NOT_NULL = {
+    "user_devices_cumulated": ("device_activity_datelist",),
+    "hosts_cumulated": ("host_activity_datelist",),
+    "host_activity_reduced": ("hit_array", "unique_visitors"),
+}
+
+#: Row conditions in SQL; a condition that is unknown holds.
+CHECKS = {
+    "players_scd": {"interval": "start_season <= end_season", "as_of": "end_season <= current_season"},
+    "actors_history_scd": {"interval": "start_year <= end_year", "as_of": "end_year <= current_year"},
+    "array_metrics": {"first_of_month": "month_start = trunc(month_start, 'MM')"},
+    "host_activity_reduced": {
+        "first_of_month": "month = trunc(month, 'MM')",
+        "same_length": "coalesce(array_size(hit_array), 0) = coalesce(array_size(unique_visitors), 0)",
+    },
+}
+
+#: table: {name: (columns, table referred to)}; the columns match its key.
+REFERENCES = {
+    "edges": {
+        "subject": (("subject_identifier", "subject_type"), "vertices"),
+        "object": (("object_identifier", "object_type"), "vertices"),
+    },
 }
