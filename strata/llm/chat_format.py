@@ -1,12 +1,13 @@
 """Chat formatting with typed content parts.
 
 A turn's content is an array of typed parts (``PART_TYPE``). A visitor, one
-method a kind, flattens the parts in order: text is escaped, every other
-kind becomes one placeholder, an attachment record (where it stands, what
-it refers to) and the number of tokens the placeholder expands to. Turns
-are rendered row by row before the shuffle; one ordered concatenation then
-builds each conversation, so a conversation is one row by definition and
-only rendered text is shuffled.
+method a kind, flattens the parts in order: every kind but text becomes one
+placeholder, an attachment record (where it stands, what it refers to) and
+the number of tokens the placeholder expands to. Neighbouring texts are one
+run, escaped as a whole, so that no control string can be put together from
+two parts. Turns are rendered row by row before the shuffle; one ordered
+concatenation then builds each conversation, so a conversation is one row by
+definition and only rendered text is shuffled.
 
 Escaping is reversible: a control string in a text gets one escape
 character after its first character; if the text already has ``k`` escape
@@ -14,9 +15,10 @@ characters there, it gets one more. A rendered text therefore never holds a
 control string, and removing one escape character restores it.
 
 Defined results: null text, role or parts are empty; a null turn sorts
-first; turns with the same number are ordered by role, then content, and
-repeated rows are all kept; a null conversation id is one conversation; an
-empty table gives no rows; further columns are ignored.
+first; turns with the same number are ordered by role, then rendered
+content, and repeated rows are all kept; a null conversation id is one
+conversation; texts of any length are rendered whole; an empty table gives
+no rows; further columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -79,7 +81,7 @@ class PartVisitor:
 
     def text(self, part: Column) -> tuple[Column, Column]:
         body = F.coalesce(part["text"], F.lit(""))
-        return self.escape(body), F.regexp_count(body, F.lit(r"[\p{L}\p{M}]+|\p{N}|[^\s\p{L}\p{M}\p{N}]")).cast("long")
+        return body, F.regexp_count(body, F.lit(r"[\p{L}\p{M}]+|\p{N}|[^\s\p{L}\p{M}\p{N}]")).cast("long")
 
     def image(self, part: Column) -> Column:
         cells = [F.ceil(F.greatest(F.coalesce(part["size"][x], F.lit(0)), F.lit(1)) / F.lit(self.patch)) for x in ("a", "b")]
@@ -92,8 +94,8 @@ class PartVisitor:
         return F.coalesce(part["size"]["a"], F.lit(0)).cast("long") * F.lit(self.page_tokens)
 
     def visit(self, part: Column) -> Column:
-        """struct(rendered, tokens, kind, ref) of a part; an unknown kind is
-        read as text."""
+        """struct(rendered, tokens, kind, ref) of a part, texts as they are;
+        an unknown kind is read as text."""
         body, tokens = self.text(part)
         kind = F.lit("text")
         for name, mark in self.t.placeholders:
@@ -123,19 +125,27 @@ class ChatFormatter:
         who = F.coalesce(F.col(role), F.lit(""))
         seen = F.transform(F.coalesce(F.col(parts), F.array().cast(f"array<{PART_TYPE}>")), v.visit)
         rendered = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), who.alias("role"), seen.alias("seen"))
-        body = F.array_join(F.transform("seen", lambda p: p["rendered"]), "")
+        # places of the placeholders, with one before and one after all parts
+        marks = F.filter(F.transform("seen", lambda p, k: F.when(p["kind"] != "text", k)), lambda k: k.isNotNull())
+        rendered = rendered.withColumn("edges", F.concat(F.array(F.lit(-1)), marks, F.array(F.size("seen"))))
+        between = lambda j: F.slice("seen", F.get("edges", j) + 2, F.get("edges", j + 1) - F.get("edges", j) - 1)
+        run = lambda j: v.escape(F.array_join(F.transform(between(j), lambda p: p["rendered"]), ""))
+        rendered = rendered.withColumns({"runs": F.transform(F.sequence(F.lit(0), F.size("edges") - 2), run), "held": F.filter("seen", lambda p: p["kind"] != "text")})
+        body = F.concat(F.array_join(F.transform("held", lambda p, j: F.concat(F.get("runs", j), p["rendered"])), ""), F.element_at("runs", -1))
         head = F.concat(F.lit(t.turn_start), v.escape(F.col("role")), F.lit(t.role_end))
-        rendered = rendered.select("conv_id", "turn", "role", "seen", body.alias("body"), head.alias("head"))
+        tokens = F.aggregate("seen", F.lit(0).cast("long"), lambda a, p: a + p["tokens"])
+        rendered = rendered.select("conv_id", "turn", "role", "held", "edges", F.transform("runs", F.length).alias("sizes"), tokens.alias("tokens"), body.alias("body"), head.alias("head"))
         size = F.length("head") + F.length("body") + len(t.turn_end)
         # one sort in each conversation gives the turns' order and places
-        order = Window.partitionBy("conv_id").orderBy("turn", "role", "body", "seen")
+        order = Window.partitionBy("conv_id").orderBy("turn", "role", "body", "held", "edges")
         before = F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         placed = rendered.withColumn("i", F.row_number().over(order) - 1).withColumn("start", before + F.length("head"))
+        passed = lambda j: F.aggregate(F.slice("held", F.lit(1), j), F.get("sizes", j), lambda a, p: a + F.length(p["rendered"])) + F.aggregate(F.slice("sizes", F.lit(1), j), F.lit(0), lambda a, x: a + x)
         found = F.transform(
-            "seen",
-            lambda p, k: F.struct(
-                F.col("i").cast("long").alias("turn"), k.cast("long").alias("part"), p["kind"].alias("kind"), p["ref"].alias("ref"),
-                (F.col("start") + F.aggregate(F.slice("seen", F.lit(1), k), F.lit(0), lambda a, x: a + F.length(x["rendered"]))).alias("position"), p["tokens"].alias("tokens"),
+            "held",
+            lambda p, j: F.struct(
+                F.col("i").cast("long").alias("turn"), F.get("edges", j + 1).cast("long").alias("part"), p["kind"].alias("kind"), p["ref"].alias("ref"),
+                (F.col("start") + passed(j)).alias("position"), p["tokens"].alias("tokens"),
             ),
         )
         span = F.struct(F.col("start").alias("start"), (F.col("start") + F.length("body")).alias("end"))
@@ -143,8 +153,8 @@ class ChatFormatter:
             "i",
             F.concat("head", "body", F.lit(t.turn_end)).alias("piece"),
             F.when(F.col("role").isin(*t.train_roles), span).alias("span"),
-            F.filter(found, lambda p: p["kind"] != "text").alias("attached"),
-            F.aggregate("seen", F.lit(0).cast("long"), lambda a, p: a + p["tokens"]).alias("tokens"),
+            found.alias("attached"),
+            "tokens",
         )
         whole = placed.select("conv_id", row.alias("row")).groupBy("conv_id").agg(
             F.sort_array(F.collect_list("row")).alias("rows"), F.sum("row.tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n_turns"))
