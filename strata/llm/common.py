@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
@@ -193,6 +193,10 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def in_share(hashed: str, share: float):
-    """Rows whose 64-bit hash lies in the lowest ``share`` of all hashes."""
-    return F.lit(True) if share >= 1 else F.col(hashed).cast("double") / 2.0**64 + 0.5 < share
+def drawn(rows: DataFrame, label: str, hashed: str, most: int) -> DataFrame:
+    """(label, hash) of a sample: the ``most`` least distinct hashes of each
+    label, at most that many rows a label however the rows are spread. Each
+    task cuts its rows down before they are shuffled."""
+    order = Window.partitionBy(label).orderBy(hashed)
+    first = rows.select(label, hashed).distinct().withColumn("__at", F.row_number().over(order))
+    return first.where(F.col("__at") <= most).select(label, hashed)

@@ -7,15 +7,19 @@ with weights that say how well each classifier knows that language, and the
 nearest codeword wins. A text whose two nearest codewords lie closer than
 ``margin`` is flagged as ambiguous.
 
-The classifiers are fitted on a bounded sample (``max_train_rows`` a
-language, chosen by a hash of the key, with their whole texts); the model is
-``2**bits`` weights a codeword bit. Prediction reads every whole text row by
-row, without a shuffle.
+The classifiers are fitted on a bounded sample: of each language the
+``max_train_rows`` texts with the least hash of key and text, whole, fewer
+where ``max_sample_rows`` is reached; copies count once, and a key with very
+many rows is thinned out like all others. More than ``max_languages`` labels
+are an error. The model is ``2**bits`` weights a codeword bit. Prediction
+reads every whole text, however long, row by row, without a shuffle.
 
 Defined results: null texts and texts without a letter are ``und`` with
 score 0; equally near codewords go to the language first in order; with no
 labelled rows all texts are ``und``; repeated rows are judged alike; an empty
-table gives an empty result.
+table gives an empty result. ``identified`` keeps all columns; ``predict``
+returns those it is asked to keep, and columns of other names, also
+``lang_pred`` or ``score``, are not read.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ CHUNK = 1 << 20
 class Params:
     bits: int = 12
     max_train_rows: int = 800
+    max_sample_rows: int = 8000
+    max_languages: int = 256
     steps: int = 80
     l2: float = 1e-5
     margin: float = 0.05
@@ -104,21 +110,21 @@ def _counts(text: str, bits: int) -> np.ndarray | None:
     return (total / np.linalg.norm(total)).astype(np.float32)
 
 
-def featurise(docs: DataFrame, text: str, label: str, bits: int) -> DataFrame:
-    """(label, coordinates, values) of each text with a letter."""
-    src = docs.select(F.col(label).alias("y"), F.col(text).alias("t"))
+def featurise(docs: DataFrame, text: str, keep: tuple[str, str], bits: int) -> DataFrame:
+    """Label and hash, coordinates and values of each text with a letter."""
+    src = docs.select(*keep, F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in C.slices(batch, "t"):
-                rows = [(y, v) for y, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if (v := _counts(t or "", bits)) is not None]
-                at = [np.flatnonzero(v).astype(np.int32) for _, v in rows]
+                rows = [(y, o, v) for y, o, t in zip(*[part.column(i).to_pylist() for i in range(3)], strict=True) if (v := _counts(t or "", bits)) is not None]
+                at = [np.flatnonzero(v).astype(np.int32) for _, _, v in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([y for y, _ in rows], pa.string()), pa.array(at, pa.list_(pa.int32())), pa.array([v[i] for (_, v), i in zip(rows, at, strict=True)], pa.list_(pa.float32()))],
-                    names=["y", "i", "v"],
+                    [pa.array([y for y, _, _ in rows], pa.string()), pa.array([o for _, o, _ in rows], pa.int64()), pa.array(at, pa.list_(pa.int32())), pa.array([v[i] for (_, _, v), i in zip(rows, at, strict=True)], pa.list_(pa.float32()))],
+                    names=["y", "o", "i", "v"],
                 )
 
-    return src.mapInArrow(run, "y string, i array<int>, v array<float>")
+    return src.mapInArrow(run, "y string, o long, i array<int>, v array<float>")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
@@ -136,20 +142,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
 
 def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", params: Params | None = None) -> Model | None:
     """None where nothing is labelled. The sample's sparse features come to
-    the driver: at most ``max_train_rows`` a language of ``2**bits`` values."""
+    the driver: at most ``max_sample_rows`` rows of ``2**bits`` values."""
     p = params or Params()
     src = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    src = src.select(F.col(label).alias("y"), F.col(text).alias("t"), F.xxhash64(F.lit("ecoc"), F.col(key).cast("string")).alias("o"))
-    n = {r.y: r["count"] for r in src.groupBy("y").count().collect()}
-    chosen = F.lit(False)
-    for y, c in n.items():
-        chosen = chosen | ((F.col("y") == y) & C.in_share("o", p.max_train_rows / c))
-    rows = featurise(src.where(chosen), "t", "y", p.bits).toPandas()
+    src = src.select(F.col(label).alias("y"), F.col(text).alias("t"), F.xxhash64(F.lit("ecoc"), F.col(key).cast("string"), F.col(text)).alias("o"))
+    known = src.select("y").distinct().limit(p.max_languages + 1).count()
+    if known > p.max_languages:
+        raise ValueError(f"more than max_languages={p.max_languages} labels")
+    few = F.broadcast(C.drawn(src, "y", "o", max(1, min(p.max_train_rows, p.max_sample_rows // max(known, 1)))))
+    rows = featurise(src.join(few, ["y", "o"]), "t", ("y", "o"), p.bits).dropDuplicates(["y", "o"]).toPandas()
     languages = tuple(sorted(set(rows.y)))
     if not languages:
         return None
     size = 1 << p.bits
-    rows = rows.assign(o=[tuple(i[:9]) for i in rows.i]).sort_values(["y", "o"], kind="stable")  # the same sums in any order of arrival
+    rows = rows.sort_values(["y", "o"], kind="stable")  # the same sums in any order of arrival
     x = np.zeros((len(rows), size + 1), np.float32)
     for r, (i, v) in enumerate(zip(rows.i, rows.v, strict=True)):
         x[r, i] = v

@@ -6,14 +6,17 @@ coordinate, and its L1 term leaves most weights exactly zero, so the model
 is a short list of (coordinate, weight) that is broadcast for scoring; its
 size is bounded by ``2**bits``.
 
-The classifier is fitted on a bounded sample of labelled rows
-(``max_train_rows`` a class, chosen by a hash of the key); scoring reads
-every whole text of the table row by row, without a shuffle.
-
-Defined results: a null or empty text scores by the bias alone; null labels
-are not trained on; rows are learnt in the order of a hash of their key, so
-ties and repeated rows do not depend on partitioning; with no labelled rows
-every score is 0.5; an empty table gives an empty result.
+The classifier is fitted on a bounded sample of labelled rows: of each class
+the ``max_train_rows`` texts with the least hash of key and text, so a key
+with very many rows is thinned out like all others, and copies count once.
+Scoring reads every whole text of the table row by row, without a shuffle.
+
+Defined results: a null or empty text, however long the others are, scores
+by the bias alone; null labels are not trained on; rows are learnt in the
+order of their hash, so ties and repeated rows do not depend on partitioning;
+a null key meets no label; with no labelled rows every score is 0.5; an empty
+table gives an empty result; columns other than the key, the text and the
+label, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -108,28 +111,29 @@ def _train(rows: list[np.ndarray], labels: np.ndarray, order: list[np.ndarray],
 
 def fit(docs: DataFrame, labels: DataFrame | None = None, label: str = "toxic", text: str = "text", key: str = "doc_id", params: Ftrl | None = None) -> Model:
     """Learns from ``docs`` with the 0/1 labels of ``labels`` (None: ``docs``
-    has them). The sample is drawn from the labels alone; at most about
-    ``2 * max_train_rows`` keys are sent to the documents, which stay where
-    they are. Spark featurises the sample and one task learns it; only
+    has them). The sample is drawn by hashes alone; at most
+    ``2 * max_train_rows`` of them are sent to the documents, which stay
+    where they are. Spark featurises the sample and one task learns it; only
     non-zero weights come back."""
     p = params or Ftrl()
-    marks = (docs if labels is None else labels).where(F.col(label).isin(0, 1))
-    marks = marks.withColumns({"y": F.col(label).cast("int"), "k": F.col(key).cast("string")}).withColumn("o", F.xxhash64(F.lit("ftrl"), "k"))
-    counts = {r.y: r["count"] for r in marks.groupBy("y").count().collect()}
-    # the smallest hashes of each class: a threshold, not a sort of all rows
-    share = {y: min(1.0, p.max_train_rows / n) for y, n in counts.items()}
-    chosen = F.lit(False)
-    for y, s in share.items():
-        chosen = chosen | ((F.col("y") == y) & C.in_share("o", s))
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), *([F.col(label).alias("y")] if labels is None else []))
+    marked = lambda df: df.where(F.col("y").isin(0, 1)).withColumn("y", F.col("y").cast("int"))
+    hashed = F.xxhash64(F.lit("ftrl"), F.col("k").cast("string"), F.col("t"))
+    named = rows.withColumn("o", hashed)
     if labels is None:
-        drawn = marks.where(chosen).select("k", "y", "o", F.col(text).alias("t"))
-    else:  # bounded: max_train_rows a class
-        few = F.broadcast(marks.where(chosen).select(F.col(key).alias("__key"), "k", "y", "o"))
-        drawn = docs.join(few, docs[key] == few["__key"]).select("k", "y", "o", F.col(text).alias("t"))
-    sample = featurise(drawn, "t", ("k", "y", "o"), p.bits)
+        narrow = marked(named).select("y", "o")
+    else:  # one row a key and label
+        one = marked(labels.select(F.col(key).alias("k"), F.col(label).alias("y"))).distinct()
+        narrow = named.select("k", "o").join(one, "k").select("y", "o")
+    counts = {r.y: r["count"] for r in narrow.distinct().groupBy("y").count().collect()}
+    share = {y: min(1.0, p.max_train_rows / n) for y, n in counts.items()}
+    # bounded: max_train_rows a class
+    few = F.broadcast(C.drawn(narrow, "y", "o", p.max_train_rows))
+    met = named.select("o", "t").join(few, "o") if labels is not None else marked(named).join(few, ["y", "o"])
+    sample = featurise(met.select("y", "o", "t"), "t", ("y", "o"), p.bits).dropDuplicates(["y", "o"])
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["o", "k", "y"], kind="stable").reset_index(drop=True)
+        group = group.sort_values(["o", "y"], kind="stable").reset_index(drop=True)
         rng = np.random.default_rng(1)
         order = [rng.permutation(len(group)) for _ in range(p.epochs)]
         w, bias = _train([np.asarray(x, np.int64) for x in group.x], group.y.to_numpy(), order, p)

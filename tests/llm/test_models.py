@@ -1,13 +1,15 @@
 """Toxicity, language ID and URL rules: held-out accuracy and odd rows."""
 
+import math
 import random
 from itertools import combinations, product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import lang_ecoc, toxicity_ftrl, url_rules
+from strata.llm import common, lang_ecoc, toxicity_ftrl, url_rules
 from strata.llm.common import held_out
 from strata.llm.queries import URL_RULES, op2_toxicity, op3_url_filter, op8_language_id
 
@@ -175,3 +177,100 @@ def test_queries_cover_their_tables(spark):
     for query, table in ((op3_url_filter, "pages"), (op2_toxicity, "documents")):
         assert query(spark, "/root/testdata/sf0.001").count() == spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").count()
     assert held_out() is not None
+
+
+@pytest.mark.parametrize("key", [None, 1, 2, 3, 4])
+def test_one_key_holds_a_language(spark, key):
+    """Half of all rows, a language of their own, under one id (or null):
+    both languages are learnt, within the documented number of rows."""
+    words = {"en": "the of and to in that it was for on with as".split(), "fr": "le la les des une est dans pour que qui sur pas".split()}
+    rng = random.Random(1)
+    rows = [(key if y == "en" else 100 + i, " ".join(rng.choice(words[y]) for _ in range(12)), y) for y in words for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    model = lang_ecoc.fit(df, params=lang_ecoc.Params(max_train_rows=200))
+    assert model.languages == ("en", "fr")
+    got = lang_ecoc.predict(df, model, keep=("lang",)).collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.99
+    hashed = df.select(F.col("lang").alias("y"), F.xxhash64("text").alias("o"))
+    counts = {r.y: r["count"] for r in common.drawn(hashed, "y", "o", 200).groupBy("y").count().collect()}
+    assert counts == {"en": 200, "fr": 200}
+
+
+def test_languages_are_bounded(spark):
+    df = spark.createDataFrame([(i, f"word{i} text", f"l{i}") for i in range(12)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="max_languages"):
+        lang_ecoc.fit(df, params=lang_ecoc.Params(max_languages=11))
+    assert len(lang_ecoc.fit(df, params=lang_ecoc.Params(max_languages=12, max_sample_rows=12, max_train_rows=5)).languages) == 12
+
+
+def test_decoding_equals_plain_loops(spark):
+    model = lang_ecoc.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    docs = [r for r in spark.read.parquet(f"{SF}/documents.parquet").limit(300).collect() if r.text]
+    got = {r.doc_id: r for r in lang_ecoc.predict(spark.createDataFrame([(r.doc_id, r.text) for r in docs], "doc_id long, text string"), model).collect()}
+    for d in docs:
+        v = lang_ecoc._counts(d.text, model.bits)
+        if v is None:
+            assert got[d.doc_id].lang_pred == "und"
+            continue
+        out = [sum(float(v[i]) * float(model.weights[i][b]) for i in np.flatnonzero(v)) + 0.3 * float(model.weights[-1][b]) for b in range(model.code.shape[1])]
+        far = [model.code.shape[1] * sum(model.trust[k][b] * math.log1p(math.exp(-int(model.code[k][b]) * f)) for b, f in enumerate(out)) for k in range(len(model.languages))]
+        p = sorted((math.exp(min(far) - x) for x in far), reverse=True)
+        r = got[d.doc_id]
+        assert r.lang_pred == model.languages[far.index(min(far))] and r.score == pytest.approx(p[0] / sum(p), abs=1e-5)
+        if abs((p[0] - p[1]) / sum(p) - model.margin) > 1e-4:
+            assert r.ambiguous == ((p[0] - p[1]) / sum(p) < model.margin)
+
+
+def _plain_ftrl(rows, p):
+    """FTRL-proximal by dictionaries, one coordinate at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        l1 = 0.0 if i == "bias" else p.l1
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((p.beta + math.sqrt(n[i])) / p.alpha + p.l2)
+
+    rng = np.random.default_rng(1)
+    for order in [rng.permutation(len(rows)) for _ in range(p.epochs)]:
+        for k in order:
+            x, y = [*rows[k][0], "bias"], rows[k][1]
+            w = {i: weight(i) for i in x}
+            g = 1 / (1 + math.exp(-max(-30, min(30, sum(w.values()))))) - y
+            for i in x:
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / p.alpha * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_toxicity_equals_plain_ftrl(spark):
+    p = toxicity_ftrl.Ftrl(max_train_rows=150, l1=1.0, epochs=2)
+    rng = random.Random(2)
+    docs = [(i % 400, " ".join(rng.choice("you are a vile fool and this is a plain kind text of words".split()) for _ in range(rng.randint(1, 15)))) for i in range(900)]
+    labels = [(i, int(i % 5 == 0)) for i in range(400)] + [(3, 0), (3, 0), (None, 1), (7, None)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    model = toxicity_ftrl.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"), params=p)
+    hashes = {(r.doc_id, r.text): r.o for r in d.withColumn("o", F.xxhash64(F.lit("ftrl"), F.col("doc_id").cast("string"), F.col("text"))).collect()}
+    named = {(y, hashes[k, t]): t for k, t in docs for i, y in labels if i == k and y is not None}
+    few = [c for y in (0, 1) for c in sorted(c for c in named if c[0] == y)[:150]]
+    few.sort(key=lambda c: (c[1], c[0]))
+    x = list(toxicity_ftrl._features(pa.array([named[c] for c in few]), p.bits))
+    want = _plain_ftrl([([int(i) for i in v], y) for v, (y, _) in zip(x, few, strict=True)], p)
+    share = [min(1, 150 / sum(c[0] == y for c in named)) for y in (0, 1)]
+    assert model.bias == pytest.approx(want.pop("bias") + math.log(share[0] / share[1]))
+    assert dict(zip(model.coordinates.tolist(), model.weights.tolist(), strict=True)) == pytest.approx(want, rel=1e-4)
+    score = {r.text: r.score for r in toxicity_ftrl.score(d.limit(50), model, keep=("doc_id", "text")).collect()}
+    for t, s in score.items():
+        f = model.bias + sum(want.get(int(i), 0.0) for i in next(iter(toxicity_ftrl._features(pa.array([t]), p.bits))))
+        assert s == pytest.approx(1 / (1 + math.exp(-f)), abs=1e-5)
+
+
+@pytest.mark.parametrize("key", [1, 2, 3])
+def test_one_key_holds_a_third_of_the_labels(spark, key):
+    clean = [(1000 + i, f"good text number {i} with some plain words", 0) for i in range(2000)]
+    bad = [(key, f"you vile fool number {i} with some plain words", 1) for i in range(1000)]
+    df = spark.createDataFrame([*clean, *bad], "doc_id long, text string, toxic int").repartition(6)
+    labels = df.select("doc_id", "toxic")
+    for model in (toxicity_ftrl.fit(df, params=toxicity_ftrl.Ftrl(max_train_rows=300)), toxicity_ftrl.fit(df.drop("toxic"), labels, params=toxicity_ftrl.Ftrl(max_train_rows=300))):
+        got = toxicity_ftrl.score(df, model, keep=("toxic",)).collect()
+        assert np.mean([(r.score >= 0.7) == (r.toxic == 1) for r in got]) > 0.99
