@@ -16,10 +16,13 @@ the sources by their weights. Prefix sums run in two levels, within hash
 buckets of a bounded number of rows and over the bucket totals, so a hot
 source is spread over many tasks.
 
-Defined results: a null source is a source of its own; documents without
-words count no tokens and are placed by their hash; rows that repeat a
-(source, document) pair are placed together; sources without tokens get
-nothing; an empty table gives an empty plan.
+Defined results: documents are told apart by key AND text, so rows with a
+null or repeated key are placed one by one, and only rows that repeat source,
+key and text are placed together; a null source is a source of its own;
+documents without words count no tokens and are placed by their hash; whole
+texts are counted, however long; sources without tokens get nothing; an empty
+table gives an empty plan. ``mixed`` replaces input columns named ``epoch``,
+``block`` or ``slot`` and keeps all others.
 """
 
 from __future__ import annotations
@@ -50,6 +53,11 @@ class Mix:
     salts: int = 32
 
 
+def _mark(text: str) -> Column:
+    """What tells the texts of one key apart."""
+    return F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
 def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -108,21 +116,21 @@ def quotas(tokens: DataFrame, mix: Mix) -> tuple[DataFrame, dict]:
     return out.select("source", "total", "weight", "quota", "part"), {"alpha": a, "budget": budget, "blocks": blocks, "most": most}
 
 
-def plan(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", source: str = "source", tokens: Column | None = None) -> DataFrame:
-    """One row a placement: ``source``, ``doc``, ``tokens``, ``epoch`` (the
-    pass), ``block`` and ``slot`` (the order within a block)."""
+def plan(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """One row a placement: ``source``, ``doc``, ``mark`` (the MD5 of the
+    text), ``tokens``, ``epoch`` (the pass), ``block`` and ``slot`` (the
+    order within a block)."""
     mix = mix or Mix()
-    count = words(F.col("text")) if tokens is None else tokens
-    rows = staged(docs.select(F.col(source).alias("source"), F.col(key).alias("doc"), count.alias("tokens")), "mix-tokens")
+    rows = staged(docs.select(F.col(source).alias("source"), F.col(key).alias("doc"), _mark(text).alias("mark"), words(F.col(text)).alias("tokens")), "mix-tokens")
     quota, figures = quotas(rows, mix)
-    narrow = rows.groupBy("source", "doc").agg(F.sum("tokens").alias("tokens"))
+    narrow = rows.groupBy("source", "doc", "mark").agg(F.sum("tokens").alias("tokens"))
     salted = quota.where(F.col("quota") > 0).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(mix.salts - 1)))).withColumnRenamed("source", "of")
-    narrow = narrow.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(mix.salts)).cast("int"))
+    narrow = narrow.withColumn("salt", F.pmod(F.xxhash64("doc", "mark"), F.lit(mix.salts)).cast("int"))
     met = narrow.join(salted, (narrow["source"].eqNullSafe(salted["of"])) & (narrow["salt"] == salted["salt"]))
     last = F.floor((F.col("quota") - 1) / F.col("total"))
-    passes = met.select("source", "doc", "tokens", "total", "quota", "part", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("epoch"))
+    passes = met.select("source", "doc", "mark", "tokens", "total", "quota", "part", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("epoch"))
     digits = max(0, math.ceil(math.log(max(1, figures["most"]) / mix.bucket_rows, 16))) if figures["most"] else 0
-    slot = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc").cast("string"), F.lit(""))).cast("binary"))
+    slot = F.md5(F.concat_ws(":", F.lit(str(mix.seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc").cast("string"), F.lit("")), F.col("mark")).cast("binary"))
     passes = passes.withColumn("slot", slot).withColumn("bucket", F.substring("slot", 1, digits) if digits else F.lit(""))
     here = Window.partitionBy("source", "epoch", "bucket")
     passes = passes.withColumn("within", F.sum("tokens").over(here.orderBy("slot").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -135,12 +143,13 @@ def plan(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", source: s
         passes = passes.withColumn("before", F.lit(0).cast("long"))
     end = F.col("epoch") * F.col("total") + F.col("before") + F.col("within")
     block = F.floor((end - F.col("tokens")) / F.col("part")).cast("long")
-    return passes.where(end <= F.col("quota")).select("source", "doc", "tokens", "epoch", block.alias("block"), "slot")
+    return passes.where(end <= F.col("quota")).select("source", "doc", "mark", "tokens", "epoch", block.alias("block"), "slot")
 
 
 def mixed(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The documents dealt out: every row with its ``epoch``, ``block`` and
     ``slot``, as often as its source's passes say."""
-    p = plan(docs, mix, key, source, words(F.col(text))).select(F.col("source").alias("__s"), F.col("doc").alias("__d"), "epoch", "block", "slot")
-    taken = docs.drop("epoch", "block", "slot")
-    return taken.join(p, taken[key].eqNullSafe(p["__d"]) & taken[source].eqNullSafe(p["__s"])).drop("__s", "__d")
+    p = plan(docs, mix, key, source, text).select(F.col("source").alias("__s"), F.col("doc").alias("__d"), F.col("mark").alias("__m"), "epoch", "block", "slot")
+    taken = docs.drop("epoch", "block", "slot").withColumn("__mark", _mark(text))
+    same = taken[key].eqNullSafe(p["__d"]) & taken[source].eqNullSafe(p["__s"]) & (taken["__mark"] == p["__m"])
+    return taken.join(p, same).drop("__s", "__d", "__m", "__mark")

@@ -38,8 +38,8 @@ def _mix() -> str:
     often = lambda a: f"(pow(list_min(ps), {a} - 1) / list_sum(list_transform(ps, lambda p: pow(p, {a}))) > {MIX.max_repeats})"
     return f"""
 WITH RECURSIVE tok AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS tokens FROM documents),
-docs AS (SELECT doc_id, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM tok GROUP BY ALL),
+  SELECT doc_id, source, md5(coalesce(text, '')) AS mark, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS tokens FROM documents),
+docs AS (SELECT doc_id, source, mark, CAST(sum(tokens) AS BIGINT) AS tokens FROM tok GROUP BY ALL),
 per AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS total FROM tok GROUP BY source),
 al AS (SELECT CAST(sum(total) AS BIGINT) AS budget FROM per),
 sh AS (SELECT list(total / CAST(budget AS DOUBLE) ORDER BY source) AS ps, {MIX.entropy} * ln(count(*)) AS target FROM per, al WHERE total > 0),
@@ -57,10 +57,10 @@ w AS (SELECT source, total, CASE WHEN total > 0 THEN pow(total / CAST(budget AS
   ceil(budget / {MIX.block_tokens}.0) AS blocks FROM per, al, a2, sh),
 q AS (SELECT *, CAST(floor(weight * budget + 1e-6) AS BIGINT) AS quota FROM w),
 passes AS (
-  SELECT d.doc_id, d.source, d.tokens, q.total, q.quota, CAST(greatest(ceil(q.quota / q.blocks), 1) AS BIGINT) AS part,
+  SELECT d.doc_id, d.source, d.mark, d.tokens, q.total, q.quota, CAST(greatest(ceil(q.quota / q.blocks), 1) AS BIGINT) AS part,
     unnest(range(0, (q.quota - 1) // q.total + 1)) AS epoch
   FROM docs d JOIN q ON d.source IS NOT DISTINCT FROM q.source WHERE q.quota > 0),
-slots AS (SELECT *, md5('{MIX.seed}:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS slot FROM passes),
+slots AS (SELECT *, md5('{MIX.seed}:' || epoch || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || mark) AS slot FROM passes),
 ends AS (SELECT *, epoch * total + sum(tokens) OVER (PARTITION BY source, epoch ORDER BY slot RANGE UNBOUNDED PRECEDING) AS stop FROM slots)
 SELECT doc_id, source, CAST(epoch AS BIGINT) AS epoch, CAST((stop - tokens) // part AS BIGINT) AS block, tokens, slot FROM ends WHERE stop <= quota"""
 

@@ -5,6 +5,8 @@ import math
 from collections import Counter, defaultdict
 
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import mix_sources as M
 from strata.llm.oracle import ORACLE
@@ -76,15 +78,16 @@ def test_blocks_keep_the_weights_and_passes_are_whole(spark):
             assert abs(b[s] - total[s] / blocks) <= 30  # documents are not cut
     seen = defaultdict(set)
     for r in rows:
-        assert r.slot == hashlib.md5(f"{mix.seed}:{r.epoch}:{r.doc}".encode()).hexdigest()
+        assert r.slot == hashlib.md5(f"{mix.seed}:{r.epoch}:{r.doc}:{r.mark}".encode()).hexdigest()
         assert r.doc not in seen[r.source, r.epoch]
         seen[r.source, r.epoch].add(r.doc)
+    marks = {r.doc: r.mark for r in rows} | {r.doc_id: hashlib.md5(r.text.encode()).hexdigest() for r in df.collect()}
     everything = {s: {r.doc_id for r in df.collect() if r.source == s} for s in t}
     for (s, e), docs in seen.items():
         if (s, e + 1) in seen:
             assert docs == everything[s]
         else:  # the cut pass holds the first documents of its permutation
-            order = sorted(everything[s], key=lambda d: hashlib.md5(f"{mix.seed}:{e}:{d}".encode()).hexdigest())
+            order = sorted(everything[s], key=lambda d: hashlib.md5(f"{mix.seed}:{e}:{d}:{marks[d]}".encode()).hexdigest())
             assert docs == set(order[: len(docs)])
     # levels of the prefix sum do not matter
     flat = M.plan(df, M.Mix(entropy=0.9, block_tokens=3000, bucket_rows=10**6)).collect()
@@ -105,6 +108,21 @@ def test_odd_rows(spark):
     assert M.plan(df.where("source = 'empty'")).count() == 0
 
 
+@pytest.mark.parametrize("key", [None, 4])
+def test_one_key_holds_half_of_a_source(spark, key):
+    """1,000 rows of different texts under one id, or none: each goes by
+    itself, so the budget is dealt out to the last document that fits."""
+    rows = [(i if i < 1000 else key, f"text {i} of a big source", "big") for i in range(2000)] + [(5000 + i, f"small text {i} here", "small") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = M.mixed(df, M.Mix(entropy=0.5, block_tokens=1000)).collect()
+    got = Counter(r.source for r in out)
+    quota = {r.source: r.quota for r in M.quotas(df.select("source", M.words(F.col("text")).alias("tokens")), M.Mix(entropy=0.5, block_tokens=1000))[0].collect()}
+    assert quota["big"] - 6 < 6 * got["big"] <= quota["big"] and quota["small"] - 4 < 4 * got["small"] <= quota["small"]
+    hot = [r for r in out if r.doc_id == key and r.source == "big"]
+    assert len({r.text for r in hot}) == len({r.slot for r in hot}) > 800
+    assert len({r.block for r in hot}) > 5
+
+
 def test_query_equals_sql_with_a_hot_source(spark, tmp_path):
     counts = {f"s{i}": 40 + 7 * i for i in range(12)} | {"hot": 1500, None: 30}
     _docs(spark, counts, words=60).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
