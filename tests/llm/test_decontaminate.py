@@ -144,3 +144,55 @@ def test_query_finds_all_passages(spark):
             if sum(y not in seen for y in w) <= X.budget(len(w), 0.8) and sellers(w, words) <= X.budget(len(w), 0.8):
                 want.add((d, i))
     assert want and got == want
+
+
+def _least_cost(cost, size, pieces):
+    """Every choice of separate grams, tried out."""
+    def go(at, left):
+        if not left:
+            return 0.0
+        return min((c[o] + go(o + q, left - 1) for q, c in cost.items() for o in range(at, size - q + 1)), default=float("inf"))
+
+    return go(0, pieces)
+
+
+def test_pieces_are_the_rarest_ones():
+    rng = random.Random(9)
+    for _ in range(150):
+        size = rng.randint(1, 9)
+        pieces = rng.randint(1, min(size, 4))
+        cost = {q: np.array([float(rng.choice([1, 2, 5, 50])) * X.PIECE_COST[q] for _ in range(max(0, size - q + 1))]) for q in X.PIECE_COST}
+        got = X._pieces(cost, size, pieces)
+        assert len(got) == pieces and all(o + q <= p for (o, q), (p, _) in zip(got, got[1:], strict=False)) and got[-1][0] + got[-1][1] <= size
+        assert sum(cost[q][o] for o, q in got) == _least_cost(cost, size, pieces)
+    long = {q: np.ones(1300 - q + 1) for q in X.PIECE_COST}
+    got = X._pieces(long, 1300, 261)
+    assert len(got) == 261 and all(o + q <= p for (o, q), (p, _) in zip(got, got[1:], strict=False))
+
+
+def test_items_with_a_shared_opening():
+    """Thousands of items that start alike: a text full of such openings
+    gives few windows, and edited copies are found all the same."""
+    rng = random.Random(6)
+    opening = "which of the following statements is".split()
+    word = lambda: f"v{rng.randrange(20_000)}"
+    items = [(i, " ".join([*opening, *[word() for _ in range(12)]])) for i in range(4000)]
+    filler = " ".join(x for _ in range(500) for x in [*opening, word(), word()])
+    copies = [" ".join([*[word() for _ in range(9)], *_edited(rng, t.split(), 3), *[word() for _ in range(9)]]) for _, t in items[:200]]
+    few, many = (X.Index.build(items[:n], X.Search()) for n in (500, 4000))
+    count = lambda x: sum(len(w[0]) for w in x.windows(*X.word_hashes(X.pa.array([filler]))))
+    assert count(many) < 20_000
+    assert count(few) < 20_000
+    got = [{h["item_id"] for h in found} for found in many.hits(X.pa.array(copies))]
+    want = [sellers(items[i][1].split(), c.split()) <= 3 for i, c in enumerate(copies)]
+    assert all(want) and sum(i in found for i, found in enumerate(got)) >= 0.98 * len(copies)
+
+
+def test_windows_come_in_batches(monkeypatch):
+    items, docs = _fixture(5)
+    index = X.Index.build([(i, " ".join(w)) for i, w in items], X.Search())
+    texts = X.pa.array([t for _, t in docs])
+    whole = index.hits(texts)
+    monkeypatch.setattr(X, "BATCH", 7)
+    assert max(len(set(w[3].tolist())) for w in index.windows(*X.word_hashes(texts))) <= 7
+    assert index.hits(texts) == whole
