@@ -1,19 +1,28 @@
 """Licence notices by the Dice coefficient over word bigrams.
 
-A text is cut into units (lines, and sentences within lines); each unit is
-normalised to lower-case letters and digits, and its set of word bigrams is
-compared with those of the templates: ``2 * |A n B| / (|A| + |B|)``. With a
-threshold ``t`` a template of ``b`` bigrams can only match units of
-``b * t / (2 - t)`` to ``b * (2 - t) / t`` bigrams, which prunes most pairs
-before any intersection. Such a match shares at least ``ceil(b * t / (2 - t))``
-bigrams, so it holds one of any ``b - that + 1`` of them; the longest word
-of each such bigram is an anchor, and texts and units without an anchor are
-passed over before they are cut into words. All of it is row-wise DataFrame functions: no shuffle,
-and the templates (a parameter) are literals in the plan.
-
-Defined results: null and empty texts have no matches; equally good
-templates are ordered by name; repeated rows give repeated results; units
-and templates with fewer than two words have no bigrams and never match.
+A text is one run of normalised words (lower-case letters and digits), so
+line breaks, indentation and the sentence around a notice do not matter. For
+a template of ``w`` words every window of ``w`` words (fewer at the ends of a
+text) is a candidate; it matches if the Dice coefficient of the two sets of
+word bigrams, ``2 * |A n B| / (|A| + |B|)``, reaches the threshold ``t``.
+
+Size bounds prune the windows before any is built: a match with a template
+of ``b`` bigrams shares at least ``ceil(b * t / (2 - t))`` of them, so it
+holds one of any ``b - that + 1``; the widest ones are its anchors. Texts
+without a word of an anchor are passed over before they are cut into words;
+windows are laid only around anchors whose surroundings hold that many of the
+template's bigrams at all. All of it is row-wise DataFrame functions: no
+shuffle, and the templates (a parameter) are literals in the plan.
+
+Matching windows of one licence that overlap are one place, with the best of
+their coefficients.
+
+Defined results: null and empty texts have no matches; whole texts are
+scanned, however long; places are ordered by licence and position; notices of
+one licence that follow each other without a word between are one place;
+repeated rows give repeated results; templates with fewer than two words are
+passed over; an input column named ``matches`` is replaced, columns starting
+with ``__`` are reserved.
 """
 
 from __future__ import annotations
@@ -32,6 +41,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("apache-2.0", "This work is licensed under the Apache License, Version 2.0"),
     ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License'),
     ("bsd-3-clause", "Released under the BSD 3-Clause License"),
+    ("bsd-style", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("bsd-style", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
     ("cc-by-4.0", "Licensed under CC BY 4.0"),
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
@@ -41,6 +51,16 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("gpl-2.0", "This work is licensed under the GNU General Public License, version 2"),
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    (
+        "gpl-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+        "either version 2 of the License, or (at your option) any later version",
+    ),
+    (
+        "gpl-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version",
+    ),
     ("lgpl-3.0", "This work is licensed under the GNU Lesser General Public License, version 3"),
     ("agpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
     ("mit", "Released under the MIT License"),
@@ -58,64 +78,103 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 WORD = r"[\p{L}\p{N}]+"
 
 
+def template_words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
+
 def template_bigrams(text: str) -> list[str]:
-    words = re.findall(r"[^\W_]+", text.lower())
+    words = template_words(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
-def anchors(templates: list[list[str]], threshold: float) -> tuple[list[str], list[str]]:
-    """Words and bigrams (whose words are all short) of which every matching
-    unit contains at least one."""
-    words: set[str] = set()
-    short: set[str] = set()
-    for grams in templates:
-        shared = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
-        width = lambda g: max(map(len, g.split()))
-        for g in sorted(grams, key=width, reverse=True)[: len(grams) - shared + 1]:
-            if width(g) >= 5:
-                words.add(max(g.split(), key=len))
-            else:
-                short.add(g)
-    return sorted(w for w in words if not any(v != w and v in w for v in words)), sorted(short)
+def least_shared(size: int, threshold: float) -> int:
+    """Bigrams that a match shares with a template of ``size`` bigrams."""
+    return math.ceil(size * threshold / (2 - threshold) - 1e-9)
+
 
+def anchors(grams: list[str], threshold: float) -> list[str]:
+    """Bigrams of which every match holds at least one: the widest ones."""
+    width = lambda g: (max(map(len, g.split())), len(g), g)
+    return sorted(grams, key=width, reverse=True)[: len(grams) - least_shared(len(grams), threshold) + 1]
 
-def units(text: Column) -> Column:
-    """Lines, cut further behind ``.``, ``!`` or ``?`` and blanks."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    return F.split(F.regexp_replace(lowered, r"([.!?])[ \t]+", "$1\n"), "\n")
 
+def _cued(anchor_grams: list[str]):
+    """Condition on a lower-case text: does it hold a word of an anchor? For
+    anchors of short words: the words in a row."""
+    words = {max(g.split(), key=len) for g in anchor_grams if max(map(len, g.split())) >= 5}
+    words = sorted(w for w in words if not any(v != w and v in w for v in words))
+    short = sorted(g for g in anchor_grams if max(map(len, g.split())) < 5)
+    pattern = "|".join(r"[^\p{L}\p{N}]+".join(map(re.escape, g.split())) for g in short)
+    return lambda x: reduce(or_, [F.contains(x, F.lit(w)) for w in words] + [F.rlike(x, F.lit(pattern))] * bool(short))
 
-def bigrams(unit: Column) -> Column:
-    words = F.regexp_extract_all(unit, F.lit(WORD), F.lit(0))
+
+def _pairs(text: Column) -> Column:
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     # the last word meets nothing; zip_with pads it with null
-    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
+    both = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(both, lambda p: p.isNotNull())
 
 
 def scan(docs: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """Adds ``matches``: array of struct(license, dice, unit), best first
-    within a unit; a unit matches each licence at most once."""
-    sized = [(name, g) for name, body in templates if (g := template_bigrams(body))]
+    """Adds ``matches``: array of struct(license, dice, start, words), the
+    places by licence and position in words."""
+    sized = [(name, len(template_words(body)), g) for name, body in templates if (g := template_bigrams(body))]
     if not sized:
         raise ValueError("no template has two words")
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    least, most = min(len(g) for _, g in sized) * low, max(len(g) for _, g in sized) * high
-    table = F.array(*[F.struct(F.lit(n).alias("license"), F.array(*map(F.lit, g)).alias("grams"), F.lit(len(g)).alias("n")) for n, g in sized])
-    cues, short = anchors([g for _, g in sized], threshold)
-    pattern = "|".join(r"[^\p{L}\p{N}]+".join(map(re.escape, g.split())) for g in short)
-    cued = lambda x: reduce(or_, [F.contains(x, F.lit(w)) for w in cues] + [F.rlike(x, F.lit(pattern))] * bool(short))
-
-    cut = F.transform(F.filter(F.transform(units(F.col(text)), lambda u, i: F.struct(i.alias("unit"), u.alias("body"))), lambda u: cued(u["body"])), lambda u: F.struct(u["unit"], bigrams(u["body"]).alias("grams")))
-    cut = F.filter(cut, lambda u: F.size(u["grams"]).between(least, most))
-
-    def compare(u: Column) -> Column:
-        fits = F.filter(table, lambda t: F.size(u["grams"]).between(t["n"] * low, t["n"] * high))
-        scored = F.transform(fits, lambda t: F.struct(t["license"].alias("license"), (F.lit(2.0) * F.size(F.array_intersect(u["grams"], t["grams"])) / (F.size(u["grams"]) + t["n"])).alias("dice")))
-        good = F.filter(scored, lambda s: s["dice"] >= threshold)
-        # a licence with several templates counts by its best one
-        best = F.transform(F.array_distinct(F.transform(good, lambda s: s["license"])), lambda x: F.struct((-F.array_max(F.transform(F.filter(good, lambda s: s["license"] == x), lambda s: s["dice"]))).alias("d"), x.alias("license")))
-        return F.transform(F.array_sort(best), lambda s: F.struct(s["license"].alias("license"), (-s["d"]).alias("dice"), u["unit"].alias("unit")))
-
-    matches = F.flatten(F.transform(cut, compare))
-    none = F.array().cast("array<struct<license:string,dice:double,unit:int>>")
-    return docs.withColumn("matches", F.when(cued(F.lower(F.coalesce(F.col(text), F.lit("")))), matches).otherwise(none))
+    names = sorted({n for n, _, _ in sized})
+    row = lambda n, w, g: F.struct(F.lit(names.index(n)).alias("license"), F.lit(w).alias("words"), F.array(*map(F.lit, g)).alias("grams"), F.array(*map(F.lit, anchors(g, threshold))).alias("anchors"), F.lit(least_shared(len(g), threshold)).alias("least"))
+    table = F.array(*[row(*x) for x in sized])
+    every = sorted({a for _, _, g in sized for a in anchors(g, threshold)})
+    cued = _cued(every)
+
+    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
+    none = F.array().cast("array<string>")
+    read = docs.drop("matches").withColumn("__pairs", F.when(cued(lowered), _pairs(lowered)).otherwise(none))
+    here = F.transform("__pairs", lambda g, i: F.when(g.isin(every), i))
+    read = read.withColumn("__marks", F.filter(here, lambda i: i.isNotNull()))
+    total = F.size("__pairs")
+
+    def between(lo: Column, hi: Column) -> Column:
+        """Bigrams from ``lo`` on, before ``hi``, within the text."""
+        lo, hi = F.greatest(lo, F.lit(0)), F.least(hi, total)
+        return F.slice("__pairs", lo + 1, hi - lo)
+
+    def windows(t: Column) -> Column:
+        span = t["words"] - 1  # bigrams of a whole window
+        own = F.filter("__marks", lambda i: F.array_contains(t["anchors"], F.get("__pairs", i)))
+        near = F.filter(own, lambda i: F.size(F.array_intersect(between(i - span + 1, i + span), t["grams"])) >= t["least"])
+        starts = F.array_distinct(F.flatten(F.transform(near, lambda i: F.sequence(i - span + 1, i))))
+
+        def scored(s: Column) -> Column:
+            grams = F.array_distinct(between(s, s + span))
+            dice = F.lit(2.0) * F.size(F.array_intersect(grams, t["grams"])) / (F.size(grams) + F.size(t["grams"]))
+            first = F.greatest(s, F.lit(0))
+            return F.struct(t["license"].alias("license"), first.alias("start"), F.least(s + t["words"], total + 1).alias("end"), dice.alias("dice"))
+
+        return F.filter(F.transform(starts, scored), lambda w: w["dice"] >= threshold)
+
+    found = F.array_sort(F.flatten(F.transform(table, windows)))  # by licence, start, end
+    read = read.withColumn("__found", F.when(F.size("__marks") > 0, found))
+
+    def joined(places: Column, w: Column) -> Column:
+        last = F.try_element_at(places, F.lit(-1))
+        meets = F.coalesce((last["license"] == w["license"]) & (w["start"] < last["end"]), F.lit(False))
+        grown = F.struct(last["license"].alias("license"), last["start"].alias("start"), F.greatest(last["end"], w["end"]).alias("end"), F.greatest(last["dice"], w["dice"]).alias("dice"))
+        return F.when(meets, F.concat(F.slice(places, F.lit(1), F.greatest(F.size(places) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(places, F.array(w)))
+
+    islands = F.aggregate("__found", F.array().cast("array<struct<license:int,start:int,end:int,dice:double>>"), joined)
+    names_of = F.array(*map(F.lit, names))
+    matches = F.transform(islands, lambda m: F.struct(F.get(names_of, m["license"]).alias("license"), m["dice"].alias("dice"), m["start"].alias("start"), (m["end"] - m["start"]).alias("words")))
+    empty = F.array().cast("array<struct<license:string,dice:double,start:int,words:int>>")
+    return read.withColumn("matches", F.coalesce(matches, empty)).drop("__pairs", "__marks", "__found")
+
+
+def best_places(matches: Column) -> Column:
+    """The places that no place of another licence overlaps with a greater
+    coefficient (equal ones: a name first in order)."""
+    def beaten(m: Column) -> Column:
+        meets = lambda o: (o["start"] < m["start"] + m["words"]) & (m["start"] < o["start"] + o["words"])
+        better = lambda o: (o["dice"] > m["dice"]) | ((o["dice"] == m["dice"]) & (o["license"] < m["license"]))
+        return F.exists(matches, lambda o: (o["license"] != m["license"]) & meets(o) & better(o))
+
+    return F.filter(matches, lambda m: ~beaten(m))

@@ -90,19 +90,28 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 
 
 def _license() -> str:
+    """All windows that share enough bigrams, by counting: each bigram that a
+    text has in common with a template lies in as many windows as the
+    template has bigrams."""
     t = 0.8
-    rows = ", ".join(f"({_q(n)}, [{', '.join(map(_q, license_scan.template_bigrams(b)))}])" for n, b in license_scan.TEMPLATES)
+    rows = ", ".join(f"({k}, {_q(n)}, {len(license_scan.template_words(b))}, [{', '.join(map(_q, license_scan.template_bigrams(b)))}])" for k, (n, b) in enumerate(license_scan.TEMPLATES))
     return f"""
-WITH tpl(license, grams) AS (VALUES {rows}),
-u AS (SELECT doc_id, unnest(us) AS body, generate_subscripts(us, 1) AS unit FROM (
-  SELECT doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), chr(10)) AS us FROM documents)),
-w AS (SELECT doc_id, unit, regexp_extract_all(body, '{license_scan.WORD}') AS ws FROM u),
-b AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS grams FROM w WHERE len(ws) > 1),
-s AS (SELECT doc_id, unit, license, max(2.0 * len(list_intersect(b.grams, tpl.grams)) / (len(b.grams) + len(tpl.grams))) AS dice
-  FROM b, tpl WHERE len(b.grams) BETWEEN len(tpl.grams) * {t / (2 - t)} AND len(tpl.grams) * {(2 - t) / t} GROUP BY ALL),
-best AS (SELECT * FROM s WHERE dice >= {t} QUALIFY row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, license) = 1),
+WITH tpl(k, license, w, grams) AS (VALUES {rows}),
+one AS (SELECT k, license, w, len(grams) AS b, unnest(grams) AS gram FROM tpl),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{license_scan.WORD}') AS ws FROM documents),
+p AS (SELECT doc_id, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) AS pairs FROM d WHERE len(ws) > 1),
+g AS (SELECT doc_id, unnest(pairs) AS gram, generate_subscripts(pairs, 1) - 1 AS i FROM p),
+m AS (SELECT doc_id, k, license, w, b, gram, unnest(range(i - w + 2, i + 1)) AS s FROM g JOIN one USING (gram)),
+c AS (SELECT doc_id, k, license, w, b, s, count(DISTINCT gram) AS shared FROM m GROUP BY ALL HAVING count(DISTINCT gram) >= b * {t / (2 - t)} - 1e-9),
+x AS (SELECT c.*, len(pairs) AS total, len(list_distinct(list_slice(pairs, greatest(s, 0) + 1, least(s + w - 1, len(pairs))))) AS a FROM c JOIN p USING (doc_id)),
+f AS (SELECT doc_id, license, greatest(s, 0) AS lo, least(s + w, total + 1) AS hi, 2.0 * shared / (a + b) AS dice FROM x WHERE CAST(2.0 * shared / (a + b) AS DOUBLE) >= {t}),
+o AS (SELECT *, lo >= max(hi) OVER (PARTITION BY doc_id, license ORDER BY lo, hi, dice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS apart FROM f),
+n AS (SELECT *, sum(CASE WHEN coalesce(apart, true) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, license ORDER BY lo, hi, dice ROWS UNBOUNDED PRECEDING) AS place FROM o),
+r AS (SELECT doc_id, license, place, min(lo) AS lo, max(hi) AS hi, max(CAST(dice AS DOUBLE)) AS dice FROM n GROUP BY ALL),
+best AS (SELECT * FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.doc_id = r.doc_id AND q.license <> r.license AND q.lo < r.hi AND r.lo < q.hi
+  AND (q.dice > r.dice OR (q.dice = r.dice AND q.license < r.license)))),
 per AS (SELECT doc_id, count(*) AS n, array_to_string(list_sort(list_distinct(list(license))), ',') AS licenses, max(dice) AS dice FROM best GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n, 0) AS n_matches, coalesce(licenses, '') AS licenses, round(CAST(dice AS DOUBLE), 6) AS best_dice
+SELECT d.doc_id, coalesce(n, 0) AS n_matches, coalesce(licenses, '') AS licenses, round(dice, 6) AS best_dice
 FROM documents d LEFT JOIN per USING (doc_id)"""
 
 

@@ -69,11 +69,10 @@ def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best licence of every unit that matches one, by document."""
+    """The places of licence notices in every document, by the best licence
+    at each place."""
     out = license_scan.scan(load(spark, sf_dir, "documents").select("doc_id", "text"))
-    m = F.col("matches")
-    best = F.filter(m, lambda x, i: (i == 0) | (F.get(m, i - 1)["unit"] != x["unit"]))
-    out = out.select("doc_id", best.alias("best"))
+    out = out.select("doc_id", license_scan.best_places(F.col("matches")).alias("best"))
     return out.select(
         "doc_id",
         F.size("best").cast("long").alias("n_matches"),

@@ -59,19 +59,33 @@ def test_empty_tables(spark):
 
 
 def _brute_licenses(text):
-    cut = re.sub(r"([.!?])[ \t]+", "\\1\n", (text or "").lower()).split("\n")
-    out = []
-    for k, u in enumerate(cut):
-        w = re.findall(r"[^\W_]+", u)
-        a, best = {f"{x} {y}" for x, y in zip(w, w[1:], strict=False)}, {}
-        for name, body in license_scan.TEMPLATES:
-            b = set(license_scan.template_bigrams(body))
+    """Every window of every template's size, at every word."""
+    w = re.findall(r"[^\W_]+", (text or "").lower())
+    found = {}
+    for name, body in license_scan.TEMPLATES:
+        size = len(re.findall(r"[^\W_]+", body))
+        b = set(license_scan.template_bigrams(body))
+        for s in range(2 - size, len(w) - 1):
+            lo, hi = max(s, 0), min(s + size, len(w))
+            a = {f"{x} {y}" for x, y in zip(w[lo:hi], w[lo + 1 : hi], strict=False)}
             if a and 2 * len(a & b) / (len(a) + len(b)) >= 0.8:
-                best[name] = max(best.get(name, 0), 2 * len(a & b) / (len(a) + len(b)))
-        out += [(n, round(d, 9), k) for n, d in sorted(best.items(), key=lambda x: (-x[1], x[0]))]
+                found.setdefault(name, []).append((lo, hi, 2 * len(a & b) / (len(a) + len(b))))
+    out = []
+    for name, windows in sorted(found.items()):
+        places = []
+        for lo, hi, dice in sorted(windows):
+            if places and lo < places[-1][1]:
+                places[-1] = (places[-1][0], max(hi, places[-1][1]), max(dice, places[-1][2]))
+            else:
+                places.append((lo, hi, dice))
+        out += [(name, round(dice, 9), lo, hi - lo) for lo, hi, dice in places]
     return out
 
 
+def _scanned(spark, texts):
+    return {r.doc_id: [(m.license, round(m.dice, 9), m.start, m.words) for m in r.matches] for r in license_scan.scan(docs(spark, texts)).collect()}
+
+
 def test_licenses(spark):
     rng = random.Random(8)
     texts = [None, "", "license", "by by", "prose. Licensed under CC BY-NC 4.0.", "x\nReleased under the MIT License.\nLicensed under the Apache License, Version 2.0. more"]
@@ -80,12 +94,42 @@ def test_licenses(spark):
         for _ in range(rng.randint(0, 3)):
             i = rng.randrange(len(w))
             w = rng.choice([w[:i] + w[i + 1 :], [*w[:i], "other", *w[i:]], [*w[:i], w[i].upper() + "!", *w[i + 1 :]]]) or ["x"]
-        texts.append(rng.choice(["", "Some prose here.\n", "prose; "]) + " ".join(w))
-    texts.append("words and more by nc " * 20_000)
-    got = {r.doc_id: [(m.license, round(m.dice, 9), m.unit) for m in r.matches] for r in license_scan.scan(docs(spark, texts)).collect()}
+        glue = rng.choice([" ", "\n", "\n * "])
+        texts.append(rng.choice(["", "Some prose here.\n", "prose; "]) + glue.join(w) + rng.choice(["", " and more. ", "\n\n" + glue.join(rng.choice(license_scan.TEMPLATES)[1].split())]))
+    got = _scanned(spark, [*texts, "words and more by nc license " * 20_000])
     for i, t in enumerate(texts):
         assert got[i] == _brute_licenses(t), t
-    assert sum(map(bool, got.values())) > 60
+    assert sum(map(bool, got.values())) > 100 and got[len(texts)] == []
+
+
+MIT = """Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included."""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+
+
+def test_notices_over_lines_and_within_sentences(spark):
+    wrapped = "Intro.\n  This work is licensed under the GNU General\n  Public License, version 3.\nEnd."
+    inside = "Note that unless stated otherwise this work is licensed under the GNU General Public License, version 3, see the file COPYING for details and the list of all that took part."
+    got = _scanned(spark, [MIT, wrapped, inside, GPL, "An essay on the general public and its license to speak."])
+    names = {i: {n for n, _, _, _ in found} for i, found in got.items()}
+    assert "mit" in names[0] and all("gpl-3.0" in names[i] for i in (1, 2, 3)) and not names[4]
+    assert max(d for n, d, _, _ in got[0] if n == "mit") == 1.0 == max(d for n, d, _, _ in got[3] if n == "gpl-3.0")
+
+
+def test_best_places(spark):
+    df = license_scan.scan(docs(spark, ["This work is licensed under the GNU Lesser General Public License, version 3. " * 2 + "Gap of some words. Released under the MIT License"]))
+    assert [m.license for m in df.select(license_scan.best_places(df["matches"]).alias("b")).first().b] == ["lgpl-3.0", "mit"]
 
 
 def _brute_spans(t):
@@ -143,5 +187,5 @@ def test_licenses_in_their_true_wording(spark):
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy',
     ]
-    got = {r.doc_id: [(m.license, m.dice, m.unit) for m in r.matches][0] for r in license_scan.scan(docs(spark, texts)).collect() if r.matches}
+    got = {r.doc_id: [(m.license, m.dice, m.start) for m in r.matches if m.dice == 1][0] for r in license_scan.scan(docs(spark, texts)).collect() if r.matches}
     assert got == {i: (name, 1.0, 0) for i, name in enumerate(("mit", "apache-2.0"))}
