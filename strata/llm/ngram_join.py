@@ -366,7 +366,7 @@ def _linked(docs: DataFrame, text: str, keys: list[str], key: str, params: Join
         found = _sets_of(docs, text, j, members.select("node"))
         around = _around_pivots(members, found)
         # every set of a group against its pivot: most of what is linked at all
-        links = links.union(around.where(_close(j, F.col("pn"), F.col("n"), F.size("diff"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")))
+        links = links.union(around.where(_close(j, F.col("pn"), F.col("n"), _apart())).select(F.col("pivot").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")))
         root = components(links)
         new = staged(_overlapping(around, root, j), "pairs")
         if not new.isEmpty():
@@ -394,12 +394,15 @@ def _close(j: Join, a: Column, b: Column, apart: Column) -> Column:
 
 def _differences(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """``pairs`` (pivot, node) with sizes ``pn``, ``n`` and the symmetric
-    difference ``diff``."""
+    difference: elements that the pivot lacks (``more``) and has (``less``)."""
     one = found.select(F.col("node").alias("pivot"), F.col("elements").alias("ep"))
     two = found.select("node", F.col("elements").alias("en"))
     met = pairs.join(one, "pivot").join(two, "node")
-    diff = F.concat(F.array_except("ep", "en"), F.array_except("en", "ep"))
-    return met.select(*pairs.columns, F.size("ep").alias("pn"), F.size("en").alias("n"), diff.alias("diff"))
+    return met.select(*pairs.columns, F.size("ep").alias("pn"), F.size("en").alias("n"), F.array_except("en", "ep").alias("more"), F.array_except("ep", "en").alias("less"))
+
+
+def _apart() -> Column:
+    return F.size("more") + F.size("less")
 
 
 def _around_pivots(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -418,11 +421,13 @@ def _around_pivots(members: DataFrame, found: DataFrame) -> DataFrame:
     groups = staged(groups, "groups")
     rough = staged(_differences(groups.withColumnRenamed("group", "pivot"), found), "rough")
     size = groups.groupBy("group").agg(F.count(F.lit(1)).alias("held"))
-    each = rough.select(F.col("pivot").alias("group"), "node", F.explode("diff").alias("x"))
-    common = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c")).join(size, "group").where(2 * F.col("c") > F.col("held")).select("group", "x")
-    held = each.join(common, ["group", "x"]).groupBy("group", "node").agg(F.count(F.lit(1)).alias("in_common"))
-    far = F.size("diff") - 2 * F.coalesce("in_common", F.lit(0))
-    score = rough.withColumnRenamed("pivot", "group").join(held, ["group", "node"], "left")
+    diff = F.concat("more", "less")
+    each = rough.select(F.col("pivot").alias("group"), F.explode(diff).alias("x"))
+    # the majority's differences: at most twice as many as a set has on average
+    common = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c")).join(size, "group").where(2 * F.col("c") > F.col("held"))
+    common = common.groupBy("group").agg(F.collect_list("x").alias("common"))
+    score = rough.withColumnRenamed("pivot", "group").join(common, "group", "left")
+    far = _apart() - 2 * F.size(F.array_intersect(diff, F.coalesce("common", F.array().cast("array<bigint>"))))
     pivot = score.groupBy("group").agg(F.min(F.struct(far.alias("far"), F.col("node"))).alias("p")).select("group", F.col("p.node").alias("pivot"))
     return staged(_differences(groups.join(pivot, "group"), found), "around")
 
@@ -430,13 +435,28 @@ def _around_pivots(members: DataFrame, found: DataFrame) -> DataFrame:
 def _overlapping(around: DataFrame, root: DataFrame, j: Join) -> DataFrame:
     """Pairs of sets of one group, in different components, that may be
     similar: they need ``(|dx| + |dy| - H) / 2`` common differences, so with
-    the rarest differences first their first common one comes early."""
+    the rarest differences first their first common one comes early. What the
+    pivot lacks comes before what it has; where a set has more of the former
+    than its first common difference can lie behind, the latter are not
+    looked at. Differences that one component has alone come first of all:
+    they pair nothing up and are only counted.
+    """
     most = F.floor((F.col("n") + F.floor(F.col("n") * j.den / j.num)) * (j.den - j.num) / (j.den + j.num))
-    each = _rooted(around.select("group", "node", "n", F.size("diff").alias("d"), most.alias("most"), F.explode("diff").alias("x")), root, "node")
-    often = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c"), F.count_distinct("root").alias("roots"))
-    # a difference that one component has alone pairs nothing up
-    ranked = each.join(often, ["group", "x"]).withColumn("left", F.col("d") - F.row_number().over(Window.partitionBy("group", "node").orderBy("c", "x")) + 1)
-    ranked = ranked.where((F.col("roots") > 1) & (F.col("d") - F.col("left") <= F.col("most")))
+    enough_more = F.size("more") > most
+    rows = around.select("group", "node", "n", _apart().alias("d"), most.alias("most"), F.when(enough_more, F.col("more")).otherwise(F.concat("more", "less")).alias("seen"), F.size("more").alias("m"))
+    rows = _rooted(rows, root, "node")
+    each = rows.select("group", "node", "n", "d", "most", "root", "m", F.posexplode("seen").alias("k", "x"))
+    often = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi"))
+    kept = each.join(often.select("group", "x", "c"), ["group", "x"])
+    # elements the pivot has come last; of each kind the rarest come first
+    mine = Window.partitionBy("group", "node")
+    has = F.col("k") >= F.col("m")
+    order = mine.orderBy(has, "c", "x")
+    kept = kept.withColumns({"rank": F.row_number().over(order), "lacking": F.count_if(~has).over(mine), "all": F.count(F.lit(1)).over(mine)})
+    # differences from this one on: those of its kind that are left, and the
+    # whole kind behind it
+    behind = F.when(has, F.col("all") - F.col("rank") + 1).otherwise(F.col("lacking") - F.col("rank") + 1 + F.col("d") - F.col("m"))
+    ranked = kept.withColumn("left", behind).where(F.col("d") - F.col("left") <= F.col("most"))
     one = ranked.select("group", "x", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("d").alias("da"), F.col("left").alias("la"))
     two = ranked.select("group", "x", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("d").alias("db"), F.col("left").alias("lb"))
     # with ``o`` common differences the two sets are da + db - 2 o apart

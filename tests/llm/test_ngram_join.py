@@ -60,9 +60,9 @@ def _corpus(seed, n=140):
     return list(enumerate(rows))
 
 
-def _check(spark, rows, num, den, width):
+def _check(spark, rows, num, den, width, crowd=16):
     df = spark.createDataFrame([(k, t, 9, "x") for k, t in rows], "doc_id long, text string, n int, node string")
-    got = J.join(df, params=J.Join(num, den, width)).collect()
+    got = J.join(df, params=J.Join(num, den, width, crowd=crowd)).collect()
     key = lambda r: tuple((x is None, x or 0) for x in r)
     assert sorted([(r.doc_id, r.n, r.component) for r in got], key=key) == sorted(brute(rows, num, den, width), key=key)
 
@@ -72,6 +72,44 @@ def test_random_corpus(spark, seed, num, den, width):
     _check(spark, _corpus(seed), num, den, width)
 
 
+def _crowded(seed):
+    """Crowds of 40 to 70 texts made from one base: chains of near copies,
+    texts cut at either end, edits in many places; and crowds of unrelated
+    texts around one long passage."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(600)}"
+    texts = []
+    for size, n, edits in ((60, 70, 3), (130, 50, 9), (40, 60, 2)):
+        base = [word() for _ in range(size)]
+        t = list(base)
+        for k in range(n):
+            kind = k % 4
+            if kind == 0:  # each a little further from the base
+                t = list(t)
+                t[rng.randrange(len(t))] = word()
+                texts.append(list(t))
+            elif kind == 1:
+                texts.append(base[rng.randrange(size // 3) :])
+            elif kind == 2:
+                texts.append(base[: size - rng.randrange(size // 3)])
+            else:
+                one = list(base)
+                for _ in range(rng.randint(0, edits)):
+                    i = rng.randrange(len(one))
+                    one[i : i + 1] = rng.choice([[], [word()], [one[i], word()]])
+                texts.append(one)
+    passage = [word() for _ in range(55)]
+    for _ in range(50):
+        texts.append([word() for _ in range(rng.randint(0, 60))] + passage + [word() for _ in range(rng.randint(0, 60))])
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed,num,width,crowd", [(1, 80, 5, 2), (2, 80, 5, 16), (3, 90, 3, 2), (4, 90, 3, 16)])
+def test_crowds(spark, seed, num, width, crowd):
+    _check(spark, _crowded(seed), num, 100, width, crowd)
+
+
 def test_odd_rows(spark):
     long = " ".join(f"x{i}" for i in range(9000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (6, "a b"), (7, "a b c"), (8, "A B C"), (None, "a b c"), (None, "only null"), (None, "only null"), (9, "rep"), (9, "rep"), (10, long), (11, long + " y"), (12, None)]
