@@ -195,15 +195,16 @@ def _actors_scd_step(prev: DataFrame, snap: DataFrame) -> DataFrame:
 # -- property graph ------------------------------------------------------------
 
 def all_vertices(spark, sf):
-    return reduce(DataFrame.unionByName, [
-        graph.game_vertices(recast.games(spark, sf)),
-        graph.player_vertices(recast.game_details(spark, sf)),
-        graph.team_vertices(recast.teams(spark, sf))])
+    """Typed: every kind's properties are columns, null for other kinds."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        graph.game_vertices(recast.games(spark, sf), typed=True),
+        graph.player_vertices(recast.game_details(spark, sf), typed=True),
+        graph.team_vertices(recast.teams(spark, sf), typed=True)])
 
 
 def all_edges(spark, sf):
     d = recast.game_details(spark, sf)
-    return graph.plays_in_edges(d).unionByName(graph.pair_edges(d))
+    return graph.plays_in_edges(d, typed=True).unionByName(graph.pair_edges(d, typed=True), allowMissingColumns=True)
 
 
 def q_vertices_game(spark, sf):
@@ -240,7 +241,7 @@ def q_edges_pairs(spark, sf):
 
 def q_edge_max_points(spark, sf):
     # only plays_in edges carry points, and every player of a pair has one
-    edges = graph.plays_in_edges(recast.game_details(spark, sf))
+    edges = graph.plays_in_edges(recast.game_details(spark, sf), typed=True)
     return graph.max_edge_points(all_vertices(spark, sf), edges).orderBy(F.desc_nulls_first("max_points"))
 
 

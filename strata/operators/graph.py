@@ -8,7 +8,10 @@ graph is two DataFrames:
   object_type, edge_type, properties)``
 
 ``properties`` is JSON text (``to_json`` keeping NULL fields) or, with
-``as_map=True``, a ``MAP<STRING,STRING>``.
+``as_map=True``, a ``MAP<STRING,STRING>``. With ``typed=True`` the properties
+are columns of their own: queries between build and sink then neither write
+nor parse JSON, read only the columns they use, and kinds with different
+properties union by name; :func:`as_json` makes the JSON form at the sink.
 """
 
 from __future__ import annotations
@@ -38,23 +41,39 @@ def _props(pairs: Sequence[tuple[str, Column]], as_map: bool) -> Column:
     return json_props(*pairs)
 
 
+def _columns(pairs: Sequence[tuple[str, Column]], typed: bool, as_map: bool = False) -> list[Column]:
+    return [v.alias(k) for k, v in pairs] if typed else [_props(pairs, as_map).alias("properties")]
+
+
+def as_json(typed_rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Typed vertices or edges of one kind with their columns ``names`` as
+    JSON ``properties``."""
+    rest = [c for c in typed_rows.columns if c not in names]
+    return typed_rows.select(*rest, json_props(*[(n, F.col(n)) for n in names]).alias("properties"))
+
+
+def _property(df: DataFrame, name: str, kind: str) -> Column:
+    """A property as ``kind``: its own column, or a field of the JSON."""
+    return F.col(name).cast(kind) if name in df.columns else F.get_json_object("properties", f"$.{name}").try_cast(kind)
+
+
 def vertices(df: DataFrame, id_col: str | Column, vertex_type: str,
-             props: Sequence[tuple[str, Column | str]], *, as_map: bool = False) -> DataFrame:
+             props: Sequence[tuple[str, Column | str]], *, as_map: bool = False, typed: bool = False) -> DataFrame:
     """Vertex rows from one row per entity."""
     ident = F.col(id_col) if isinstance(id_col, str) else id_col
     pairs = [(k, F.col(v) if isinstance(v, str) else v) for k, v in props]
     return df.select(ident.cast("string").alias("identifier"), F.lit(vertex_type).alias("type"),
-                     _props(pairs, as_map).alias("properties"))
+                     *_columns(pairs, typed, as_map))
 
 
-def game_vertices(games: DataFrame) -> DataFrame:
+def game_vertices(games: DataFrame, *, typed: bool = False) -> DataFrame:
     """One vertex per game with points and the winning team."""
     winner = F.when(F.col("home_team_wins") == 1, F.col("home_team_id")).otherwise(F.col("visitor_team_id"))
     return vertices(games, "game_id", "game",
-                    [("pts_home", "pts_home"), ("pts_away", "pts_away"), ("winning_team", winner)])
+                    [("pts_home", "pts_home"), ("pts_away", "pts_away"), ("winning_team", winner)], typed=typed)
 
 
-def player_vertices(details: DataFrame) -> DataFrame:
+def player_vertices(details: DataFrame, *, typed: bool = False) -> DataFrame:
     """Players aggregated from box-score lines.
 
     ``teams`` is the sorted distinct team list (bounded by the number of
@@ -67,11 +86,11 @@ def player_vertices(details: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set("team_id")).alias("teams"))
     return vertices(agg, "player_id", "player",
                     [("player_name", "player_name"), ("number_of_games", "number_of_games"),
-                     ("total_points", "total_points"), ("teams", "teams")])
+                     ("total_points", "total_points"), ("teams", "teams")], typed=typed)
 
 
 def team_vertices(teams: DataFrame, *, order_by: Sequence[str] = ("row_order",),
-                  as_map: bool = False) -> DataFrame:
+                  as_map: bool = False, typed: bool = False) -> DataFrame:
     """One vertex per team id, first row by ``order_by``.
 
     The reference leaves the pick among duplicates open; an explicit
@@ -81,7 +100,7 @@ def team_vertices(teams: DataFrame, *, order_by: Sequence[str] = ("row_order",),
     year = F.col("yearfounded").cast("string") if as_map else F.col("yearfounded")
     return vertices(one, "team_id", "team",
                     [("abbreviation", "abbreviation"), ("nickname", "nickname"), ("city", "city"),
-                     ("arena", "arena"), ("year_founded", year)], as_map=as_map)
+                     ("arena", "arena"), ("year_founded", year)], as_map=as_map, typed=typed)
 
 
 def dedupe_appearances(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no"),
@@ -97,59 +116,69 @@ def dedupe_appearances(details: DataFrame, *, order_by: Sequence[str] = ("line_n
     return first_per_key(details, ["player_id", "game_id"], list(order_by))
 
 
-def plays_in_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no")) -> DataFrame:
+def plays_in_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no"),
+                   typed: bool = False) -> DataFrame:
     """Player -> game edges with the line's position, points and team."""
     d = dedupe_appearances(details, order_by=order_by, keep=EDGE_PAYLOAD)
     return d.select(
         F.col("player_id").cast("string").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("game_id").cast("string").alias("object_identifier"), F.lit("game").alias("object_type"),
         F.lit("plays_in").alias("edge_type"),
-        json_props(("start_position", F.col("start_position")), ("pts", F.col("pts")),
-                   ("team_id", F.col("team_id")), ("team_abbreviation", F.col("team_abbreviation")))
-        .alias("properties"))
+        *_columns([(c, F.col(c)) for c in ("start_position", "pts", "team_id", "team_abbreviation")], typed))
+
+
+def _met(rows: DataFrame, keys: Sequence[str], condition: Column, *, ordered: bool) -> DataFrame:
+    """Two players of a game, once a pair, the greater id as subject;
+    ``ordered``: the condition already puts it first."""
+    f1, f2 = rows.alias("f1"), rows.alias("f2")
+    cond = [F.col(f"f1.{k}") == F.col(f"f2.{k}") for k in keys] + [F.col("f1.player_name") != F.col("f2.player_name"), condition]
+    etype = (F.when(F.col("f1.team_abbreviation") == F.col("f2.team_abbreviation"), F.lit("shares_team"))
+              .otherwise(F.lit("plays_against")))
+    first = F.col("f1.player_id") > F.col("f2.player_id")
+
+    def pick(c: str) -> list[Column]:
+        one, two = F.col(f"f1.{c}"), F.col(f"f2.{c}")
+        return [one, two] if ordered else [F.when(first, one).otherwise(two), F.when(first, two).otherwise(one)]
+
+    (s, o), (sn, on), (sp, op) = (pick(c) for c in ("player_id", "player_name", "pts"))
+    return f1.join(f2, cond, "inner").select(s.alias("s"), o.alias("o"), etype.alias("edge_type"), sn.alias("sn"), on.alias("on"),
+                                             sp.alias("sp"), op.alias("op"))
+
+
+def _block_pairs(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """Pairs of the games of ``sizes`` (game_id, n): each game is cut into
+    ``k = ceil(n / block)`` blocks of players, and each of the
+    ``k * (k + 1) / 2`` pairs of blocks is a join key of its own."""
+    k = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(block))).cast("int")
+    cut = rows.join(sizes.select("game_id", k.alias("k")), "game_id").withColumn("b", F.pmod(F.xxhash64("player_id"), F.col("k")).cast("int"))
+    # a block meets itself and every other one, by the pair's (low, high)
+    other = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
+    dealt = cut.withColumn("other", other).withColumns({"low": F.least("b", "other"), "high": F.greatest("b", "other")}).drop("k", "other")
+    once = (F.col("f1.b") < F.col("f2.b")) | ((F.col("f1.b") == F.col("f2.b")) & (F.col("f1.low") == F.col("f1.high")) & (F.col("f1.player_id") > F.col("f2.player_id")))
+    return _met(dealt, ["game_id", "low", "high"], once, ordered=False)
 
 
 def pair_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "part_no"),
-               salt: int = 1, hot_rows: int | None = 256) -> DataFrame:
+               hot_rows: int = 10_000, block: int = 1_000, typed: bool = False) -> DataFrame:
     """Player <-> player edges for players who met in a game.
 
     A self equi-join on game (the residual ``id1 > id2`` and name test is a
     join condition, not a filter after a product), aggregated per pair and
-    edge type with map-side combine. A game with very many players is a
-    hot join key: AQE's skew-join split handles it at runtime, and
-    ``salt > 1`` additionally spreads every game's left rows over ``salt``
-    tasks (right rows replicated ``salt`` times) so that no single task
-    builds all pairs of a hot game. ``hot_rows`` salts adaptively instead:
-    a game with ``n`` rows gets ``ceil(n / hot_rows)`` salts, so ordinary
-    games are not replicated at all and a hot game's pairs are cut into
-    tasks of at most ``hot_rows`` left rows (the per-game counts are one
-    extra aggregate joined back on the game key).
+    edge type with map-side combine. Games of more than ``hot_rows`` lines,
+    counted when the plan is built (one column, combined map-side), are hot
+    join keys: they go by pairs of blocks of about ``block`` players, a task
+    for each pair of blocks. Without such games the plan is the plain join:
+    no count, copy or further join is in it.
     """
     d = dedupe_appearances(details, order_by=order_by, keep=EDGE_PAYLOAD).select(
         "game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    if hot_rows:
-        sizes = d.groupBy("game_id").agg(F.count(F.lit(1)).alias("_n"))
-        sized = d.join(sizes, "game_id").withColumn(
-            "_k", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(hot_rows))).cast("long")).drop("_n")
-        left = sized.withColumn("_s", F.pmod(F.xxhash64("player_id"), F.col("_k"))).drop("_k")
-        right = sized.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))).drop("_k")
-        keys = ["game_id", "_s"]
-    elif salt > 1:
-        left = d.withColumn("_s", F.pmod(F.xxhash64("player_id"), F.lit(salt)))
-        right = d.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
-        keys = ["game_id", "_s"]
+    greater = F.col("f1.player_id") > F.col("f2.player_id")
+    sizes = details.groupBy("game_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    if sizes.isEmpty():
+        pairs = _met(d, ["game_id"], greater, ordered=True)
     else:
-        left, right, keys = d, d, ["game_id"]
-    f1, f2 = left.alias("f1"), right.alias("f2")
-    cond = [F.col(f"f1.{k}") == F.col(f"f2.{k}") for k in keys] + [
-        F.col("f1.player_name") != F.col("f2.player_name"),
-        F.col("f1.player_id") > F.col("f2.player_id")]
-    etype = (F.when(F.col("f1.team_abbreviation") == F.col("f2.team_abbreviation"), F.lit("shares_team"))
-              .otherwise(F.lit("plays_against")))
-    pairs = f1.join(f2, cond, "inner").select(
-        F.col("f1.player_id").alias("s"), F.col("f2.player_id").alias("o"), etype.alias("edge_type"),
-        F.col("f1.player_name").alias("sn"), F.col("f2.player_name").alias("on"),
-        F.col("f1.pts").alias("sp"), F.col("f2.pts").alias("op"))
+        cold = d.join(sizes, "game_id", "left_anti")
+        pairs = _met(cold, ["game_id"], greater, ordered=True).unionByName(_block_pairs(d, sizes, block))
     agg = pairs.groupBy("s", "o", "edge_type").agg(
         F.max("sn").alias("subject_player_name"), F.max("on").alias("object_player_name"),
         F.count(F.lit(1)).alias("num_games"), F.sum("sp").alias("subject_points"),
@@ -157,9 +186,7 @@ def pair_edges(details: DataFrame, *, order_by: Sequence[str] = ("line_no", "par
     return agg.select(
         F.col("s").cast("string").alias("subject_identifier"), F.lit("player").alias("subject_type"),
         F.col("o").cast("string").alias("object_identifier"), F.lit("player").alias("object_type"),
-        "edge_type",
-        json_props(("num_games", F.col("num_games")), ("subject_points", F.col("subject_points")),
-                   ("object_points", F.col("object_points"))).alias("properties"))
+        "edge_type", *_columns([(c, F.col(c)) for c in ("num_games", "subject_points", "object_points")], typed))
 
 
 def vertex_counts(vertices_df: DataFrame) -> DataFrame:
@@ -167,16 +194,14 @@ def vertex_counts(vertices_df: DataFrame) -> DataFrame:
     return vertices_df.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _join_subject(vertices_df: DataFrame, edges_df: DataFrame, fields: Sequence[str]) -> DataFrame:
+def _join_subject(vertices_df: DataFrame, edges_df: DataFrame, fields: Sequence[tuple[str, str]]) -> DataFrame:
     """Vertices joined to the edges they are the subject of.
 
-    The vertex JSON fields are extracted on the vertex side *before* the
-    join (one parse per vertex instead of one per edge row; Catalyst does
-    not push expressions below a join by itself). Extracted fields are
-    named ``v_<field>``.
+    Properties are read on the vertex side *before* the join (once per
+    vertex instead of once per edge row; Catalyst does not push expressions
+    below a join by itself), as ``v_<field>``.
     """
-    v = vertices_df.select("identifier", "type", *[
-        F.get_json_object("properties", f"$.{f}").alias(f"v_{f}") for f in fields]).alias("v")
+    v = vertices_df.select("identifier", "type", *[_property(vertices_df, f, kind).alias(f"v_{f}") for f, kind in fields]).alias("v")
     e = edges_df.alias("e")
     return v.join(e, (F.col("v.identifier") == F.col("e.subject_identifier"))
                   & (F.col("v.type") == F.col("e.subject_type")))
@@ -189,40 +214,43 @@ def max_edge_points(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     and the maximum taken per subject before the join, so the join sees one
     row a subject; edges without a ``pts`` property contribute NULL.
     """
-    best = edges_df.groupBy("subject_identifier", "subject_type").agg(
-        F.max(F.get_json_object("properties", "$.pts").try_cast("int")).alias("pts"))
-    j = _join_subject(vertices_df, best, ["player_name"])
+    best = edges_df.groupBy("subject_identifier", "subject_type").agg(F.max(_property(edges_df, "pts", "int")).alias("pts"))
+    j = _join_subject(vertices_df, best, [("player_name", "string")])
     return j.groupBy(F.col("v_player_name").alias("player_name")).agg(F.max("pts").alias("max_points"))
 
 
-def _pair_properties(edges_df: DataFrame) -> DataFrame:
-    """Player-to-player edges with their properties parsed once a row."""
-    p = F.from_json("properties", "subject_points string, num_games string")
-    return edges_df.where(F.col("object_type") == "player").withColumn("p", p)
+def _pair_properties(edges_df: DataFrame, kind: str) -> DataFrame:
+    """Player-to-player edges with the properties of a pair as ``kind``."""
+    names = ("subject_points", "num_games")
+    if names[0] in edges_df.columns:
+        read = [F.col(n).cast(kind).alias(f"p_{n}") for n in names]
+        return edges_df.where(F.col("object_type") == "player").select("subject_identifier", "subject_type", "object_identifier", *read)
+    p = F.from_json("properties", ", ".join(f"{n} string" for n in names))  # parsed once a row
+    rows = edges_df.where(F.col("object_type") == "player").withColumn("p", p)
+    read = {n: F.col(f"p.{n}") if kind == "string" else F.nullif(F.col(f"p.{n}"), F.lit("")).try_cast(kind) for n in names}
+    return rows.select("subject_identifier", "subject_type", "object_identifier", *[c.alias(f"p_{n}") for n, c in read.items()])
+
+
+_PLAYER = [("player_name", "string"), ("number_of_games", "double"), ("total_points", "double")]
 
 
 def games_per_point(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     """The draft ratio games / points (0 points read as 1), kept as is."""
-    j = _join_subject(vertices_df, _pair_properties(edges_df), ["player_name", "number_of_games", "total_points"])
-    games = F.coalesce(F.col("v_number_of_games").try_cast("double"), F.lit(0.0))
-    tp = F.col("v_total_points").try_cast("double")
+    j = _join_subject(vertices_df, _pair_properties(edges_df, "string"), _PLAYER)
+    tp = F.col("v_total_points")
     return j.select(
         F.col("v_player_name").alias("player_name"),
         F.col("e.object_identifier").alias("object_identifier"),
-        (games / F.when(tp == 0, F.lit(1.0)).otherwise(tp)).alias("games_per_point"),
-        F.col("e.p.subject_points").alias("subject_points"), F.col("e.p.num_games").alias("num_games"))
+        (F.coalesce("v_number_of_games", F.lit(0.0)) / F.when(tp == 0, F.lit(1.0)).otherwise(tp)).alias("games_per_point"),
+        F.col("e.p_subject_points").alias("subject_points"), F.col("e.p_num_games").alias("num_games"))
 
 
 def points_per_game(vertices_df: DataFrame, edges_df: DataFrame) -> DataFrame:
     """C20: points per game from typed properties; NULL-safe, zero-safe."""
-    j = _join_subject(vertices_df, _pair_properties(edges_df), ["player_name", "number_of_games", "total_points"])
-
-    def num(c: Column) -> Column:
-        return F.nullif(c, F.lit("")).try_cast("double")
-
-    total, games = num(F.col("v_total_points")), num(F.col("v_number_of_games"))
+    j = _join_subject(vertices_df, _pair_properties(edges_df, "double"), _PLAYER)
+    ratio = F.try_divide(F.nullif(F.col("v_total_points"), F.lit(0.0)), F.col("v_number_of_games"))
     return j.select(
         F.col("v_player_name").alias("player_name"),
         F.col("e.object_identifier").alias("object_identifier"),
-        F.coalesce(F.try_divide(F.nullif(total, F.lit(0.0)), games), F.lit(0.0)).alias("points_per_game"),
-        num(F.col("e.p.subject_points")).alias("subject_points"), num(F.col("e.p.num_games")).alias("num_games"))
+        F.coalesce(ratio, F.lit(0.0)).alias("points_per_game"),
+        F.col("e.p_subject_points").alias("subject_points"), F.col("e.p_num_games").alias("num_games"))

@@ -34,19 +34,57 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def range_lookup(df: DataFrame, value_col: str, ranges: DataFrame, start_col: str, end_col: str,
-                 *, bucket_width: int = 256, how: str = "left") -> DataFrame:
-    """Join each row to the range ``[start, end]`` containing ``value_col``.
-
-    A range join written as an equi-join: ranges are exploded into the
-    fixed-width buckets they cover and matched on ``value // bucket_width``,
-    then the exact bounds are checked. No nested-loop or Cartesian join;
-    the lookup side is joined like any dimension (broadcast when small).
+def aligned_blocks(ranges: DataFrame, start_col: str, end_col: str) -> DataFrame:
+    """Each range ``[start, end]`` of whole numbers from 0 on as at most
+    ``2 * bits`` aligned power-of-two blocks: ``_level`` (the block holds
+    ``2 ** level`` values) and ``_prefix`` (its values shifted right by the
+    level). However long a range is, it is a handful of rows.
     """
-    b = F.floor(F.col(value_col) / bucket_width)
-    lhs = df.withColumn("_bkt", b)
-    rb = ranges.withColumn("_bkt", F.explode(F.sequence(F.floor(F.col(start_col) / bucket_width),
-                                                        F.floor(F.col(end_col) / bucket_width))))
-    cond = ((lhs["_bkt"] == rb["_bkt"]) & (F.col(value_col) >= rb[start_col])
-            & (F.col(value_col) <= rb[end_col]))
-    return lhs.join(rb, cond, how).drop("_bkt")
+    s, e = F.col(start_col).cast("long"), F.col(end_col).cast("long") + 1
+    # below the highest bit where the two ends differ, blocks climb from the
+    # start and descend to the end; at that bit one block may fill the middle
+    top = F.length(F.bin(s.bitwiseXOR(e))) - 1
+    right = lambda x, k: F.call_function("shiftright", x, k)
+    size = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k)
+    block = lambda k, prefix: F.struct(k.cast("int").alias("_level"), prefix.alias("_prefix"))
+
+    def at(k: Column) -> Column:
+        up = right(s + size(k) - 1, k)
+        climbs = F.when((k < top) & (up % 2 == 1), block(k, up))
+        descends = F.when((k < top) & (right(e, k) % 2 == 1), block(k, right(e, k + 1) * 2))
+        fills = F.when((k == top) & (s % size(k) == 0), block(k, right(s, k)))
+        return F.array(climbs, descends, fills)
+
+    found = F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), top), at)))
+    return ranges.where(s < e).select("*", F.inline(found))
+
+
+def range_lookup(df: DataFrame, value_col: str, ranges: DataFrame, start_col: str, end_col: str) -> DataFrame:
+    """Join each row to the smallest range ``[start, end]`` that contains
+    ``value_col`` (whole numbers from 0 on; nested ranges: the smallest, then
+    the one with the least start, then by its other columns). Rows outside
+    all ranges, or with a null value, keep nulls.
+
+    Ranges become aligned blocks; a value meets the blocks of one level by an
+    equi-join on its prefix, one join a level in use (at most one for each
+    bit; as many as there are prefix lengths, as a rule). Each join keeps one
+    row a row, so the lookup also works on a stream without state; block
+    tables are joined like any dimension, broadcast where they are small. The
+    levels in use, at most 64 numbers, are read when the lookup is built.
+    """
+    others = [c for c in ranges.columns if c not in (start_col, end_col)]
+    rank = F.struct((F.col(end_col) - F.col(start_col)).alias("size"), F.col(start_col).alias("start"), F.col(end_col).alias("end"), *[F.col(c) for c in others])
+    blocks = aligned_blocks(ranges, start_col, end_col).groupBy("_level", "_prefix").agg(F.min(rank).alias("_hit"))
+    levels = sorted(r._level for r in blocks.select("_level").distinct().collect())
+    if not levels:
+        types = {f.name: f.dataType for f in ranges.schema}
+        return df.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in (start_col, end_col, *others)])
+    hits = []
+    for k in levels:
+        own = blocks.where(F.col("_level") == k).select(F.col("_prefix").alias(f"_p{k}"), F.col("_hit").alias(f"_hit{k}"))
+        df = df.join(own, F.shiftright(F.col(value_col).cast("long"), k) == F.col(f"_p{k}"), "left").drop(f"_p{k}")
+        hits.append(F.col(f"_hit{k}"))
+    best = F.least(*hits) if len(hits) > 1 else hits[0]
+    out = df.withColumn("_hit", best)
+    names = {start_col: "start", end_col: "end", **{c: c for c in others}}
+    return out.select(*[c for c in df.columns if not c.startswith("_hit")], *[F.col("_hit")[field].alias(c) for c, field in names.items()])

@@ -28,17 +28,17 @@ def parse_event_time(df: DataFrame, text_col: str, out_col: str, pattern: str =
 
 
 def enrich_geo(df: DataFrame, geo_ranges: DataFrame, *, ip_col: str = "ip",
-               ts_col: str = "event_timestamp", bucket_width: int = 256) -> DataFrame:
+               ts_col: str = "event_timestamp") -> DataFrame:
     """Attach ``{country, state, city}`` JSON looked up by IP.
 
     The first address of a comma list is used; blank, unparsable or
-    unmatched addresses give ``{}``. The lookup is a stream-static
-    equi-join on an address bucket plus a range check (JVM only, no
-    per-row service call). ``ts_col`` stays typed; :func:`iso_text` gives
+    unmatched addresses give ``{}``; where ranges are nested the smallest one
+    counts. The lookup is one stream-static equi-join for each prefix length
+    of the ranges (JVM only, no per-row service call). ``ts_col`` stays typed; :func:`iso_text` gives
     the text form for a text sink.
     """
     clean = df.withColumn("_ip", first_address(ip_col)).withColumn("_ipn", ipv4_to_long("_ip"))
-    joined = range_lookup(clean, "_ipn", geo_ranges, "ip_start", "ip_end", bucket_width=bucket_width)
+    joined = range_lookup(clean, "_ipn", geo_ranges, "ip_start", "ip_end")
     geo = F.when(F.col("country").isNotNull(),
                  F.to_json(F.struct("country", "state", "city"))).otherwise(F.lit("{}"))
     return joined.select(F.col(ip_col).alias("ip"), F.col(ts_col).alias("event_timestamp"),

@@ -62,7 +62,7 @@ def test_pair_edges_cases(spark):
     assert got[("2", "1", "plays_against")] == '{"num_games":1,"subject_points":null,"object_points":3}'
     assert ("4", "3", "shares_team") not in got
     assert len(got) == 1 + 1 + 4  # 2-1 twice, plus 3/4 against 1 and 2
-    salted = graph.pair_edges(d, salt=3)
+    salted = graph.pair_edges(d, hot_rows=0, block=2)
     assert rows(salted) == rows(e)
 
 
@@ -77,5 +77,5 @@ def test_vertices_edges_roundtrip(spark):
 def test_range_lookup(spark):
     df = spark.createDataFrame([(1, 5), (2, 300), (3, 1000), (4, None)], "id int, v long")
     ranges = spark.createDataFrame([(0, 99, "a"), (256, 600, "b")], "s long, e long, name string")
-    out = rows(range_lookup(df, "v", ranges, "s", "e", bucket_width=100).select("id", "name"))
+    out = rows(range_lookup(df, "v", ranges, "s", "e").select("id", "name"))
     assert out == [(1, "a"), (2, "b"), (3, None), (4, None)]

@@ -38,9 +38,9 @@ def test_pair_edges_salted_on_hot_game(spark):
     assert d.where("game_id = 0").count() * 3 >= d.count() * 0.9
     order = ("line_no", "part_no", "orig_game")
     plain = graph.pair_edges(d, order_by=order)
-    salted = graph.pair_edges(d, order_by=order, salt=8)
+    salted = graph.pair_edges(d, order_by=order, hot_rows=0, block=3)
     assert rows(salted) == rows(plain)
-    adaptive = graph.pair_edges(d, order_by=order, hot_rows=50)   # only game 0 is split
+    adaptive = graph.pair_edges(d, order_by=order, hot_rows=50, block=40)   # only game 0 is split
     assert rows(adaptive) == rows(plain)
 
 
