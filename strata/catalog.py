@@ -22,6 +22,7 @@ from strata.operators.joins import first_per_key
 from strata.plans import layout
 from strata.session import scratch_path
 from strata.sources import landing, recast, snapshots
+from strata.sources.scdstore import ScdStore
 from strata.sources.tables import table, to_wall_clock
 from strata.streaming import late, runner, sinks, sources, windows
 
@@ -168,8 +169,16 @@ def q_cumulative_multi_backfill(spark, sf):
     return _actor_view(actors_snapshots(spark, sf))
 
 
+def actors_states(spark: SparkSession, sf: str, last: int = LAST_SEASON, *, only_last: bool = False) -> DataFrame:
+    """The actors' snapshots without their films: what the SCD is made of."""
+    return cumulate.cumulate_states_backfill(
+        recast.actor_films(spark, sf), ["actorid"], first_period=FIRST_SEASON, last_period=last, period_col="year",
+        measure="rating", classify=_actor_class, carry_cols=["actor"], class_col="quality_class", as_of_col="as_of_year",
+        only_last=only_last)
+
+
 def actors_scd(spark: SparkSession, sf: str, as_of: int) -> DataFrame:
-    return scd.scd_backfill(actors_snapshots(spark, sf, as_of), ["actorid"], period_col="as_of_year",
+    return scd.scd_backfill(actors_states(spark, sf, as_of), ["actorid"], period_col="as_of_year",
                             state_cols=["quality_class", "is_active"], as_of=as_of, carry_cols=["actor"],
                             start_col="start_year", end_col="end_year", current_col="current_year")
 
@@ -182,7 +191,7 @@ def q_scd_backfill_nullsafe(spark, sf):
 def q_scd_incremental_retained(spark, sf):
     """C11: null-safe incremental SCD keeping records of missing actors."""
     return _actors_scd_step(actors_scd(spark, sf, LAST_SEASON - 1),
-                            actors_snapshots(spark, sf, LAST_SEASON, only_last=True))
+                            actors_states(spark, sf, LAST_SEASON, only_last=True))
 
 
 def _actors_scd_step(prev: DataFrame, snap: DataFrame) -> DataFrame:
@@ -448,12 +457,113 @@ def q_stored_scd_incremental(spark, sf):
 
 def q_stored_scd_incremental_retained(spark, sf):
     """C11 from the stored version LAST_SEASON-1."""
-    snap = actors_snapshots(spark, sf, LAST_SEASON, only_last=True)
+    snap = actors_states(spark, sf, LAST_SEASON, only_last=True)
     out = _advanced(spark, "actors-scd", "current_year", actors_scd(spark, sf, LAST_SEASON - 1),
                     lambda prev: _actors_scd_step(prev, snap), before=LAST_SEASON - 1, period=LAST_SEASON)
     return out.select("actorid", "actor", "quality_class", "is_active", "start_year", "end_year", "current_year")
 
 
+# open and closed SCD records: a step reads the open ones alone
+
+PLAYER_RECORD = ["player_id", "scoring_class", "is_active", "start_season", "end_season"]
+ACTOR_RECORD = ["actorid", "actor", "quality_class", "is_active", "start_year", "end_year"]
+
+
+def q_open_scd_incremental(spark, sf):
+    """C9 from stored open records; version LAST_SEASON read back."""
+    store = ScdStore(spark, scratch_path(spark, "players-scd-open"), PLAYER_RECORD, "end_season")
+    store.seed(players_scd(spark, sf, LAST_SEASON - 1), LAST_SEASON - 1)
+    snap = players_snapshots(spark, sf, LAST_SEASON, only_last=True)
+    store.step(LAST_SEASON, lambda rows: scd.scd_open_step(
+        rows, snap, ["player_id"], period=LAST_SEASON, period_col="current_season", state_cols=["scoring_class", "is_active"],
+        start_col="start_season", end_col="end_season", retain_missing=False))
+    return store.version(LAST_SEASON, "current_season")
+
+
+def q_open_scd_incremental_retained(spark, sf):
+    """C11 from stored open records, two periods in a row."""
+    store = ScdStore(spark, scratch_path(spark, "actors-scd-open"), ACTOR_RECORD, "end_year")
+    store.seed(actors_scd(spark, sf, LAST_SEASON - 2), LAST_SEASON - 2)
+    for year in (LAST_SEASON - 1, LAST_SEASON):
+        snap = actors_states(spark, sf, year, only_last=True)
+        store.step(year, lambda rows, snap=snap, year=year: scd.scd_open_step(
+            rows, snap, ["actorid"], period=year, period_col="as_of_year", state_cols=["quality_class", "is_active"],
+            carry_cols=["actor"], start_col="start_year", end_col="end_year", retain_missing=True))
+    return store.version(LAST_SEASON, "current_year")
+
+
+def q_batched_cumulative_multi(spark, sf):
+    """C6 by per-period batches: each year stores its own films with their
+    offset and one state a person; the history is cut on read."""
+    films, path = recast.actor_films(spark, sf), scratch_path(spark, "actors-batches")
+    state = None
+    for year in range(FIRST_SEASON, LAST_SEASON + 1):
+        batch, after = cumulate.items_batch(films, state, ["actorid"], period=year, period_col="year", item_cols=_FILM_COLS,
+                                            order_col="filmid", measure="rating", classify=_actor_class, carry_cols=["actor"],
+                                            class_col="quality_class", as_of_col="as_of_year")
+        snapshots.write_period(batch, f"{path}/batches", "as_of_year")
+        snapshots.write_period(after, f"{path}/states", "as_of_year")
+        state = snapshots.read_period(spark, f"{path}/states", "as_of_year", year)
+    out = cumulate.items_as_of(state, spark.read.parquet(f"{path}/batches"), ["actorid"], period=LAST_SEASON, as_of_col="as_of_year",
+                               items_col="films")
+    return _actor_view(out)
+
+
+# keyed upsert inside a period
+
+MERGE_BUCKETS = 16
+
+
+def q_keyed_merge_datelist(spark, sf):
+    """The day's date lists are stored from its first half; the
+    keys seen in its second half are merged in by key, twice over."""
+    keys, events = ["user_id", "browser_type"], _events_with_browser(spark, sf)
+    path, day = scratch_path(spark, "keyed-datelist"), dt.date.fromisoformat(SNAPSHOT_DAY)
+    noon = F.expr(f"TIMESTAMP_NTZ '{SNAPSHOT_DAY} 12:00:00'")
+    col = "device_activity_datelist"
+    before = activity.datelist_snapshot(events, keys, "event_time", PREV_DAY, list_col=col)
+    first, second = (activity.daily_active(events.where(half), keys, "event_time", SNAPSHOT_DAY)
+                     for half in (F.col("event_time") < noon, F.col("event_time") >= noon))
+    snapshots.write_keyed(activity.datelist_step(before, first, keys, list_col=col), path, "curr_date", keys, MERGE_BUCKETS)
+    late = activity.datelist_step(before.join(second.select(*keys), keys, "left_semi"), second, keys, list_col=col)
+    for _ in range(2):
+        snapshots.merge_keyed(late, path, "curr_date", day, keys, MERGE_BUCKETS)
+    return _dates_view(snapshots.read_keyed(spark, path, "curr_date", day), keys, col)
+
+
+# state tables of the catalog, stepped by insertInto
+
+def _state_table(spark: SparkSession, kind: str) -> str:
+    """A new table of ``kind`` with a name of its own."""
+    path = scratch_path(spark, kind)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    snapshots.create_table(spark, name, path, kind=kind)
+    return name
+
+
+def q_catalog_scd_single_state(spark, sf):
+    """The players table created from its schema, filled
+    season by season with insertInto, and its streaks."""
+    name = _state_table(spark, "players")
+    for season in range(FIRST_SEASON, LAST_SEASON + 1):
+        # the table read is the one written: its state is cut off first
+        y = snapshots.cut_lineage(spark.table(name).where(F.col("current_season") == season - 1))
+        snapshots.insert_period(snapshots.as_table(_players_step(spark, sf, season, y), name), name)
+    return scd.scd_backfill(spark.table(name), ["player_id"], period_col="current_season", state_cols=["scoring_class"],
+                            start_col="start_date", end_col="end_date", current_col=None)
+
+
+def q_catalog_user_month_step(spark, sf):
+    """The month arrays as a catalog table: the month up to
+    the day before is inserted, then read, advanced and overwritten."""
+    name, ev = _state_table(spark, "array_metrics"), recast.web_events(spark, sf)
+    seed = reduced.month_array_snapshot(ev, ["user_id"], "event_time", PREV_DAY, arrays={"metric_array": "num_hits"})
+    snapshots.insert_period(snapshots.as_table(seed.withColumn("metric_name", F.lit("site_hits")), name), name)
+    prev = snapshots.cut_lineage(spark.table(name).where(F.col("month_start") == F.lit(dt.date.fromisoformat(EVENT_MONTH))))
+    snapshots.insert_period(snapshots.as_table(_user_month_step(ev, prev.drop("metric_name")), name), name)
+    return _array_text(spark.table(name).select("user_id", "month_start", "metric_name", "metric_array"), ["metric_array"])
+
+
 def _stored_datelist(spark: SparkSession, events: DataFrame, keys, day: str, prev_day: str, list_col: str) -> DataFrame:
     def step(y: DataFrame) -> DataFrame:
         return activity.datelist_step(y, activity.daily_active(events, keys, "event_time", day), keys, list_col=list_col)
@@ -647,6 +757,13 @@ def q_stream_enrich_typed(spark, sf):
     return to_wall_clock(_run(spark, s, "enrich-typed"), "event_timestamp")
 
 
+def q_geo_nested_lookup(spark, sf):
+    """Addresses looked up in nested ranges from a /8 to a /32, some not
+    aligned; the smallest range counts."""
+    e = windows.enrich_geo(recast.raw_web_events(spark, sf), recast.geo_nested(spark, sf), ts_col="event_time")
+    return e.groupBy("ip", "geodata").agg(F.count(F.lit(1)).alias("n_events"))
+
+
 def q_stream_tumble_host(spark, sf):
     """5-minute tumbling hits per host, 15 s watermark, closed windows."""
     s = windows.tumbling_counts(_raw_stream(spark, sf), "event_timestamp", ["host"])

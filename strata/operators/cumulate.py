@@ -132,6 +132,12 @@ def first_last_ratio(snapshot: DataFrame, keys: Sequence[str], measure: str, *,
 
 # -- many rows per period (actors / films) -----------------------------------
 
+def exact_mean(measure: str, decimals: int = 9) -> Column:
+    """Mean of a measure, summed as DECIMAL: the same for any order of rows,
+    so that a strict class cut does not depend on it."""
+    return F.sum(F.col(measure).cast(f"decimal(28,{decimals})")).cast("double") / F.count(measure)
+
+
 def _period_batch(rows: DataFrame, keys: Sequence[str], period_col: str, item_cols: Sequence[str],
                   order_col: str, measure: str, carry_cols: Sequence[str]) -> DataFrame:
     """Per (key, period): items sorted by ``order_col`` and the measure mean."""
@@ -139,7 +145,7 @@ def _period_batch(rows: DataFrame, keys: Sequence[str], period_col: str, item_co
     return rows.groupBy(*keys, period_col).agg(
         F.array_sort(F.collect_list(item), lambda a, b: F.when(a[order_col] < b[order_col], -1)
                      .when(a[order_col] > b[order_col], 1).otherwise(0)).alias("_items"),
-        F.avg(measure).alias("_mean"),
+        exact_mean(measure).alias("_mean"),
         *[F.max(c).alias(c) for c in carry_cols])
 
 
@@ -203,3 +209,60 @@ def cumulate_items_backfill(rows: DataFrame, keys: Sequence[str], *, first_perio
     return spine.select(*keys, *carry_cols, F.col(as_of_col),
                         F.flatten(F.transform(upto, lambda e: e["i"])).alias(items_col),
                         cls.alias(class_col), active.alias(active_col))
+
+
+def cumulate_states_backfill(rows: DataFrame, keys: Sequence[str], *, first_period: int, last_period: int,
+                             period_col: str, measure: str, classify: Classifier, carry_cols: Sequence[str] = (),
+                             carry_state: bool = False, class_col: str = "state_class", active_col: str = "is_active",
+                             as_of_col: str = "as_of", only_last: bool = False) -> DataFrame:
+    """:func:`cumulate_items_backfill` without the items: what an SCD needs.
+    Only keys, period, measure and carried columns are read; a key's periods
+    are the only thing that is collected."""
+    keys = list(keys)
+    in_range = rows.where((F.col(period_col) >= first_period) & (F.col(period_col) <= last_period))
+    means = in_range.groupBy(*keys, period_col).agg(exact_mean(measure).alias("_mean"), *[F.max(c).alias(c) for c in carry_cols])
+    per_key = means.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(period_col).alias("p"), F.col("_mean").alias("m")))).alias("_h"),
+                                       *[F.max(c).alias(c) for c in carry_cols])
+    first = F.lit(last_period) if only_last else F.col("_h")[0]["p"]
+    spine = per_key.select(*keys, *carry_cols, "_h", F.explode(F.sequence(first, F.lit(last_period))).alias(as_of_col))
+    last = F.element_at(F.filter("_h", lambda e: e["p"] <= F.col(as_of_col)), -1)
+    known = spine.select(*keys, *carry_cols, as_of_col, last.alias("_last"))
+    active = F.col("_last")["p"] == F.col(as_of_col)
+    cls = classify(F.col("_last")["m"])
+    return known.select(*keys, *carry_cols, as_of_col, (cls if carry_state else F.when(active, cls)).alias(class_col), active.alias(active_col))
+
+
+def items_batch(rows: DataFrame, state: DataFrame | None, keys: Sequence[str], *, period: int, period_col: str,
+                item_cols: Sequence[str], order_col: str, measure: str, classify: Classifier,
+                carry_cols: Sequence[str] = (), class_col: str = "state_class", active_col: str = "is_active",
+                as_of_col: str = "as_of") -> tuple[DataFrame, DataFrame]:
+    """C6 without copying the history: (batch, state) of one period.
+
+    ``batch``: the period's items of each active key with ``offset``, how
+    many the key had before. ``state``: one row a key with ``n_items``, class
+    and activity, from the ``state`` of the period before (None: the first).
+    A period costs its own rows and one join of the states; the history is
+    put together by :func:`items_as_of` when it is read.
+    """
+    keys = list(keys)
+    today = _period_batch(rows.where(F.col(period_col) == period), keys, period_col, item_cols, order_col, measure, carry_cols)
+    if state is None:
+        state = today.select(*keys, *carry_cols, F.lit(0).cast("long").alias("n_items"), F.lit(None).cast("string").alias(class_col)).limit(0)
+    j = today.alias("t").join(state.alias("l"), on=keys, how="full_outer")
+    here = F.col("t._items").isNotNull()
+    before = F.coalesce(F.col("l.n_items"), F.lit(0).cast("long"))
+    batch = j.where(here).select(*keys, F.lit(period).alias(as_of_col), before.alias("offset"), F.col("t._items").alias("items"))
+    after = j.select(*keys, *[F.coalesce(F.col(f"t.{c}"), F.col(f"l.{c}")).alias(c) for c in carry_cols], F.lit(period).alias(as_of_col),
+                     (before + F.when(here, F.size("t._items")).otherwise(0)).alias("n_items"),
+                     F.when(here, classify(F.col("t._mean"))).otherwise(F.col(f"l.{class_col}")).alias(class_col), here.alias(active_col))
+    return batch, after
+
+
+def items_as_of(state: DataFrame, batches: DataFrame, keys: Sequence[str], *, period: int, as_of_col: str = "as_of",
+                items_col: str = "items") -> DataFrame:
+    """The states of a period with each key's whole history, from the batches
+    up to the period in the order of their offsets."""
+    keys = list(keys)
+    held = batches.where(F.col(as_of_col) <= period).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("offset", "items"))).alias("_b"))
+    whole = F.flatten(F.transform("_b", lambda b: b["items"]))
+    return state.where(F.col(as_of_col) == period).join(held, keys, "left").withColumn(items_col, whole).drop("_b", "n_items")

@@ -10,6 +10,10 @@
   extended, changed → closed + opened, new → opened, missing → retained).
   The literal form needs three or four joins against the same table.
 
+* :func:`scd_open_step` — the same step over open records alone: closed
+  ones never change again, so they are stored once, by the period they end
+  in, and the daily cost follows the entities, not their history.
+
 Default comparisons are null-safe (``IS DISTINCT FROM``); the literal
 ``<>`` / ``=`` forms of the reference are options (SURVEY Q2-Q4).
 """
@@ -130,3 +134,32 @@ def scd_incremental(previous: DataFrame, snapshot: DataFrame, keys: Sequence[str
     if current_col is not None:
         out = out.withColumn(current_col, F.lit(period))
     return out
+
+
+def scd_open_step(open_records: DataFrame, snapshot: DataFrame, keys: Sequence[str], *, period: int, period_col: str,
+                  state_cols: Sequence[str], carry_cols: Sequence[str] = (), start_col: str = "start_period",
+                  end_col: str = "end_period", retain_missing: bool = True) -> DataFrame:
+    """One period over the open records of the version before.
+
+    ``open_records``: at most one record a key, ending in ``period - 1``.
+    Returns its successors with ``is_open``: open ones end in ``period``,
+    closed ones in ``period - 1``. A key that is missing from the snapshot
+    closes where ``retain_missing`` (C11); else its record is dropped (C9).
+    One full outer join of open records and snapshot; null-safe.
+    """
+    keys = list(keys)
+    cur = snapshot.where(F.col(period_col) == period)
+    j = open_records.alias("l").join(cur.alias("t"), _all([F.col(f"l.{k}") == F.col(f"t.{k}") for k in keys]), "full_outer")
+    was, now = F.col(f"l.{start_col}").isNotNull(), F.col(f"t.{period_col}").isNotNull()
+    same = _all([F.col(f"t.{c}").eqNullSafe(F.col(f"l.{c}")) for c in state_cols])
+
+    def rec(side: str, start: Column, end: int, is_open: bool) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in [*carry_cols, *state_cols]], start.cast("int").alias(start_col),
+                        F.lit(end).alias(end_col), F.lit(is_open).alias("is_open"))
+
+    begun = F.col(f"l.{start_col}")
+    extended, opened = rec("t", begun, period, True), rec("t", F.lit(period), period, True)
+    closed = rec("l", begun, period - 1, False)
+    gone = F.array(closed) if retain_missing else F.filter(F.array(closed), lambda _: F.lit(False))
+    recs = F.when(~was, F.array(opened)).when(~now, gone).when(same, F.array(extended)).otherwise(F.array(closed, opened))
+    return j.select(*[F.coalesce(F.col(f"l.{k}"), F.col(f"t.{k}")).alias(k) for k in keys], F.inline(recs))

@@ -211,6 +211,22 @@ def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat(F.lit("city-"), F.col("n_nationkey").cast("string")).alias("city")))
 
 
+def geo_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested geography: all of ``10.0.0.0/8``, an unaligned stretch for each
+    region, the nations' blocks of :func:`geo_ranges`, and single addresses
+    for suppliers (the least id where several share one)."""
+    base = F.lit(10 * 16777216).cast("long")
+    whole = spark.range(1).select(base.alias("ip_start"), (base + 16777215).alias("ip_end"), F.lit("all").alias("country"), F.lit("net").alias("state"), F.lit("-").alias("city"))
+    r = table(spark, sf_dir, "region")
+    first = base + F.col("r_regionkey").cast("long") * 1300 + 100
+    stretch = r.select(first.alias("ip_start"), (first + 1150).alias("ip_end"), F.lit("region").alias("country"), F.col("r_name").alias("state"), F.lit("-").alias("city"))
+    k = F.col("s_suppkey")
+    at = base + (k % 32) * 256 + k % 251
+    hosts = table(spark, sf_dir, "supplier").groupBy(at.alias("ip_start")).agg(F.min("s_suppkey").cast("string").alias("city"))
+    hosts = hosts.select("ip_start", F.col("ip_start").alias("ip_end"), F.lit("host").alias("country"), F.lit("supplier").alias("state"), "city")
+    return whole.unionByName(stretch).unionByName(geo_ranges(spark, sf_dir)).unionByName(hosts)
+
+
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One match per order; map = nation of the ordering customer."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
