@@ -6,7 +6,7 @@ is one that Spark can split). Each round is written to the shared folder."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.llm.common import staged
@@ -27,16 +27,42 @@ def _round(links: DataFrame) -> DataFrame:
     return down.union(low.select("u", F.col("least").alias("v"))).where(F.col("u") > F.col("v")).distinct()
 
 
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a table, and a mark of its rows, taken while it is
+    written."""
+    seen = Observation()
+    mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    table = staged(links.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("sum")), "links")
+    got = seen.get
+    return table, (got["n"], got["sum"])
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with a link to another one; the root is
     the least node of its component."""
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
-    now = staged(links.where(F.col(a) != F.col(b)).select(u, v).distinct(), "links")
+    now, mark = _written(links.where(F.col(a) != F.col(b)).select(u, v).distinct())
     seen = None
-    while True:
-        mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if mark == seen or not mark[0]:
-            break
-        now, seen = staged(_round(now), "links"), mark
+    while mark != seen and mark[0]:
+        seen = mark
+        now, mark = _written(_round(now))
     # at the end every node points to its root and roots point nowhere
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v"), F.col("v")).distinct())
+
+
+def with_root(rows: DataFrame, root: DataFrame, node: str) -> DataFrame:
+    """``rows`` with the ``root`` of ``node``: itself where it has no link."""
+    names = root.select(F.col("node").alias("__n"), "root")
+    return rows.join(names, rows[node] == names["__n"], "left").withColumn("root", F.coalesce("root", node)).drop("__n")
+
+
+def grown(root: DataFrame, links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """The components of ``root`` (as :func:`components` gives them) joined
+    by further ``links``: only links between different ones are looked at,
+    and only their roots take part in the rounds."""
+    ends = with_root(links.select(F.col(a).alias("x"), F.col(b).alias("y")), root, "x").select(F.col("root").alias("a"), "y")
+    over = components(with_root(ends, root, "y").select("a", F.col("root").alias("b")))
+    low, up = root.select("node", F.col("root").alias("__r")), over.select(F.col("node").alias("__m"), "root")
+    moved = low.join(up, low["__r"] == up["__m"], "left").select("node", F.coalesce("root", "__r").alias("root"))
+    new = over.join(root.select("node"), "node", "left_anti").select("node", "root")
+    return staged(moved.union(new), "roots")

@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import common as C
 from strata.llm.common import staged
-from strata.llm.components import components
+from strata.llm.components import components, grown, with_root
 
 #: Signatures held back in a task to link equal ones at once.
 PENDING = 1_000_000
@@ -364,25 +364,19 @@ def _linked(docs: DataFrame, text: str, keys: list[str], key: str, params: Join
     if sigs is not None:
         members = staged(members.join(sigs, "sig", "left_semi"), "members")
         found = _sets_of(docs, text, j, members.select("node"))
-        around = _around_pivots(members, found)
+        around = _around_pivots(members, found, j.crowd)
         # every set of a group against its pivot: most of what is linked at all
-        links = links.union(around.where(_close(j, F.col("pn"), F.col("n"), _apart())).select(F.col("pivot").alias("a"), F.col("node").alias("b")).where(F.col("a") != F.col("b")))
-        root = components(links)
+        near = around.where(_close(j, F.col("pn"), F.col("n"), _apart())).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        root = grown(root, near.where(F.col("a") != F.col("b")))
         new = staged(_overlapping(around, root, j), "pairs")
         if not new.isEmpty():
-            links = links.union(_similar(new, found, j))
-            root = components(links)
+            root = grown(root, _similar(new, found, j))
     return signed, root
 
 
-def _rooted(rows: DataFrame, root: DataFrame, node: str) -> DataFrame:
-    names = root.select(F.col("node").alias("__n"), "root")
-    return rows.join(names, rows[node] == names["__n"], "left").withColumn("root", F.coalesce("root", node)).drop("__n")
-
-
 def _open_buckets(members: DataFrame, root: DataFrame) -> DataFrame | None:
     """Signatures whose sets lie in different components, or None."""
-    ends = _rooted(members, root, "node").groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    ends = with_root(members, root, "node").groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     sigs = staged(ends.where(F.col("lo") != F.col("hi")).select("sig"), "open")
     return None if sigs.isEmpty() else sigs
 
@@ -405,7 +399,7 @@ def _apart() -> Column:
     return F.size("more") + F.size("less")
 
 
-def _around_pivots(members: DataFrame, found: DataFrame) -> DataFrame:
+def _around_pivots(members: DataFrame, found: DataFrame, crowd: int) -> DataFrame:
     """Buckets drawn together into groups, and each group's sets by their
     difference from a pivot: the set that is nearest to the group's majority.
 
@@ -423,8 +417,10 @@ def _around_pivots(members: DataFrame, found: DataFrame) -> DataFrame:
     size = groups.groupBy("group").agg(F.count(F.lit(1)).alias("held"))
     diff = F.concat("more", "less")
     each = rough.select(F.col("pivot").alias("group"), F.explode(diff).alias("x"))
-    # the majority's differences: at most twice as many as a set has on average
-    common = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c")).join(size, "group").where(2 * F.col("c") > F.col("held"))
+    # the majority's differences: at most twice as many as a set has on
+    # average. A crowd's majority is more than half of ``crowd``; in what is
+    # left of a smaller one any set will do as a pivot
+    common = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c")).where(2 * F.col("c") > crowd).join(size, "group").where(2 * F.col("c") > F.col("held"))
     common = common.groupBy("group").agg(F.collect_list("x").alias("common"))
     score = rough.withColumnRenamed("pivot", "group").join(common, "group", "left")
     far = _apart() - 2 * F.size(F.array_intersect(diff, F.coalesce("common", F.array().cast("array<bigint>"))))
@@ -444,7 +440,7 @@ def _overlapping(around: DataFrame, root: DataFrame, j: Join) -> DataFrame:
     most = F.floor((F.col("n") + F.floor(F.col("n") * j.den / j.num)) * (j.den - j.num) / (j.den + j.num))
     enough_more = F.size("more") > most
     rows = around.select("group", "node", "n", _apart().alias("d"), most.alias("most"), F.when(enough_more, F.col("more")).otherwise(F.concat("more", "less")).alias("seen"), F.size("more").alias("m"))
-    rows = _rooted(rows, root, "node")
+    rows = with_root(rows, root, "node")
     each = rows.select("group", "node", "n", "d", "most", "root", "m", F.posexplode("seen").alias("k", "x"))
     often = each.groupBy("group", "x").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi"))
     kept = each.join(often.select("group", "x", "c"), ["group", "x"])
@@ -468,7 +464,7 @@ def _overlapping(around: DataFrame, root: DataFrame, j: Join) -> DataFrame:
 def _named(signed: DataFrame, key: str, root: DataFrame) -> DataFrame:
     full = signed.where(F.col("n") > 0)
     least = full.groupBy("node").agg(F.min(key).alias("least"))
-    rooted = _rooted(least, root, "node")
+    rooted = with_root(least, root, "node")
     names = rooted.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "r")
     # written, so that the last join reads two plain tables and can be split
     names = staged(rooted.join(names, rooted["root"] == names["r"]).select(F.col("node").alias("n_node"), "component"), "names")
@@ -485,7 +481,7 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", params
     signed, root = _linked(docs, text, [key, "rid", "hash"], key, params)
     lead = F.struct(F.col(key).isNull().alias("unkeyed"), F.col("rid"), F.col("hash"))
     least = signed.where(F.col("n") > 0).groupBy("node").agg(F.min(lead).alias("l"))
-    leaders = _rooted(least, root, "node").groupBy("root").agg(F.min("l").alias("l"))
+    leaders = with_root(least, root, "node").groupBy("root").agg(F.min("l").alias("l"))
     # written, so that the last join reads two plain tables and can be split
     leaders = staged(leaders.select(F.col("l.rid").alias("__rid"), F.col("l.hash").alias("__hash")), "leaders")
     rid = F.coalesce(F.col(key).cast("long"), F.xxhash64(text))

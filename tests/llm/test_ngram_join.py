@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from strata.llm import ngram_join as J
-from strata.llm.components import components
+from strata.llm.components import components, grown
 
 
 def _sets(text, width):
@@ -168,6 +168,11 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in list(root)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    # links that come later join components without going through all links
+    half = len(links) // 2
+    edges = lambda x: spark.createDataFrame(x, "a long, b long")
+    for first, later in ((links[:half], links[half:]), ([], links), (links, []), (links, links[:9])):
+        assert {r.node: r.root for r in grown(components(edges(first)), edges(later)).collect()} == got
 
 
 def test_one_of_each_keeps_rows_and_columns(spark):
