@@ -652,18 +652,17 @@ def q_match_csv_rows(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
-def bucketed_match_tables(spark, sf):
-    """The three match facts bucketed on match_id; the bucket count
-    follows from the bytes of the largest input. Table names are fixed, so
-    a second run replaces the tables of the first."""
+def bucketed_match_tables(spark, sf) -> dict[str, str]:
+    """The three match facts bucketed on match_id, by name; the bucket
+    count follows from the bytes of the largest input. Each run has tables of
+    its own."""
     size = layout.stored_bytes(spark, f"{sf.rstrip('/')}/lineitem.parquet").first()["total_bytes"]
     buckets = layout.bucket_count(size, BUCKET_BYTES)
     out = {}
     for name in BUCKETED:
-        tname = f"bucketed_{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {tname}")
-        df = getattr(recast, name)(spark, sf)
-        out[name] = layout.write_bucketed(df, tname, scratch_path(spark, tname), "match_id", buckets)
+        path = scratch_path(spark, f"bucketed-{name}")
+        out[name] = path.rsplit("/", 1)[-1].replace("-", "_")
+        layout.write_bucketed(getattr(recast, name)(spark, sf), out[name], path, "match_id", buckets)
     return out
 
 
@@ -675,12 +674,12 @@ def q_bucket_join(spark, sf):
     join keys) keeps the whole fact join free of ``Exchange``. The setting
     that allows it holds in a session of the query's own.
     """
-    bucketed_match_tables(spark, sf)
+    tables = bucketed_match_tables(spark, sf)
     own = spark.newSession()
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    b = {name: own.table(f"bucketed_{name}") for name in BUCKETED}
+    b = {name: own.table(t) for name, t in tables.items()}
     return matches.join_match_facts(b["match_details"], b["matches"], b["medals_matches_players"],
                                     recast.medals(own, sf), recast.maps(own, sf))
 

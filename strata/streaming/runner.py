@@ -8,7 +8,9 @@ shared storage, so a restarted query resumes from its checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import threading
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,25 +28,33 @@ def file_stream(spark: SparkSession, folder: str, file_name: str, *,
     return r.parquet(folder)
 
 
+_STARTING = threading.Lock()
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """The number of state-store partitions of a query that is started
+    inside. Spark reads it from the session when a query first starts (and
+    keeps it in the checkpoint), so it is set for that moment only, one query
+    at a time; a query that runs has a copy of the session's settings."""
+    key = "spark.sql.shuffle.partitions"
+    with _STARTING:
+        before = spark.conf.get(key)
+        if n:
+            spark.conf.set(key, str(n))
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
+
+
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint_path: str, *,
                       output_mode: str = "append", state_partitions: int | None = None) -> str:
     """Process everything available, write Parquet to ``sink_path``, stop.
-
-    ``state_partitions`` fixes the number of state-store partitions of a
-    new query (Spark takes it from ``spark.sql.shuffle.partitions`` when the
-    query first starts and keeps it in the checkpoint); the session value is
-    restored afterwards.
-    """
-    conf = stream.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        q = (stream.writeStream.format("parquet").outputMode(output_mode)
-             .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start(sink_path))
-        q.awaitTermination()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    ``state_partitions``: see :func:`start_parquet_sink`."""
+    q = start_parquet_sink(stream, sink_path, checkpoint_path, trigger="available_now", output_mode=output_mode,
+                           state_partitions=state_partitions)
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return sink_path
@@ -84,14 +94,8 @@ def start_parquet_sink(stream: DataFrame, sink_path: str, checkpoint_path: str,
     w = w.trigger(availableNow=True) if trigger == "available_now" else w.trigger(processingTime=trigger)
     if name:
         w = w.queryName(name)
-    conf = stream.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
+    with _state_partitions(stream.sparkSession, state_partitions):
         return w.start(sink_path)
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def start_many(streams: Mapping[str, DataFrame], sink_root: str, checkpoint_root: str, *,
@@ -112,9 +116,10 @@ def kafka_value(df: DataFrame, key_col: str | None = None) -> DataFrame:
 
 
 def jdbc_batch_writer(url: str, table: str, properties: Mapping[str, str]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending each micro-batch to a JDBC table
-    (the reference's PostgreSQL sinks); Spark retries a failed batch with
-    the same ``epoch_id``."""
+    """``foreachBatch`` function for a JDBC sink (the reference's PostgreSQL
+    tables). Spark repeats a failed batch with the same ``epoch_id``, so each
+    epoch is a staging table of its own, ``<table>__epoch_<id>``, that a
+    repeated batch replaces; the database moves staged epochs on."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").jdbc(url, table, properties=dict(properties))
+        batch.write.mode("overwrite").jdbc(url, f"{table}__epoch_{epoch_id}", properties=dict(properties))
     return write
