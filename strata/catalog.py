@@ -9,6 +9,7 @@ orders span 1995-2001, events span 2024-01-01 .. 2024-01-30.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions import udfs
 from strata.functions.columns import history_text, tier
 from strata.operators import activity, constraints, cumulate, facts, graph, matches, quality, reduced, scd, sqltext
 from strata.operators.joins import first_per_key
@@ -717,6 +719,13 @@ def q_layout_sizes(spark, sf):
     return layout.layout_bytes(spark, paths)
 
 
+def q_layout_shares(spark, sf):
+    """Of each layout of the matches table how its rows, as stored, are
+    spread over the partition folders, and which layout takes most bytes."""
+    paths = layout.partition_experiment(recast.matches(spark, sf), "playlist_id", "mapid", scratch_path(spark, "layout"))
+    return layout.layout_shares(spark, paths, {"low_cardinality": "playlist_id", "low_cardinality_sorted": "playlist_id", "high_cardinality": "mapid"})
+
+
 def q_layout_contents(spark, sf):
     """Both experiments (by playlist and by map) read back: rows and
     distinct values of each layout."""
@@ -763,6 +772,15 @@ def q_geo_nested_lookup(spark, sf):
     return e.groupBy("ip", "geodata").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+def q_sql_location_udf(spark, sf):
+    """A vectorised lookup registered as a function and called from
+    SQL, over the nations' address ranges."""
+    name = f"get_location_{uuid.uuid4().hex[:8]}"
+    find = udfs.range_finder(recast.geo_ranges(spark, sf), "ip_start", "ip_end", ["country", "state", "city"])
+    udfs.register_location_udf(spark, find, name)
+    return spark.sql(f"SELECT {name}(ip) AS geodata, host, count(*) AS n_events FROM {{events}} GROUP BY ALL", events=recast.raw_web_events(spark, sf))
+
+
 def q_stream_tumble_host(spark, sf):
     """5-minute tumbling hits per host, 15 s watermark, closed windows."""
     s = windows.tumbling_counts(_raw_stream(spark, sf), "event_timestamp", ["host"])

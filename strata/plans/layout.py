@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +103,23 @@ def layout_bytes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def layout_shares(spark: SparkSession, paths: dict[str, str], partition_cols: dict[str, str]) -> DataFrame:
+    """Rows of each partition folder of each layout with their share of the
+    layout's rows, and whether the layout takes more bytes than the others.
+    Rows and bytes come from the stored files (``_metadata``)."""
+    parts = []
+    for name, p in paths.items():
+        folder = F.regexp_extract("_metadata.file_path", f"/{partition_cols[name]}=([^/]*)/", 1)
+        files = spark.read.parquet(p).groupBy(F.lit(name).alias("layout"), F.url_decode(folder).alias("folder"), F.col("_metadata.file_path").alias("file"))
+        parts.append(files.agg(F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("bytes")))
+    files = reduce(DataFrame.unionByName, parts)
+    whole = files.groupBy("layout").agg(F.sum("n").alias("all_rows"), F.sum("bytes").alias("all_bytes"))
+    whole = whole.withColumn("most", F.max("all_bytes").over(Window.partitionBy(F.lit(0))))  # a row a layout
+    by_folder = files.groupBy("layout", "folder").agg(F.sum("n").alias("n_rows"))
+    out = by_folder.join(whole, "layout")
+    return out.select("layout", "folder", "n_rows", (F.col("n_rows") / F.col("all_rows")).alias("row_share"), (F.col("all_bytes") == F.col("most")).alias("is_largest"))
+
+
 def layout_contents(spark: SparkSession, paths: dict[str, str], columns: Sequence[str]) -> DataFrame:
     """What each layout holds when read back: its rows and the distinct
     values of ``columns``, the same for every layout of the same rows."""
