@@ -37,7 +37,10 @@ Defined results: a text without words, or null, has an empty set, links with
 nothing and is its own component; with fewer words than ``width`` the whole
 sequence is the only element; rows with equal sets are linked, also when
 their key repeats or is null; the component is named by its least non-null
-key; an empty table gives an empty result.
+key; whole texts are read, however long; an empty table gives an empty
+result. ``join`` returns columns of its own and reads only the key and the
+text, whatever the others are called; ``one_of_each`` keeps all columns
+(names starting with ``__`` are reserved).
 """
 
 from __future__ import annotations
@@ -66,8 +69,9 @@ class Join:
     width: int = 3
     #: Sets of a bucket up to which all its pairs are counted.
     crowd: int = 16
-    #: Size of the broadcast filter of sets to verify (2**26 bits: 8 MB).
-    filter_bits: int = 26
+    #: Largest broadcast filter of sets to verify (2**28 bits: 32 MB); it has
+    #: about 16 bits a set, so that few others pass.
+    filter_bits: int = 28
 
 
 @cache
@@ -284,8 +288,8 @@ def _described(docs: DataFrame, text: str, keys: list[str], j: Join) -> DataFram
 def _sets_of(docs: DataFrame, text: str, j: Join, nodes: DataFrame) -> DataFrame:
     """(node, elements) of the ``nodes``, and of a few others that pass for
     them: the texts are read again, and stay where they are."""
-    wanted = docs.sparkSession.sparkContext.broadcast(_maybe(nodes, j.filter_bits))
-    bits = j.filter_bits
+    bits = min(j.filter_bits, max(12, (16 * nodes.count()).bit_length()))
+    wanted = docs.sparkSession.sparkContext.broadcast(_maybe(nodes, bits))
 
     def maybe(node: int) -> bool:
         words = wanted.value

@@ -21,9 +21,10 @@ without a known length only behind a cue) and ``account`` (a number of 6 to
 17 digits behind a cue word such as *account* or *Konto* and words such as
 *number is*, in any case).
 
-Defined results: null and empty texts have no spans; spans are sorted by
-start, then kind; repeated rows give repeated results; an empty table gives
-an empty table; columns not asked for with ``keep`` are left out.
+Defined results: null and empty texts have no spans; whole texts are
+searched, however long; spans are sorted by start, then kind; repeated rows give repeated results; an empty table gives
+an empty table; ``find_pii`` leaves out columns not asked for with ``keep``
+(one named ``spans`` cannot be kept), ``redact`` keeps all of them.
 """
 
 from __future__ import annotations

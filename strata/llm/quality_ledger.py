@@ -7,6 +7,7 @@ bitwise aggregation what each rule removes, alone or together with others,
 without touching a text again.
 
 Defined results: a null or empty text has no words, so every count is 0;
+whole texts are measured, however long;
 ties and repeated rows are judged row by row; an empty table gives an empty
 ledger; other columns of the input, also ones named like a measurement, are
 not carried along unless asked for with ``keep``.

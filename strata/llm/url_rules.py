@@ -13,7 +13,10 @@ shuffle. Support and confidence alone bound what is mined.
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule and gets the default verdict; equally sure rules are
 ranked by support, then by their text; repeated rows are judged alike;
-with nothing labelled there are no mined rules.
+whole urls are read, however long; with nothing labelled there are no mined
+rules, and an empty table gives an empty result. Input columns named
+``host``, ``path``, ``rule``, ``verdict``, ``mined_rule`` or ``confidence``
+are replaced, all others pass through.
 """
 
 from __future__ import annotations
