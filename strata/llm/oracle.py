@@ -65,14 +65,17 @@ ends AS (SELECT *, epoch * total + sum(tokens) OVER (PARTITION BY source, epoch
 SELECT doc_id, source, CAST(epoch AS BIGINT) AS epoch, CAST((stop - tokens) // part AS BIGINT) AS block, tokens, slot FROM ends WHERE stop <= quota"""
 
 
+#: The rules in the order of their bits.
+FAILS = {
+    "few_words": "n_words < 50", "repeated_words": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > n_words",
+    "shouting": "100 * n_upper > 40 * word_chars", "bangs": "10 * n_bangs > n_words", "repeated_lines": "100 * n_dup_lines > 50 * n_lines",
+    "short_words": "10 * word_chars < 20 * n_words", "long_words": "word_chars > 20 * n_words",
+}
+
+
 def _quality() -> str:
-    fails = {
-        "few_words": "n_words < 50", "repeated_words": "100 * n_repeat_words > 50 * n_words", "symbols": "10 * n_symbols > n_words",
-        "shouting": "100 * n_upper > 40 * word_chars", "bangs": "10 * n_bangs > n_words", "repeated_lines": "100 * n_dup_lines > 50 * n_lines",
-        "short_words": "10 * word_chars < 20 * n_words", "long_words": "word_chars > 20 * n_words",
-    }
-    bits = " + ".join(f"CASE WHEN {fails[name]} THEN {1 << bit} ELSE 0 END" for bit, (name) in enumerate(fails))
-    kept = " AND ".join(f"NOT ({fails[n]})" for n in quality_ledger.POLICIES[2])
+    bits = " + ".join(f"CASE WHEN {FAILS[name]} THEN {1 << bit} ELSE 0 END" for bit, (name) in enumerate(FAILS))
+    kept = " AND ".join(f"NOT ({FAILS[n]})" for n in quality_ledger.POLICIES[2])
     return f"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws,
@@ -89,6 +92,15 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed, ({kept}) AS kept, CAST({bits} AS BIGINT) AS failed FROM m"""
 
 
+def _ablation() -> str:
+    bits = {name: 1 << bit for bit, name in enumerate(FAILS)}
+    policy = quality_ledger.POLICIES[2]
+    whole = sum(bits[n] for n in policy)
+    rows = [f"SELECT '{n}' AS rule, count(*) AS n, count(CASE WHEN failed & {whole} = 0 THEN 1 END) AS kept, count(CASE WHEN failed & {bits[n]} <> 0 THEN 1 END) AS n_failed, count(CASE WHEN failed & {whole} = {bits[n]} THEN 1 END) AS n_only, "
+            f"count(CASE WHEN failed & {whole - bits[n]} = 0 THEN 1 END) AS n_kept_without FROM book" for n in policy]
+    return f"WITH book AS ({_quality()}) " + " UNION ALL ".join(rows)
+
+
 def _license() -> str:
     """All windows that share enough bigrams, by counting: each bigram that a
     text has in common with a template lies in as many windows as the
@@ -148,6 +160,7 @@ ORACLE = {
     "op1_chat_format": _chat(),
     "op4_mix_sources": _mix(),
     "op5_quality_ledger": _quality(),
+    "quality_ablation": _ablation(),
     "op6_license_scan": _license(),
     "op7_ngram_jaccard_join": _join(),
     "op12_hard_negatives": _negatives(),

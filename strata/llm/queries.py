@@ -68,6 +68,11 @@ def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", quality_ledger.rejected(quality_ledger.BASE).alias("base_failed"), "kept", "failed")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the second policy rejects, alone and with others."""
+    return quality_ledger.ablation(quality_ledger.ledger(quality_ledger.measure(load(spark, sf_dir, "documents"))), 2)
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The places of licence notices in every document, by the best licence
     at each place."""
@@ -140,4 +145,4 @@ def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(pages, main_text.fit(pages))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_url_filter, op4_mix_sources, op5_quality_ledger, op6_license_scan, op7_ngram_jaccard_join, op8_language_id, op9_decontaminate, op10_pii_anchors, op11_whiten_embeddings, op12_hard_negatives, op13_main_text)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_toxicity, op3_url_filter, op4_mix_sources, op5_quality_ledger, op6_license_scan, op7_ngram_jaccard_join, op8_language_id, op9_decontaminate, op10_pii_anchors, op11_whiten_embeddings, op12_hard_negatives, op13_main_text, quality_ablation)}

@@ -1,9 +1,12 @@
 """The pipeline's stages, one after the other, and odd inputs."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 from test_ngram_join import brute  # noqa: E402
+from test_text_rules import _brute_spans as base_spans
 
 import __spark_entry__ as E
 import corpus_pipeline as P
@@ -53,19 +56,37 @@ def test_passages_go(stages):
 
 
 def test_personal_data_is_replaced(stages):
-    assert {r.doc_id for r in stages[3]} == {r.doc_id for r in stages[4]}
-    finder = pii_anchors.Finder()
-    assert any(finder.spans(r.text) for r in stages[3])
-    for r in stages[4]:
-        assert not finder.spans(r.text)
-        assert r.n_chars == len(r.text)
-
-
-def test_mix_deals_out_known_documents(stages):
+    """Held against patterns alone: nothing they find is left, and where only
+    they find something (no scheme, cue word or account), the text is the old
+    one with placeholders in those places."""
+    after = {r.doc_id: r for r in stages[4]}
+    assert {r.doc_id for r in stages[3]} == set(after)
+    replaced = 0
+    for r in stages[3]:
+        now = after[r.doc_id]
+        assert not base_spans(now.text) and now.n_chars == len(now.text)
+        spans = base_spans(r.text)
+        apart = all(a[2] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+        other = "://" in r.text or any(c in r.text.lower() for c in pii_anchors.CUES) or re.search(r"[A-Za-z]{2}\d{2}", r.text)
+        if apart and not other:
+            want, at = "", 0
+            for start, kind, end in spans:
+                want, at = want + r.text[at:start] + f"[{pii_anchors.BASE[kind].upper()}]", end
+            assert now.text == want + r.text[at:]
+            replaced += bool(spans)
+    assert replaced > 20
+
+
+def test_mix_equals_its_sql(stages):
+    """The stage's rows are the placements that the mixing query's SQL gives
+    for the documents before it."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(r.doc_id, r.source, r.text) for r in stages[4]])
+    want = con.execute(f"SELECT doc_id, epoch, block, slot FROM ({ORACLE['op4_mix_sources']})").fetchall()
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.epoch, r.block, r.slot)) for r in stages[5])
     kept = {r.doc_id: r for r in stages[4]}
-    assert {r.doc_id for r in stages[5]} <= set(kept)
-    assert all(r.text == kept[r.doc_id].text for r in stages[5])
-    assert len(stages[5]) > 0.9 * len(kept)
+    assert all(tuple(r)[:5] == tuple(kept[r.doc_id])[:5] for r in stages[5])
 
 
 def test_run_equals_its_stages(spark, stages):
@@ -100,13 +121,13 @@ def test_registered():
     q, o = E.queries(), E.oracle_sql()
     assert set(QUERIES) | {"pipeline"} <= set(q)
     assert set(ORACLE) <= set(o)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLE)))
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
     got = QUERIES[name](spark, "/root/testdata/sf0.001")
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE[name]})").fetchall()
