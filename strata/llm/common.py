@@ -193,10 +193,18 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def drawn(rows: DataFrame, label: str, hashed: str, most: int) -> DataFrame:
-    """(label, hash) of a sample: the ``most`` least distinct hashes of each
-    label, at most that many rows a label however the rows are spread. Each
-    task cuts its rows down before they are shuffled."""
+def drawn(rows: DataFrame, label: str, hashed: str, most: int) -> tuple[DataFrame, dict]:
+    """((label, hash) of a sample, distinct hashes of each label). The sample
+    is the ``most`` least distinct hashes of each label: exactly so many rows
+    (all, if fewer), however the rows are spread. Hashes that cannot be among
+    them, by the label's number and four times over, are left out before
+    anything is shuffled. The labels come to the driver."""
+    pairs = rows.select(label, hashed)
+    counts = {r[0]: r["count"] for r in pairs.distinct().groupBy(label).count().collect()}
+    place = F.col(hashed).cast("double") / 2.0**64 + 0.5  # hashes lie evenly in 0 to 1
+    low = F.lit(False)
+    for value, n in counts.items():
+        low = low | ((F.col(label) == value) & (place <= min(1.0, 4 * most / n)))
     order = Window.partitionBy(label).orderBy(hashed)
-    first = rows.select(label, hashed).distinct().withColumn("__at", F.row_number().over(order))
-    return first.where(F.col("__at") <= most).select(label, hashed)
+    first = pairs.where(low).distinct().withColumn("__at", F.row_number().over(order))
+    return first.where(F.col("__at") <= most).select(label, hashed), counts

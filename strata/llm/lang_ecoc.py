@@ -149,7 +149,7 @@ def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str =
     known = src.select("y").distinct().limit(p.max_languages + 1).count()
     if known > p.max_languages:
         raise ValueError(f"more than max_languages={p.max_languages} labels")
-    few = F.broadcast(C.drawn(src, "y", "o", max(1, min(p.max_train_rows, p.max_sample_rows // max(known, 1)))))
+    few = F.broadcast(C.drawn(src, "y", "o", max(1, min(p.max_train_rows, p.max_sample_rows // max(known, 1))))[0])
     rows = featurise(src.join(few, ["y", "o"]), "t", ("y", "o"), p.bits).dropDuplicates(["y", "o"]).toPandas()
     languages = tuple(sorted(set(rows.y)))
     if not languages:

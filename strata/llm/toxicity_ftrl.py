@@ -125,10 +125,9 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, label: str = "toxic",
     else:  # one row a key and label
         one = marked(labels.select(F.col(key).alias("k"), F.col(label).alias("y"))).distinct()
         narrow = named.select("k", "o").join(one, "k").select("y", "o")
-    counts = {r.y: r["count"] for r in narrow.distinct().groupBy("y").count().collect()}
+    few, counts = C.drawn(narrow, "y", "o", p.max_train_rows)
+    few = F.broadcast(few)  # bounded: max_train_rows a class
     share = {y: min(1.0, p.max_train_rows / n) for y, n in counts.items()}
-    # bounded: max_train_rows a class
-    few = F.broadcast(C.drawn(narrow, "y", "o", p.max_train_rows))
     met = named.select("o", "t").join(few, "o") if labels is not None else marked(named).join(few, ["y", "o"])
     sample = featurise(met.select("y", "o", "t"), "t", ("y", "o"), p.bits).dropDuplicates(["y", "o"])
 

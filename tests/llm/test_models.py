@@ -192,7 +192,7 @@ def test_one_key_holds_a_language(spark, key):
     got = lang_ecoc.predict(df, model, keep=("lang",)).collect()
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.99
     hashed = df.select(F.col("lang").alias("y"), F.xxhash64("text").alias("o"))
-    counts = {r.y: r["count"] for r in common.drawn(hashed, "y", "o", 200).groupBy("y").count().collect()}
+    counts = {r.y: r["count"] for r in common.drawn(hashed, "y", "o", 200)[0].groupBy("y").count().collect()}
     assert counts == {"en": 200, "fr": 200}
 
 
