@@ -536,7 +536,8 @@ def q_keyed_merge_datelist(spark, sf):
 # state tables of the catalog, stepped by insertInto
 
 def _state_table(spark: SparkSession, kind: str) -> str:
-    """A new table of ``kind`` with a name of its own."""
+    """A new table of ``kind`` with a name of its own; the caller drops the
+    name when its result is planned (the files stay)."""
     path = scratch_path(spark, kind)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     snapshots.create_table(spark, name, path, kind=kind)
@@ -551,8 +552,10 @@ def q_catalog_scd_single_state(spark, sf):
         # the table read is the one written: its state is cut off first
         y = snapshots.cut_lineage(spark.table(name).where(F.col("current_season") == season - 1))
         snapshots.insert_period(snapshots.as_table(_players_step(spark, sf, season, y), name), name)
-    return scd.scd_backfill(spark.table(name), ["player_id"], period_col="current_season", state_cols=["scoring_class"],
-                            start_col="start_date", end_col="end_date", current_col=None)
+    streaks = scd.scd_backfill(spark.table(name), ["player_id"], period_col="current_season", state_cols=["scoring_class"],
+                               start_col="start_date", end_col="end_date", current_col=None)
+    spark.sql(f"DROP TABLE {name}")
+    return streaks
 
 
 def q_catalog_user_month_step(spark, sf):
@@ -563,7 +566,9 @@ def q_catalog_user_month_step(spark, sf):
     snapshots.insert_period(snapshots.as_table(seed.withColumn("metric_name", F.lit("site_hits")), name), name)
     prev = snapshots.cut_lineage(spark.table(name).where(F.col("month_start") == F.lit(dt.date.fromisoformat(EVENT_MONTH))))
     snapshots.insert_period(snapshots.as_table(_user_month_step(ev, prev.drop("metric_name")), name), name)
-    return _array_text(spark.table(name).select("user_id", "month_start", "metric_name", "metric_array"), ["metric_array"])
+    out = _array_text(spark.table(name).select("user_id", "month_start", "metric_name", "metric_array"), ["metric_array"])
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 def _stored_datelist(spark: SparkSession, events: DataFrame, keys, day: str, prev_day: str, list_col: str) -> DataFrame:
@@ -682,8 +687,11 @@ def q_bucket_join(spark, sf):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     b = {name: own.table(t) for name, t in tables.items()}
-    return matches.join_match_facts(b["match_details"], b["matches"], b["medals_matches_players"],
-                                    recast.medals(own, sf), recast.maps(own, sf))
+    joined = matches.join_match_facts(b["match_details"], b["matches"], b["medals_matches_players"],
+                                      recast.medals(own, sf), recast.maps(own, sf))
+    for t in tables.values():  # the plan holds the files and their buckets; the names are not needed any more
+        spark.sql(f"DROP TABLE {t}")
+    return joined
 
 
 def q_avg_per_player(spark, sf):
@@ -777,7 +785,7 @@ def q_sql_location_udf(spark, sf):
     SQL, over the nations' address ranges."""
     name = f"get_location_{uuid.uuid4().hex[:8]}"
     find = udfs.range_finder(recast.geo_ranges(spark, sf), "ip_start", "ip_end", ["country", "state", "city"])
-    udfs.register_location_udf(spark, find, name)
+    udfs.register_location_udf(spark, find, name, compact=True)
     return spark.sql(f"SELECT {name}(ip) AS geodata, host, count(*) AS n_events FROM {{events}} GROUP BY ALL", events=recast.raw_web_events(spark, sf))
 
 

@@ -19,20 +19,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def location_udf(lookup: Callable[[str], dict | None]):
+def location_udf(lookup: Callable[[str], dict | None], *, compact: bool = False):
     """Pandas UDF: first address of a comma list → JSON of ``lookup(addr)``,
-    ``{}`` when blank or unknown."""
+    ``{}`` when blank or unknown; ``compact``: as ``to_json`` writes it."""
+    style = {"separators": (",", ":"), "ensure_ascii": False} if compact else {}
+
     @F.pandas_udf("string")
     def get_location(ip: pd.Series) -> pd.Series:
         first = ip.fillna("").str.split(",").str[0].str.strip()
-        return first.map(lambda a: json.dumps(lookup(a) or {}, separators=(",", ":"), ensure_ascii=False) if a else "{}")
+        return first.map(lambda a: json.dumps(lookup(a) or {}, **style) if a else "{}")
     return get_location
 
 
 def register_location_udf(spark: SparkSession, lookup: Callable[[str], dict | None],
-                          name: str = "get_location"):
+                          name: str = "get_location", *, compact: bool = False):
     """Register :func:`location_udf` for use in ``spark.sql``."""
-    fn = location_udf(lookup)
+    fn = location_udf(lookup, compact=compact)
     spark.udf.register(name, fn)
     return fn
 
