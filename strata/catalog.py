@@ -536,8 +536,8 @@ def q_keyed_merge_datelist(spark, sf):
 # state tables of the catalog, stepped by insertInto
 
 def _state_table(spark: SparkSession, kind: str) -> str:
-    """A new table of ``kind`` with a name of its own; the caller drops the
-    name when its result is planned (the files stay)."""
+    """A new table of ``kind`` with a name of its own. It stays: a plan over
+    a partitioned table looks its partitions up when it runs."""
     path = scratch_path(spark, kind)
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     snapshots.create_table(spark, name, path, kind=kind)
@@ -552,10 +552,8 @@ def q_catalog_scd_single_state(spark, sf):
         # the table read is the one written: its state is cut off first
         y = snapshots.cut_lineage(spark.table(name).where(F.col("current_season") == season - 1))
         snapshots.insert_period(snapshots.as_table(_players_step(spark, sf, season, y), name), name)
-    streaks = scd.scd_backfill(spark.table(name), ["player_id"], period_col="current_season", state_cols=["scoring_class"],
-                               start_col="start_date", end_col="end_date", current_col=None)
-    spark.sql(f"DROP TABLE {name}")
-    return streaks
+    return scd.scd_backfill(spark.table(name), ["player_id"], period_col="current_season", state_cols=["scoring_class"],
+                            start_col="start_date", end_col="end_date", current_col=None)
 
 
 def q_catalog_user_month_step(spark, sf):
@@ -566,9 +564,7 @@ def q_catalog_user_month_step(spark, sf):
     snapshots.insert_period(snapshots.as_table(seed.withColumn("metric_name", F.lit("site_hits")), name), name)
     prev = snapshots.cut_lineage(spark.table(name).where(F.col("month_start") == F.lit(dt.date.fromisoformat(EVENT_MONTH))))
     snapshots.insert_period(snapshots.as_table(_user_month_step(ev, prev.drop("metric_name")), name), name)
-    out = _array_text(spark.table(name).select("user_id", "month_start", "metric_name", "metric_array"), ["metric_array"])
-    spark.sql(f"DROP TABLE {name}")
-    return out
+    return _array_text(spark.table(name).select("user_id", "month_start", "metric_name", "metric_array"), ["metric_array"])
 
 
 def _stored_datelist(spark: SparkSession, events: DataFrame, keys, day: str, prev_day: str, list_col: str) -> DataFrame:
