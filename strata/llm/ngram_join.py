@@ -246,18 +246,25 @@ def _counted_pairs(buckets: DataFrame, j: Join) -> DataFrame:
     return small.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("c"))
 
 
-def _maybe(node: DataFrame, bits: int) -> np.ndarray:
-    """Bloom filter of the nodes, ``2**bits`` bits whatever their number:
-    only its non-zero words come to the driver."""
-    low = F.lit((1 << bits) - 1)
-    place = F.explode(F.array(F.col("node").bitwiseAND(low), F.shiftrightunsigned("node", 64 - bits)))
-    words = node.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("x"))
+def _maybe(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bloom filter of a column of hashes, ``2**bits`` bits whatever their
+    number: only its non-zero words come to the driver."""
+    h = F.col(hashes.columns[0])
+    place = F.explode(F.array(h.bitwiseAND(F.lit((1 << bits) - 1)), F.shiftrightunsigned(h, 64 - bits)))
+    words = hashes.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("x"))
     out = np.zeros(max(1, (1 << bits) >> 6), np.uint64)
     rows = words.toPandas()
     out[rows.w.to_numpy(np.int64)] = rows.x.to_numpy(np.int64).view(np.uint64)
     return out
 
 
+def _passes(words: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes the filter lets pass."""
+    h = hashes.view(np.uint64)
+    held = lambda p: words[p >> C.U(6)] >> (p & C.U(63)) & C.U(1) != 0
+    return held(h & C.U((1 << bits) - 1)) & held(h >> C.U(64 - bits))
+
+
 def _described(docs: DataFrame, text: str, keys: list[str], j: Join) -> DataFrame:
     """``keys``, set size and node of each row; the first time a task meets a
     node, also its segments in use and most differences in both schemes."""
@@ -285,28 +292,27 @@ def _described(docs: DataFrame, text: str, keys: list[str], j: Join) -> DataFram
     return src.mapInArrow(run, schema)
 
 
-def _sets_of(docs: DataFrame, text: str, j: Join, nodes: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, text: str, j: Join, nodes: DataFrame, signed: DataFrame) -> DataFrame:
     """(node, elements) of the ``nodes``, and of a few others that pass for
-    them: the texts are read again, and stay where they are."""
-    bits = min(j.filter_bits, max(12, (16 * nodes.count()).bit_length()))
-    wanted = docs.sparkSession.sparkContext.broadcast(_maybe(nodes, bits))
-
-    def maybe(node: int) -> bool:
-        words = wanted.value
-        places = (node & ((1 << bits) - 1), (node & ((1 << 64) - 1)) >> (64 - bits))
-        return all(int(words[p >> 6]) >> (p & 63) & 1 for p in places)
+    them. The texts are read again, and stay where they are: one text of each
+    node is picked by its hash, and only texts whose hash passes a broadcast
+    filter of these are cut into words."""
+    picked = signed.groupBy("node").agg(F.min("hash").alias("hash")).join(nodes.select("node").distinct(), "node", "left_semi").select("hash")
+    bits = min(j.filter_bits, max(12, (16 * picked.count()).bit_length()))
+    wanted = docs.sparkSession.sparkContext.broadcast(_maybe(picked, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         for batch in batches:
+            batch = batch.filter(pa.array(_passes(wanted.value, bits, batch.column(1).to_numpy())))
             for part in C.slices(batch, "__text"):
-                found = {node: u.view(np.int64) for u in sets(part.column(0), j.width) if len(u) and (node := node_of(u)) not in given and maybe(node)}
+                found = {node: u.view(np.int64) for u in sets(part.column(0), j.width) if len(u) and (node := node_of(u)) not in given}
                 given.update(found)
                 if len(given) > PENDING:
                     given.clear()
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))], names=["node", "elements"])
 
-    rows = docs.select(F.col(text).alias("__text")).mapInArrow(run, "node long, elements array<long>")
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("__text"), "hash").mapInArrow(run, "node long, elements array<long>")
     return staged(rows.dropDuplicates(["node"]), "sets")
 
 
@@ -335,12 +341,12 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", params: Join
     """One row a document: ``key``, ``rid`` (the key, or a hash of the text
     where it is null), ``n`` (set size), ``node`` (set) and ``component``
     (least key of the component)."""
-    signed, root = _linked(docs, text, [key, "rid"], key, params)
+    signed, root = _linked(docs, text, [key, "rid", "hash"], key, params)
     return _named(signed, key, root)
 
 
 def _linked(docs: DataFrame, text: str, keys: list[str], key: str, params: Join | None) -> tuple[DataFrame, DataFrame]:
-    """``keys`` (of ``key``, ``rid`` and ``hash``, that of the text), set size
+    """``keys`` (``key``, ``rid`` and ``hash``, that of the text), set size
     and node of each row; and the root of every node with a link."""
     j = params or Join()
     docs = docs.select(F.col(key), F.col(text), F.coalesce(F.col(key).cast("long"), F.xxhash64(text)).alias("rid"), F.xxhash64(text).alias("hash"))
@@ -352,7 +358,7 @@ def _linked(docs: DataFrame, text: str, keys: list[str], key: str, params: Join
     info = signed.where(F.col("own").isNotNull()).drop(*keys).dropDuplicates(["node"])
     info = staged(info.join(seen, "node", "left").fillna(0, ["crowds"]), "info")
     close = staged(_promising(counted, info, j), "promising")
-    links = _similar(close, _sets_of(docs, text, j, close.select(F.explode(F.array("a", "b")).alias("node"))), j)
+    links = _similar(close, _sets_of(docs, text, j, close.select(F.explode(F.array("a", "b")).alias("node")), signed), j)
     root = components(links)
 
     # sets that may have partners in crowds alone
@@ -367,7 +373,7 @@ def _linked(docs: DataFrame, text: str, keys: list[str], key: str, params: Join
     sigs = _open_buckets(members, root)
     if sigs is not None:
         members = staged(members.join(sigs, "sig", "left_semi"), "members")
-        found = _sets_of(docs, text, j, members.select("node"))
+        found = _sets_of(docs, text, j, members.select("node"), signed)
         around = _around_pivots(members, found, j.crowd)
         # every set of a group against its pivot: most of what is linked at all
         near = around.where(_close(j, F.col("pn"), F.col("n"), _apart())).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
