@@ -500,11 +500,11 @@ def q_batched_cumulative_multi(spark, sf):
     films, path = recast.actor_films(spark, sf), scratch_path(spark, "actors-batches")
     state = None
     for year in range(FIRST_SEASON, LAST_SEASON + 1):
-        batch, after = cumulate.items_batch(films, state, ["actorid"], period=year, period_col="year", item_cols=_FILM_COLS,
-                                            order_col="filmid", measure="rating", classify=_actor_class, carry_cols=["actor"],
-                                            class_col="quality_class", as_of_col="as_of_year")
-        snapshots.write_period(batch, f"{path}/batches", "as_of_year")
-        snapshots.write_period(after, f"{path}/states", "as_of_year")
+        rows = snapshots.cut_lineage(cumulate.items_period(
+            films, state, ["actorid"], period=year, period_col="year", item_cols=_FILM_COLS, order_col="filmid", measure="rating",
+            classify=_actor_class, carry_cols=["actor"], class_col="quality_class", as_of_col="as_of_year"))
+        snapshots.write_period(cumulate.batch_of(rows, ["actorid"], as_of_col="as_of_year"), f"{path}/batches", "as_of_year")
+        snapshots.write_period(cumulate.state_of(rows), f"{path}/states", "as_of_year")
         state = snapshots.read_period(spark, f"{path}/states", "as_of_year", year)
     out = cumulate.items_as_of(state, spark.read.parquet(f"{path}/batches"), ["actorid"], period=LAST_SEASON, as_of_col="as_of_year",
                                items_col="films")

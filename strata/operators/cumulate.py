@@ -232,16 +232,17 @@ def cumulate_states_backfill(rows: DataFrame, keys: Sequence[str], *, first_peri
     return known.select(*keys, *carry_cols, as_of_col, (cls if carry_state else F.when(active, cls)).alias(class_col), active.alias(active_col))
 
 
-def items_batch(rows: DataFrame, state: DataFrame | None, keys: Sequence[str], *, period: int, period_col: str,
-                item_cols: Sequence[str], order_col: str, measure: str, classify: Classifier,
-                carry_cols: Sequence[str] = (), class_col: str = "state_class", active_col: str = "is_active",
-                as_of_col: str = "as_of") -> tuple[DataFrame, DataFrame]:
-    """C6 without copying the history: (batch, state) of one period.
-
-    ``batch``: the period's items of each active key with ``offset``, how
-    many the key had before. ``state``: one row a key with ``n_items``, class
-    and activity, from the ``state`` of the period before (None: the first).
-    A period costs its own rows and one join of the states; the history is
+def items_period(rows: DataFrame, state: DataFrame | None, keys: Sequence[str], *, period: int, period_col: str,
+                 item_cols: Sequence[str], order_col: str, measure: str, classify: Classifier,
+                 carry_cols: Sequence[str] = (), class_col: str = "state_class", active_col: str = "is_active",
+                 as_of_col: str = "as_of") -> DataFrame:
+    """C6 without copying the history: one row a key of one period.
+
+    ``items`` are the period's own (null where the key has none), ``offset``
+    is how many the key had before and ``n_items`` how many it has now; class
+    and activity come from the ``state`` of the period before (None: the
+    first). A period costs its own rows and one join of the states.
+    :func:`batch_of` and :func:`state_of` are what is stored; the history is
     put together by :func:`items_as_of` when it is read.
     """
     keys = list(keys)
@@ -251,11 +252,20 @@ def items_batch(rows: DataFrame, state: DataFrame | None, keys: Sequence[str], *
     j = today.alias("t").join(state.alias("l"), on=keys, how="full_outer")
     here = F.col("t._items").isNotNull()
     before = F.coalesce(F.col("l.n_items"), F.lit(0).cast("long"))
-    batch = j.where(here).select(*keys, F.lit(period).alias(as_of_col), before.alias("offset"), F.col("t._items").alias("items"))
-    after = j.select(*keys, *[F.coalesce(F.col(f"t.{c}"), F.col(f"l.{c}")).alias(c) for c in carry_cols], F.lit(period).alias(as_of_col),
-                     (before + F.when(here, F.size("t._items")).otherwise(0)).alias("n_items"),
-                     F.when(here, classify(F.col("t._mean"))).otherwise(F.col(f"l.{class_col}")).alias(class_col), here.alias(active_col))
-    return batch, after
+    return j.select(*keys, *[F.coalesce(F.col(f"t.{c}"), F.col(f"l.{c}")).alias(c) for c in carry_cols], F.lit(period).alias(as_of_col),
+                    before.alias("offset"), F.col("t._items").alias("items"),
+                    (before + F.when(here, F.size("t._items")).otherwise(0)).alias("n_items"),
+                    F.when(here, classify(F.col("t._mean"))).otherwise(F.col(f"l.{class_col}")).alias(class_col), here.alias(active_col))
+
+
+def batch_of(period_rows: DataFrame, keys: Sequence[str], *, as_of_col: str = "as_of") -> DataFrame:
+    """The items of a period, to be stored with it."""
+    return period_rows.where(F.col("items").isNotNull()).select(*keys, as_of_col, "offset", "items")
+
+
+def state_of(period_rows: DataFrame) -> DataFrame:
+    """The state that the next period continues."""
+    return period_rows.drop("offset", "items")
 
 
 def items_as_of(state: DataFrame, batches: DataFrame, keys: Sequence[str], *, period: int, as_of_col: str = "as_of",
