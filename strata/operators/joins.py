@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import scratch_path
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], *,
                   strategy: str = "combine") -> DataFrame:
@@ -70,11 +72,15 @@ def range_lookup(df: DataFrame, value_col: str, ranges: DataFrame, start_col: st
     bit; as many as there are prefix lengths, as a rule). Each join keeps one
     row a row, so the lookup also works on a stream without state; block
     tables are joined like any dimension, broadcast where they are small. The
-    levels in use, at most 64 numbers, are read when the lookup is built.
+    blocks are written once, by level, to the shared folder when the lookup
+    is built, and each join reads its own level.
     """
     others = [c for c in ranges.columns if c not in (start_col, end_col)]
     rank = F.struct((F.col(end_col) - F.col(start_col)).alias("size"), F.col(start_col).alias("start"), F.col(end_col).alias("end"), *[F.col(c) for c in others])
+    index = scratch_path(df.sparkSession, "prefix-blocks")
     blocks = aligned_blocks(ranges, start_col, end_col).groupBy("_level", "_prefix").agg(F.min(rank).alias("_hit"))
+    blocks.write.partitionBy("_level").parquet(index)
+    blocks = df.sparkSession.read.schema(blocks.schema).parquet(index)
     levels = sorted(r._level for r in blocks.select("_level").distinct().collect())
     if not levels:
         types = {f.name: f.dataType for f in ranges.schema}
