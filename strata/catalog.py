@@ -38,7 +38,7 @@ HOST_STEP_DAY, HOST_PREV_DAY = "2024-01-15", "2024-01-14"
 MEDAL_CLASS = "SMALL"
 SESSION_HOST_PATTERN = "%i%"
 SESSION_HOSTS = ("view", "click", "error")
-BUCKET_BYTES = 256 << 20
+BUCKET_BYTES = 8 << 20
 BUCKETED = ("match_details", "matches", "medals_matches_players")
 
 

@@ -44,11 +44,14 @@ def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"), F.count(F.lit(1)).alias("num_files"))
 
 
-def bucket_count(total_bytes: int, bucket_bytes: int = 256 << 20, least: int = 4) -> int:
-    """Buckets of about ``bucket_bytes`` each, as a power of two (tables of
-    different size then still join without a full shuffle)."""
+def bucket_count(total_bytes: int, bucket_bytes: int = 8 << 20, least: int = 4, most: int = 1 << 16) -> int:
+    """Buckets of at most ``bucket_bytes`` each, as a power of two (tables of
+    different size then still join without a full shuffle). A task of a join
+    sorts a whole bucket of every table, as rows that take many times their
+    stored bytes. Spark allows 100,000 buckets; beyond ``most`` they grow,
+    and sorts spill."""
     need = max(least, -(-total_bytes // bucket_bytes))
-    return 1 << (need - 1).bit_length()
+    return min(most, 1 << (need - 1).bit_length())
 
 
 def write_bucketed(df: DataFrame, table_name: str, path: str, key: str | Sequence[str],

@@ -36,6 +36,13 @@ def test_bucket_count_follows_the_bytes():
     assert [bucket_count(b, 100) for b in (0, 100, 401, 100_000)] == [4, 4, 8, 1024]
 
 
+def test_buckets_stay_small_as_the_input_grows():
+    from strata.plans.layout import bucket_count
+    sizes = [16 << 20, 160 << 20, 646 << 20, 60 << 30]
+    assert all(b / bucket_count(b, C.BUCKET_BYTES) <= 8 << 20 for b in sizes)  # a task sorts one of each table
+    assert bucket_count(1 << 50, C.BUCKET_BYTES) == 1 << 16  # Spark takes no more than 100,000
+
+
 def test_csv_brings_every_value_back(spark):
     from strata.plans import layout
     odd = [(1, "a\nb"), (2, ""), (3, None), (4, 'say "x", y'), (5, " blank "), (6, "back\\"), (7, "\r\n")]
