@@ -2,11 +2,13 @@
 small-star steps: every round joins the links with each node's least
 neighbour, so paths shorten by about half and hubs never gather their
 neighbours in one task (the least neighbour is a map-side minimum, the join
-is one that Spark can split). Each round is written to the shared folder."""
+is one that Spark can split). Each round is written to the shared folder; a
+count by node tells when every node points to its root, so no round is run
+only to see that nothing changes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import staged
@@ -18,34 +20,29 @@ def _least(links: DataFrame) -> DataFrame:
 
 def _round(links: DataFrame) -> DataFrame:
     """``links``: distinct (u, v) with u > v."""
-    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = links.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     low = _least(large)
     small = large.join(low, "u")
-    down = small.where(F.col("v") != F.col("least")).select(F.col("v").alias("u"), F.col("least").alias("v"))
-    return down.union(low.select("u", F.col("least").alias("v"))).where(F.col("u") > F.col("v")).distinct()
+    # the least neighbour gives the node's own link, each other one points to it
+    return small.select(F.when(F.col("v") == F.col("least"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("least").alias("v")).distinct()
 
 
-def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
-    """The links as a table, and a mark of its rows, taken while it is
-    written."""
-    seen = Observation()
-    mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    table = staged(links.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("sum")), "links")
-    got = seen.get
-    return table, (got["n"], got["sum"])
+def _settled(links: DataFrame) -> bool:
+    """Does every node have one link, to a node that has none?"""
+    ends = links.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out")), F.struct(F.col("v").alias("node"), F.lit(0).alias("out")))))
+    each = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("aim"))
+    return each.where((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("aim") == 0))).isEmpty()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with a link to another one; the root is
     the least node of its component."""
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
-    now, mark = _written(links.where(F.col(a) != F.col(b)).select(u, v).distinct())
-    seen = None
-    while mark != seen and mark[0]:
-        seen = mark
-        now, mark = _written(_round(now))
+    now = staged(links.where(F.col(a) != F.col(b)).select(u, v).distinct(), "links")
+    while not _settled(now):
+        now = staged(_round(now), "links")
     # at the end every node points to its root and roots point nowhere
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v"), F.col("v")).distinct())
 

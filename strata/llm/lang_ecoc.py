@@ -24,6 +24,7 @@ returns those it is asked to keep, and columns of other names, also
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -140,27 +141,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
     return w
 
 
-def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", params: Params | None = None) -> Model | None:
-    """None where nothing is labelled. The sample's sparse features come to
-    the driver: at most ``max_sample_rows`` rows of ``2**bits`` values."""
-    p = params or Params()
-    src = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    src = src.select(F.col(label).alias("y"), F.col(text).alias("t"), F.xxhash64(F.lit("ecoc"), F.col(key).cast("string"), F.col(text)).alias("o"))
-    known = src.select("y").distinct().limit(p.max_languages + 1).count()
-    if known > p.max_languages:
-        raise ValueError(f"more than max_languages={p.max_languages} labels")
-    few = F.broadcast(C.drawn(src, "y", "o", max(1, min(p.max_train_rows, p.max_sample_rows // max(known, 1))))[0])
-    rows = featurise(src.join(few, ["y", "o"]), "t", ("y", "o"), p.bits).dropDuplicates(["y", "o"]).toPandas()
-    languages = tuple(sorted(set(rows.y)))
-    if not languages:
-        return None
+def _learnt(texts: list[tuple[str, int, np.ndarray, np.ndarray]], p: Params) -> Model:
+    """The model of a sample of (label, hash, coordinates, values)."""
+    texts = sorted(texts, key=lambda t: t[:2])  # the same sums in any order of arrival
+    languages = tuple(sorted({y for y, _, _, _ in texts}))
     size = 1 << p.bits
-    rows = rows.sort_values(["y", "o"], kind="stable")  # the same sums in any order of arrival
-    x = np.zeros((len(rows), size + 1), np.float32)
-    for r, (i, v) in enumerate(zip(rows.i, rows.v, strict=True)):
+    x = np.zeros((len(texts), size + 1), np.float32)
+    for r, (_, _, i, v) in enumerate(texts):
         x[r, i] = v
     x[:, size] = 0.3
-    cls = np.array([languages.index(y) for y in rows.y])
+    at = {y: k for k, y in enumerate(languages)}
+    cls = np.array([at[y] for y, _, _, _ in texts])
     code = codewords(len(languages)) if len(languages) > 1 else np.ones((1, 1), np.int8)
     # every language weighs the same
     y = code[cls].astype(np.float32)
@@ -170,6 +161,31 @@ def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str =
     return Model(languages, code, trust / trust.sum(1, keepdims=True), w, p.bits, p.margin)
 
 
+def fit(labelled: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", params: Params | None = None) -> Model | None:
+    """None where nothing is labelled. One task learns from the sample's
+    sparse features, at most ``max_sample_rows`` rows of ``2**bits`` values;
+    only the model comes to the driver."""
+    p = params or Params()
+    src = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    src = src.select(F.col(label).alias("y"), F.col(text).alias("t"), F.xxhash64(F.lit("ecoc"), F.col(key).cast("string"), F.col(text)).alias("o"))
+    known = src.select("y").distinct().limit(p.max_languages + 1).count()
+    if known > p.max_languages:
+        raise ValueError(f"more than max_languages={p.max_languages} labels")
+    few = F.broadcast(C.drawn(src, "y", "o", max(1, min(p.max_train_rows, p.max_sample_rows // max(known, 1))))[0])
+    rows = featurise(src.join(few, ["y", "o"]), "t", ("y", "o"), p.bits).dropDuplicates(["y", "o"]).select("y", "o", "i", "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = []
+        for batch in batches:
+            y, o, i, v = [batch.column(k) for k in range(4)]
+            texts += [(y[r].as_py(), o[r].as_py(), i[r].values.to_numpy(), v[r].values.to_numpy()) for r in range(len(batch))]
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_learnt(texts, p))], pa.binary())], names=["model"])
+
+    got = rows.coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0].model) if got else None
+
+
 def decode(model: Model, f: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best language, its score, and whether it is ambiguous, of each row of
     classifier outputs."""

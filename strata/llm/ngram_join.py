@@ -297,7 +297,7 @@ def _sets_of(docs: DataFrame, text: str, j: Join, nodes: DataFrame, signed: Data
     them. The texts are read again, and stay where they are: one text of each
     node is picked by its hash, and only texts whose hash passes a broadcast
     filter of these are cut into words."""
-    picked = signed.groupBy("node").agg(F.min("hash").alias("hash")).join(nodes.select("node").distinct(), "node", "left_semi").select("hash")
+    picked = staged(signed.groupBy("node").agg(F.min("hash").alias("hash")).join(nodes.select("node").distinct(), "node", "left_semi").select("hash"), "picked")
     bits = min(j.filter_bits, max(12, (16 * picked.count()).bit_length()))
     wanted = docs.sparkSession.sparkContext.broadcast(_maybe(picked, bits))
 
@@ -359,7 +359,7 @@ def _linked(docs: DataFrame, text: str, keys: list[str], key: str, params: Join
     info = staged(info.join(seen, "node", "left").fillna(0, ["crowds"]), "info")
     close = staged(_promising(counted, info, j), "promising")
     links = _similar(close, _sets_of(docs, text, j, close.select(F.explode(F.array("a", "b")).alias("node")), signed), j)
-    root = components(links)
+    root = staged(components(links), "roots")
 
     # sets that may have partners in crowds alone
     # partners in the own scheme have up to n * den / num elements, those in

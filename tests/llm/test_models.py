@@ -24,6 +24,17 @@ def test_language_held_out(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_sample_stays_off_the_driver(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("the sample came to the driver")
+
+    monkeypatch.setattr(lang_ecoc, "_logistic", refused)  # the tasks have modules of their own
+    df = spark.createDataFrame([(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr")], "doc_id long, text string, lang string")
+    monkeypatch.setattr(type(df), "toPandas", refused)
+    model = lang_ecoc.fit(df)
+    assert model.languages == ("en", "fr") and model.weights.shape == (1 + 2**12, 1)
+
+
 def test_codewords_are_apart():
     for k in (2, 3, 4, 6, 12, 40):
         code = lang_ecoc.codewords(k)

@@ -175,6 +175,17 @@ def test_components(spark):
         assert {r.node: r.root for r in grown(components(edges(first)), edges(later)).collect()} == got
 
 
+def test_components_run_no_round_that_changes_nothing(spark, monkeypatch):
+    from strata.llm import components as K
+    rounds, one = [], K._round
+    monkeypatch.setattr(K, "_round", lambda links: rounds.append(1) or one(links))
+    edges = lambda x: spark.createDataFrame(x, "a long, b long")
+    of = lambda x: {r.node: r.root for r in components(edges(x)).collect()}
+    assert of([(1, 5), (6, 1), (2, 9), (9, 2), (4, 4)]) == {1: 1, 5: 1, 6: 1, 2: 2, 9: 2} and not rounds
+    assert of([(1, 2), (2, 3)]) == {1: 1, 2: 1, 3: 1} and len(rounds) == 1
+    assert of([(1, 3), (2, 3)]) == {1: 1, 2: 1, 3: 1} and len(rounds) == 2
+
+
 def test_one_of_each_keeps_rows_and_columns(spark):
     rows = [(5, "a b c d e f", "de"), (3, "a b c d e f", "en"), (3, "a b c d e f", "en"), (8, "other words here and there", None), (None, "a b c d e f", "x"), (9, None, "n"), (10, "", "m"), (None, "lonely text of five words", "l"), (None, "lonely text of five words", "l")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
